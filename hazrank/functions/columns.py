@@ -58,3 +58,13 @@ def floor_decimals(x: Column, digits: int = 2) -> Column:
     """Truncate a non-negative number to ``digits`` decimals."""
     scale = 10 ** digits
     return F.floor(x * F.lit(scale)) / F.lit(float(scale))
+
+
+def round_half_up(x: Column, digits: int = 6) -> Column:
+    """floor(x * 10^d + 0.5) / 10^d on the binary double.
+
+    Stated as arithmetic so every engine gives the same bits (engine
+    ``round`` functions differ on exact decimal ties).
+    """
+    scale = float(10 ** digits)
+    return F.floor(x * F.lit(scale) + F.lit(0.5)) / F.lit(scale)

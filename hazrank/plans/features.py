@@ -25,7 +25,7 @@ from hazrank.config import (
     FORMAL_ENFORCEMENT_CODES, IGNITABLE_CODE, REACTIVE_CODE, TOXIC_CODE_HIGH_EXCLUSIVE,
     TOXIC_CODE_LOW_EXCLUSIVE, WASTE_MIN_CONTINUED, WASTE_MIN_INITIATED, WASTE_MIN_NONE,
 )
-from hazrank.functions.columns import conditional_count, flag_yn, to_pounds
+from hazrank.functions.columns import conditional_count, flag_yn, round_half_up, to_pounds
 from hazrank.plans.timeline import window_year_spine
 
 ENTITY = "handler_id"
@@ -145,7 +145,9 @@ def waste_info_family(lt, spine: DataFrame, windows=("most_recent", "three_year"
         conditional_count(~code.isin(*WASTE_MIN_NONE, *WASTE_MIN_INITIATED, *WASTE_MIN_CONTINUED)).alias("n_rest"),
         conditional_count(F.col("on_site_management") == "Y").alias("n_on"),
         conditional_count(F.col("on_site_management") == "N").alias("n_off"),
-        F.sum(pounds).alias("pounds"))
+        # pounds per page at micro-pound resolution, so window sums do not
+        # depend on summation order
+        F.sum(round_half_up(pounds, 6)).alias("pounds"))
     s = window_sums(pre, spine, windows, ["n", "n_none", "n_init", "n_cont", "n_rest", "n_on", "n_off", "pounds"])
     cols = []
     for x in windows:

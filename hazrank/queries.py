@@ -29,7 +29,8 @@ def register(name: str):
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    cols = [F.round(F.col(f.name), digits).alias(f.name) if isinstance(f.dataType, (DoubleType, FloatType))
+    from hazrank.functions.columns import round_half_up
+    cols = [round_half_up(F.col(f.name), digits).alias(f.name) if isinstance(f.dataType, (DoubleType, FloatType))
             else F.col(f.name) for f in df.schema.fields]
     return df.select(*cols)
 
