@@ -67,4 +67,5 @@ def round_half_up(x: Column, digits: int = 6) -> Column:
     ``round`` functions differ on exact decimal ties).
     """
     scale = float(10 ** digits)
-    return F.floor(x * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
+    finite = ~F.isnan(x) & (F.abs(x) != F.lit(float("inf")))
+    return F.when(finite, F.floor(x * F.lit(scale) + F.lit(0.5)) / F.lit(scale)).otherwise(x)
