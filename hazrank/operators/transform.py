@@ -20,6 +20,11 @@ YEAR_EXTENSIONS = ("", "_three_year", "_five_year", "_most_recent", "_total")
 MAX_ONEHOT_CATEGORIES = 1000
 
 
+def q(c: str) -> str:
+    """Back-quoted identifier for SQL expression strings."""
+    return "`" + c.replace("`", "``") + "`"
+
+
 def _expand(df: DataFrame, bases: Sequence[str]) -> list[str]:
     cols = set(df.columns)
     return [b.lower() + ext for b in bases for ext in YEAR_EXTENSIONS if b.lower() + ext in cols]
@@ -29,7 +34,7 @@ def _expand(df: DataFrame, bases: Sequence[str]) -> list[str]:
 def columns_with_nulls(df: DataFrame, cols: Sequence[str]) -> list[str]:
     if not cols:
         return []
-    row = df.agg(*[F.count(F.when(F.col(c).isNull(), 1)).alias(c) for c in cols]).first()
+    row = df.selectExpr(*[f"count_if({q(c)} IS NULL) AS {q(c)}" for c in cols]).first()
     return [c for c in cols if row[c] > 0]
 
 
@@ -39,14 +44,11 @@ def flag_missing(df: DataFrame, bases: Sequence[str], flagged: Sequence[str] | N
     cand = _expand(df, bases)
     flagged = list(flagged) if flagged is not None else columns_with_nulls(df, cand)
     fset = set(flagged)
-    out = []
-    for c in df.columns:
-        if c in fset:
-            out.append(F.coalesce(F.col(c), F.lit(0)).alias(c))
-        else:
-            out.append(F.col(c))
-    out += [F.col(c).isNull().cast("int").alias(f"{c}_missing_flag") for c in flagged]
-    return df.select(*out)
+    # one selectExpr: wide frames would otherwise cost one driver call per
+    # column expression
+    out = [f"coalesce({q(c)}, 0) AS {q(c)}" if c in fset else q(c) for c in df.columns]
+    out += [f"CAST({q(c)} IS NULL AS INT) AS {q(c + '_missing_flag')}" for c in flagged]
+    return df.selectExpr(*out)
 
 
 # --- X2 / X3 ------------------------------------------------------------------
@@ -56,12 +58,13 @@ class OneHotModel:
     categories: dict[str, list[str]] = field(default_factory=dict)
 
     def transform(self, df: DataFrame) -> DataFrame:
-        keep = [F.col(c) for c in df.columns if c not in self.categories]
+        keep = [q(c) for c in df.columns if c not in self.categories]
         dummies = []
         for c, cats in self.categories.items():
-            v = F.trim(F.col(c))
-            dummies += [F.when(v == F.lit(cat), 1).otherwise(0).alias(f"{c}_onehot_{cat}") for cat in sorted(cats)]
-        return df.select(*keep, *dummies)
+            for cat in sorted(cats):
+                lit = cat.replace("\\", "\\\\").replace("'", "\\'")
+                dummies.append(f"CASE WHEN trim({q(c)}) = '{lit}' THEN 1 ELSE 0 END AS {q(f'{c}_onehot_{cat}')}")
+        return df.selectExpr(*keep, *dummies)
 
 
 def onehot_fit(df: DataFrame, bases: Sequence[str]) -> OneHotModel:
@@ -90,7 +93,7 @@ def align_columns(a: DataFrame, b: DataFrame, fill=0) -> tuple[DataFrame, DataFr
 
     def fix(df):
         have = set(df.columns)
-        return df.select(*[F.col(c) if c in have else F.lit(fill).alias(c) for c in cols])
+        return df.selectExpr(*[q(c) if c in have else f"{fill!r} AS {q(c)}" for c in cols])
     return fix(a), fix(b)
 
 
@@ -100,18 +103,28 @@ def minmax_normalize(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
     min and max come from one aggregate row, joined back as a broadcast
     single row (a proven size bound)."""
-    stats = df.agg(*[F.min(c).alias(f"_mn_{c}") for c in cols], *[F.max(c).alias(f"_mx_{c}") for c in cols])
+    stats = minmax_fit(df, cols)
+    return minmax_apply(df, stats, cols)
+
+
+def minmax_fit(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """One row of per-column min and max (NULL-skipping)."""
+    return df.selectExpr(*[f"min({q(c)}) AS {q('_mn_' + c)}" for c in cols],
+                         *[f"max({q(c)}) AS {q('_mx_' + c)}" for c in cols])
+
+
+def minmax_apply(df: DataFrame, stats: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Scale with a fitted stats row, joined as a broadcast single row."""
     j = df.crossJoin(F.broadcast(stats))
-    out = []
     cset = set(cols)
+    out = []
     for c in df.columns:
         if c in cset:
-            rng = F.col(f"_mx_{c}") - F.col(f"_mn_{c}")
-            den = F.when(rng == 0, F.lit(1)).otherwise(rng)
-            out.append(((F.col(c) - F.col(f"_mn_{c}")) / den).alias(c))
+            mn, mx = q("_mn_" + c), q("_mx_" + c)
+            out.append(f"({q(c)} - {mn}) / CASE WHEN {mx} - {mn} = 0 THEN 1 ELSE {mx} - {mn} END AS {q(c)}")
         else:
-            out.append(F.col(c))
-    return j.select(*out)
+            out.append(q(c))
+    return j.selectExpr(*out)
 
 
 # --- X6 -----------------------------------------------------------------------
