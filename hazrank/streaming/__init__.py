@@ -1,0 +1,8 @@
+"""Streaming.
+
+The risk model is batch only: yearly cohorts, labels and features are
+recomputed per label year, and no operator of it keeps state across
+events, watermarks late data or emits incremental results.  Nothing is
+built here; new inspection data is handled by re-running the batch
+plans (which read whole tables and overwrite their result partitions).
+"""
