@@ -78,10 +78,10 @@ def commonsense_rank(lt, spine: DataFrame) -> DataFrame:
     label year (never inspected -> 2147483647) and days since the owner
     became current (owners reported in the cohort year); ranked by both,
     descending, missing owner dates first."""
-    sr = lt.site_report.select(ENTITY, "report_year")
+    sr = lt.report_keys
     sp = F.broadcast(spine.select("label_year", "cohort_year"))
     act = sr.join(sp, sr.report_year == sp.cohort_year).select(ENTITY, "label_year").distinct()
-    last = (lt.inspections.groupBy(ENTITY, F.year("evaluation_start_date").alias("year"))
+    last = (lt.inspections_core.groupBy(ENTITY, F.year("evaluation_start_date").alias("year"))
               .agg(F.max("evaluation_start_date").alias("_d")))
     last = (last.join(sp, F.col("year") <= F.col("cohort_year"))
                 .groupBy(ENTITY, "label_year").agg(F.max("_d").alias("_last")))

@@ -128,8 +128,22 @@ def metrics_at_k(ranked: DataFrame, sizes: DataFrame, k: float,
     )
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint into the shared checkpoint folder (cuts lineage;
+    a lost executor re-reads files instead of recomputing)."""
+    from hazrank.session import checkpoint_dir
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def precision_at_k(scores: DataFrame, labels: DataFrame, k: float,
-                   group_cols: Sequence[str] = ("model_id", "eval_year")) -> DataFrame:
+                   group_cols: Sequence[str] = ("model_id", "eval_year"),
+                   materialize_scores: bool = False) -> DataFrame:
+    """E2-E4 for every group.  The score table is read twice (group sizes
+    and ranking); with ``materialize_scores`` it is checkpointed first so
+    the scoring plan runs once."""
+    if materialize_scores:
+        scores = materialize(scores)
     ranked = rank_scores(scores, labels, group_cols)
     return metrics_at_k(ranked, group_sizes(scores, group_cols), k, group_cols)
 

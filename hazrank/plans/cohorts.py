@@ -16,26 +16,26 @@ from hazrank.plans.timeline import window_year_spine
 ENTITY = "handler_id"
 
 
-def inspection_entity_years(lt) -> DataFrame:
-    """(handler_id, year, any_ny): one row per entity and inspection year."""
-    i = lt.inspections
-    return (i.groupBy(ENTITY, F.year("evaluation_start_date").alias("year"))
-             .agg((F.count(F.when(F.col("state") == "NY", 1)) > 0).alias("any_ny")))
+def inspection_entity_years(lt, ny_only: bool = False) -> DataFrame:
+    """(handler_id, year): one row per entity and inspection year (only NY
+    inspections with ``ny_only``; otherwise the entity attributes are not
+    needed and the attribute lookup is skipped)."""
+    if ny_only:
+        i = lt.inspections.where(F.col("state") == "NY")
+    else:
+        i = lt.inspections_core
+    return i.select(ENTITY, F.year("evaluation_start_date").alias("year")).distinct()
 
 
 def _in_window(lt, spine: DataFrame, ny_only: bool) -> DataFrame:
     """(handler_id, label_year) inspected within the feature window."""
-    ey = inspection_entity_years(lt)
-    if ny_only:
-        ey = ey.where("any_ny")
+    ey = inspection_entity_years(lt, ny_only)
     wys = window_year_spine(spine, ("total",)).select("label_year", "year")
     return ey.join(F.broadcast(wys), "year").select(ENTITY, "label_year")
 
 
 def _in_label_year(lt, spine: DataFrame, ny_only: bool) -> DataFrame:
-    ey = inspection_entity_years(lt)
-    if ny_only:
-        ey = ey.where("any_ny")
+    ey = inspection_entity_years(lt, ny_only)
     return ey.join(F.broadcast(spine.select("label_year")), ey.year == F.col("label_year")) \
              .select(ENTITY, "label_year")
 
@@ -43,7 +43,7 @@ def _in_label_year(lt, spine: DataFrame, ny_only: bool) -> DataFrame:
 # --- C1 ---------------------------------------------------------------------
 def cohort_active(lt, spine: DataFrame) -> DataFrame:
     """Distinct entities with a report in the cohort year (label_year - 1)."""
-    sr = lt.site_report.select(ENTITY, "report_year")
+    sr = lt.report_keys
     sp = F.broadcast(spine.select("label_year", "cohort_year"))
     return (sr.join(sp, sr.report_year == sp.cohort_year)
               .select(ENTITY, "label_year").distinct())

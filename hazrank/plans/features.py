@@ -57,7 +57,7 @@ def _onto_cohort(cohort: DataFrame, fam: DataFrame) -> DataFrame:
 
 
 def _inspection_year(lt) -> DataFrame:
-    i = lt.inspections
+    i = lt.inspections_core
     return i.withColumn("year", F.year("evaluation_start_date"))
 
 
@@ -188,7 +188,7 @@ def parent_company_size_family(lt, spine: DataFrame, windows=("most_recent", "th
                    .select(ENTITY, "owner_operator_name", "label_year").distinct())
         j = links.join(sizes, ["owner_operator_name", "label_year"])
     else:
-        links = co.select(ENTITY, "owner_operator_name")
+        links = co.select(ENTITY, "owner_operator_name").distinct()
         j = links.join(sizes, "owner_operator_name")
     # count_distinct of an all-NULL window is 0, the inner join of a
     # per-window aggregate has no row there -> NULL.
@@ -299,11 +299,13 @@ def peer_average(members: DataFrame, rates: DataFrame, group_col: str, windows,
     return m.join(avg, [group_col, "label_year"], "inner").drop(group_col)
 
 
-def parent_company_peers_family(lt, spine: DataFrame, windows=ALL_WINDOWS, latest: bool = False) -> DataFrame:
+def parent_company_peers_family(lt, spine: DataFrame, windows=ALL_WINDOWS, latest: bool = False,
+                                rates: DataFrame | None = None) -> DataFrame:
     co = lt.owner.where(F.col("owner_operator_indicator") == "CO").select(ENTITY, "report_year",
                                                                         "owner_operator_name")
     ho = first_group(co, "owner_operator_name", spine, latest)
-    return peer_average(ho, _entity_rates(lt, spine, windows), "owner_operator_name", windows,
+    rates = rates if rates is not None else _entity_rates(lt, spine, windows)
+    return peer_average(ho, rates, "owner_operator_name", windows,
                         {"v": "avg_violation_owner", "c": "avg_complaint_owner",
                          "f": "avg_formal_enforcement_owner"})
 
@@ -313,10 +315,12 @@ def feat_parent_company_peers(lt, cohort: DataFrame, spine: DataFrame, windows=A
     return _onto_cohort(cohort, parent_company_peers_family(lt, spine, windows, latest))
 
 
-def zip_peers_family(lt, spine: DataFrame, windows=ALL_WINDOWS, latest: bool = False) -> DataFrame:
+def zip_peers_family(lt, spine: DataFrame, windows=ALL_WINDOWS, latest: bool = False,
+                     rates: DataFrame | None = None) -> DataFrame:
     sr = lt.site_report.select(ENTITY, "report_year", "location_zip")
     hz = first_group(sr, "location_zip", spine, latest)
-    return peer_average(hz, _entity_rates(lt, spine, windows), "location_zip", windows,
+    rates = rates if rates is not None else _entity_rates(lt, spine, windows)
+    return peer_average(hz, rates, "location_zip", windows,
                         {"v": "avg_violation_zip", "c": "avg_complaint_zip", "f": "avg_formal_enforcement_zip"})
 
 
@@ -349,6 +353,42 @@ def feat_geographic(lt, cohort: DataFrame, spine: DataFrame, as_of: bool = False
             .withColumn("state_district_most_recent", F.col("_sd")).drop("_lt", "_sd")
 
 
+# --- shared inspection aggregate --------------------------------------------------------
+def inspection_family(lt, spine: DataFrame, windows=ALL_WINDOWS) -> DataFrame:
+    """All inspection-based partials summed per window, once: F1 counts,
+    F2 shares and the entity rates behind the peer averages are derived
+    from this one aggregate (one scan, one shuffle of the partials)."""
+    names, partials = _violation_partials()
+    pre = _inspection_year(lt).groupBy(ENTITY, "year").agg(*partials)
+    return window_sums(pre, spine, windows, names)
+
+
+def f1_f2_columns(s: DataFrame, windows=ALL_WINDOWS) -> list[Column]:
+    cols = []
+    for w in windows:
+        cols.append(F.col(f"n__{w}").alias(f"inspection_num_{w}"))
+    for w in windows:
+        cols += [_ratio("n_violation", "n", w).alias(f"violation_per_inspection_{w}"),
+                 _ratio("n_complaint", "n", w).alias(f"complaint_per_inspection_{w}"),
+                 _ratio("n_formal", "n", w).alias(f"formal_enforcement_per_inspection_{w}")]
+        cols += [_ratio(f"n_disp_{d.lower()}", "n", w).alias(f"disposition_{d.lower()}_per_inspection_{w}")
+                 for d in DISPOSITION_CODES]
+        cols += [F.col(f"penalty_sum__{w}").alias(f"sum_penalty_amount_{w}"),
+                 _ratio("n_penalty", "n", w).alias(f"avg_num_violations_with_penalty_per_inspection_{w}"),
+                 _ratio("n_follow_up", "n", w).alias(f"avg_evaluation_type_with_follow_up_{w}"),
+                 _ratio("n_fea", "n", w).alias(f"avg_fea_violation_per_inspection_{w}")]
+    return cols
+
+
+def rates_from(s: DataFrame, windows=ALL_WINDOWS) -> DataFrame:
+    cols = []
+    for w in windows:
+        cols += [_ratio("n_violation", "n", w).alias(f"v__{w}"),
+                 _ratio("n_complaint", "n", w).alias(f"c__{w}"),
+                 _ratio("n_formal", "n", w).alias(f"f__{w}")]
+    return s.select(ENTITY, "label_year", *cols)
+
+
 # --- F13 registered form -----------------------------------------------------------
 def window_features_single_pass(lt, cohort: DataFrame, spine: DataFrame, windows=ALL_WINDOWS) -> DataFrame:
     """Inspection counts and violation shares for every window and label

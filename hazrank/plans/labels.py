@@ -14,12 +14,13 @@ ENTITY = "handler_id"
 def label_year_flags(lt, spine: DataFrame) -> DataFrame:
     """(handler_id, label_year, n_rows, n_enforcement, n_listed) per entity
     and label year, aggregated before joining the cohort."""
-    i = lt.inspections
-    g = (i.groupBy(ENTITY, F.year("evaluation_start_date").alias("label_year"))
-          .agg(F.count(F.lit(1)).alias("n_rows"),
-               F.count("enforcement_type").alias("n_enforcement"),
-               F.count(F.when(F.col("enforcement_type").isin(*FORMAL_ENFORCEMENT_CODES), 1)).alias("n_listed")))
-    return g.join(F.broadcast(spine.select("label_year")), "label_year", "left_semi")
+    i = lt.inspections_core.withColumn("label_year", F.year("evaluation_start_date"))
+    # keep label years only, before aggregating
+    i = i.join(F.broadcast(spine.select("label_year")), "label_year", "left_semi")
+    return (i.groupBy(ENTITY, "label_year")
+             .agg(F.count(F.lit(1)).alias("n_rows"),
+                  F.count("enforcement_type").alias("n_enforcement"),
+                  F.count(F.when(F.col("enforcement_type").isin(*FORMAL_ENFORCEMENT_CODES), 1)).alias("n_listed")))
 
 
 # --- L1 / L2 ------------------------------------------------------------------

@@ -42,6 +42,19 @@ def timeline_spine(lt, tl: Timeline) -> DataFrame:
     )
 
 
+def config_spine(spark, tl: Timeline) -> DataFrame:
+    """The same spine from the configuration alone (a local relation of a
+    few rows, no scan).  Used inside the other plans: a label year whose
+    cohort year has no reports simply yields an empty cohort, so the
+    result equals the data-derived spine while no query pays a scan of
+    the order dates for it."""
+    rows = [(y, y - 1, y - 1 - tl.lookback, y - 1,
+             tl.train_label_range[0] <= y <= tl.train_label_range[1],
+             tl.val_label_range[0] <= y <= tl.val_label_range[1]) for y in tl.label_years()]
+    return spark.createDataFrame(rows, "label_year int, cohort_year int, feature_start int, feature_end int, "
+                                       "is_train boolean, is_val boolean")
+
+
 # --- T2 ---------------------------------------------------------------------
 def window_start(window: str, start: F.Column, end: F.Column) -> F.Column:
     """First year of a look-back window (both ends inclusive)."""

@@ -42,21 +42,33 @@ class Ctx:
     def __init__(self, spark: SparkSession, sf_dir: str, tl: Timeline = DEFAULT_TIMELINE,
                  bounded: bool = True):
         from hazrank.session import configure
-        from hazrank.plans.timeline import timeline_spine
+        from hazrank.plans.timeline import config_spine
         configure(spark)
         self.spark = spark
         self.tl = tl
-        self.wh = Warehouse(spark, sf_dir)
+        self.wh = _warehouse(spark, sf_dir)
         lo = min(tl.label_years()) - 1 - tl.lookback
         hi = max(tl.label_years())
         self.lt_all = self.wh.logical
         self.lt = self.lt_all.bounded(lo, hi) if bounded else self.lt_all
-        self.spine = timeline_spine(self.lt_all, tl)
+        self.spine = config_spine(spark, tl)
 
     @property
     def val_spine(self) -> DataFrame:
         return self.spine.where("is_val")
 
 
+_WAREHOUSES: dict[tuple[int, str], Warehouse] = {}
+
+
+def _warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """One opened warehouse per session and folder: table scans (lazy
+    DataFrames) are shared by the queries instead of re-reading footers."""
+    key = (id(spark), sf_dir)
+    if key not in _WAREHOUSES:
+        _WAREHOUSES[key] = Warehouse(spark, sf_dir)
+    return _WAREHOUSES[key]
+
+
 def ctx(spark, sf_dir) -> Ctx:
     return Ctx(spark, sf_dir)

@@ -14,7 +14,8 @@ from hazrank.queries import K_DEFAULT, ctx, register, rounded
 
 @register("timeline_spine")
 def q_timeline_spine(spark, sf_dir):
-    return T.timeline_spine(ctx(spark, sf_dir).lt_all, ctx(spark, sf_dir).tl)
+    c = ctx(spark, sf_dir)
+    return T.timeline_spine(c.lt_all, c.tl)
 
 
 @register("lookback_windows")
@@ -111,6 +112,6 @@ def q_rank_scores(spark, sf_dir):
 def q_precision_support_recall_at_k(spark, sf_dir):
     c = ctx(spark, sf_dir)
     scores, labels = history_baseline_scores(c)
-    return rounded(R.precision_at_k(scores, labels, K_DEFAULT)
+    return rounded(R.precision_at_k(scores, labels, K_DEFAULT, materialize_scores=True)
                    .select("model_id", "eval_year", "ranked", "i", "labelled_at_k", "positives_at_k",
                            "all_positives", "precision", "support", "recall"))

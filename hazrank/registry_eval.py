@@ -60,11 +60,18 @@ def grid_scores(c, history: bool) -> tuple[DataFrame, DataFrame, DataFrame]:
 
 
 def grid_results_long(c, history: bool) -> DataFrame:
+    key = ("_grid_results", history)
+    if key in c.__dict__:
+        return c.__dict__[key]
     grid, scores, labels = grid_scores(c, history)
-    m = R.precision_at_k(scores, labels, K_DEFAULT)
-    return (m.withColumnRenamed("model_id", "model_name")
-             .join(grid.select("model_type", "model_name", "model_index", "model_param"), "model_name")
-             .withColumn("with_history", F.lit(history)))
+    m = R.precision_at_k(scores, labels, K_DEFAULT, materialize_scores=True)
+    out = (m.withColumnRenamed("model_id", "model_name")
+              .join(grid.select("model_type", "model_name", "model_index", "model_param"), "model_name")
+              .withColumn("with_history", F.lit(history)))
+    # grid results are one row per model and year: keep them for the
+    # selection chain of the same query
+    c.__dict__[key] = R.materialize(out)
+    return c.__dict__[key]
 
 
 def val_years(c) -> list[int]:
@@ -134,6 +141,7 @@ def q_disparity(spark, sf_dir):
 def q_bias_audit(spark, sf_dir):
     c = ctx(spark, sf_dir)
     grid, scores, labels = grid_scores(c, True)
+    scores, labels = R.materialize(scores), R.materialize(labels)
     prec = R.precision_at_k(scores, labels, K_DEFAULT).select("model_id", "eval_year",
                                                               F.col("precision").alias("precision_k"))
     disp = FA.disparity_at_k(scores, labels, c.lt_all.bias_data, K_DEFAULT, "income_category", 1)
@@ -156,7 +164,7 @@ def q_baseline_violations(spark, sf_dir):
     c = ctx(spark, sf_dir)
     sp = c.val_spine
     coh = C.cohort_val_with_history(c.lt, sp)
-    i = c.lt.inspections.where(F.col("found_violation_flag") == "Y")
+    i = c.lt.inspections_core.where(F.col("found_violation_flag") == "Y")
     pre = i.groupBy("handler_id", F.year("evaluation_start_date").alias("year")).agg(F.count(F.lit(1)).alias("nv"))
     f = coh.join(FT.window_sums(pre, sp, ("total",), ["nv"]), ["handler_id", "label_year"], "left")
     scores = f.select(F.lit("bl_violations").alias("model_id"), F.col("label_year").alias("eval_year"), "handler_id",

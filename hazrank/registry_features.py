@@ -95,7 +95,7 @@ def q_f12(spark, sf_dir):
     from pyspark.sql import functions as F
     from hazrank.functions.columns import conditional_ratio
     c = ctx(spark, sf_dir)
-    i = c.lt_all.inspections
+    i = c.lt_all.inspections_core
     return rounded(i.groupBy("handler_id", F.year("evaluation_start_date").alias("year")).agg(
         conditional_ratio(F.col("found_violation_flag") == "Y").alias("violation_per_inspection")))
 

@@ -97,16 +97,12 @@ class LogicalTables:
 
     # -- inspections (evaluation x violation x enforcement rows) -------------
     @cached_property
-    def inspections(self) -> DataFrame:
+    def _inspection_rows(self) -> DataFrame:
         ol = self.order_lines.where(F.col("o_orderpriority") == URGENT_PRIORITY)
-        c = self.wh.customer.select("c_custkey", "c_nationkey", "c_mktsegment")
-        j = ol.join(c, ol.o_custkey == c.c_custkey, "inner")
         rf, ls, q = F.col("l_returnflag"), F.col("l_linestatus"), F.col("l_quantity")
         tax, ln = F.col("l_tax"), F.col("l_linenumber")
-        seg1 = F.substring("c_mktsegment", 1, 1)
-        return j.select(
+        return ol.select(
             F.col("o_custkey").alias("handler_id"),
-            _state(F.col("c_nationkey")).alias("state"),
             F.col("o_orderdate").cast("date").alias("evaluation_start_date"),
             F.when((rf == "A") & (q > 40), F.lit("310"))
              .when((rf == "R") & (ls == "F") & (q > 25), F.lit("100")).alias("enforcement_type"),
@@ -118,9 +114,28 @@ class LogicalTables:
             _case(ln, EVALUATION_BY_LINE, "CEI").alias("evaluation_type"),
             F.when(tax >= 0.06, F.lit("FEA")).when(tax >= 0.03, F.lit("262.A"))
              .when(tax >= 0.01, F.lit("265.C")).alias("violation_type"),
-            F.when(seg1 != "H", seg1).alias("land_type"),
         )
 
+    @cached_property
+    def inspections_core(self) -> DataFrame:
+        """Inspections without the entity attributes (state, land type).
+
+        The attributes come from a lookup on the entity key, which always
+        matches; consumers that need no attribute use this projection and
+        skip that join (at scale a shuffle of every inspection row)."""
+        return self._inspection_rows
+
+    @cached_property
+    def inspections(self) -> DataFrame:
+        c = self.wh.customer.select("c_custkey", "c_nationkey", "c_mktsegment")
+        j = self._inspection_rows.join(c, F.col("handler_id") == c.c_custkey, "inner")
+        seg1 = F.substring("c_mktsegment", 1, 1)
+        return j.select(
+            "handler_id", _state(F.col("c_nationkey")).alias("state"), "evaluation_start_date",
+            "enforcement_type", "found_violation_flag", "citizen_complaint_flag", "disposition_status",
+            "final_amount", "evaluation_type", "violation_type",
+            F.when(seg1 != "H", seg1).alias("land_type"))
+
     # -- yearly site report (one row per entity and year) -------------------
     @cached_property
     def site_report(self) -> DataFrame:
@@ -142,6 +157,14 @@ class LogicalTables:
             F.col("c_nationkey").cast("string").alias("location_zip"),
             *flags)
 
+    @cached_property
+    def report_keys(self) -> DataFrame:
+        """Distinct (handler_id, report_year) of the site reports, without
+        the dimension lookups (which always match)."""
+        return (self.orders.select(F.col("o_custkey").alias("handler_id"),
+                                   F.year("o_orderdate").alias("report_year"))
+                .distinct())
+
     # -- owners / operators per entity and year -----------------------------
     @cached_property
     def owner(self) -> DataFrame:

@@ -90,6 +90,8 @@ def main():
     n_ok = 0
     for k in (keys or sorted(qs)):
         if k not in orc:
+            if os.environ.get("SKIP_ROWS_ONLY"):
+                continue
             df = qs[k](spark, sf_dir)
             print(f"ROWS-ONLY {k}: {df.count()} rows", flush=True)
             continue

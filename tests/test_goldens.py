@@ -71,7 +71,7 @@ def test_label_truth_table(spark):
          (4, "2000-03-01", "100"),
          (5, "1999-03-01", "310")],
         "handler_id long, d string, enforcement_type string").withColumn("evaluation_start_date", F.to_date("d"))
-    lt = FakeTables(inspections=insp)
+    lt = FakeTables(inspections=insp, inspections_core=insp)
     cohort = spark.createDataFrame([(h, 2000) for h in (1, 2, 3, 4, 5)], "handler_id long, label_year int")
     spine = spark.createDataFrame([(2000,)], "label_year int")
     lit = {r.handler_id: r.formal for r in L.label_formal(lt, cohort, spine).collect()}
