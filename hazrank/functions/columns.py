@@ -60,6 +60,21 @@ def floor_decimals(x: Column, digits: int = 2) -> Column:
     return F.floor(x * F.lit(scale)) / F.lit(float(scale))
 
 
+def round_half_up_sql(x: str, digits: int = 6) -> str:
+    """SQL text of ``round_half_up`` for a column expression ``x``."""
+    scale = f"{float(10 ** digits)!r}D"
+    return (f"CASE WHEN isnan({x}) OR abs({x}) = double('Infinity') THEN {x} "
+            f"ELSE floor({x} * {scale} + 0.5D) / {scale} END")
+
+
+def sql_in(col: str, values) -> str:
+    return f"{col} IN (" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + ")"
+
+
+def count_if_sql(cond: str) -> str:
+    return f"count(CASE WHEN {cond} THEN 1 END)"
+
+
 def round_half_up(x: Column, digits: int = 6) -> Column:
     """floor(x * 10^d + 0.5) / 10^d on the binary double.
 

@@ -9,7 +9,11 @@ group may hold a third of all rows, so instead
 1. range-partition on (group keys, order keys) -- a hot group is split
    over many partitions -- and sort within partitions;
 2. tag each row with its partition id and position in the partition,
-   and cut the lineage with a reliable ``checkpoint()``;
+   and cut the lineage with a reliable ``checkpoint()``.  This is
+   required, not an optimisation: the input usually comes out of a
+   shuffle whose read order is not deterministic, so the range-bound
+   sample -- and with it the partition ids -- would differ between the
+   two reads of the tagged rows (and after a lost executor);
 3. count rows per (partition, group): at most partitions + groups rows;
 4. a running sum over that small table gives each (partition, group)
    its offset; join it back (broadcast is decided by AQE at run time

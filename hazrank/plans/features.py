@@ -25,7 +25,9 @@ from hazrank.config import (
     FORMAL_ENFORCEMENT_CODES, IGNITABLE_CODE, REACTIVE_CODE, TOXIC_CODE_HIGH_EXCLUSIVE,
     TOXIC_CODE_LOW_EXCLUSIVE, WASTE_MIN_CONTINUED, WASTE_MIN_INITIATED, WASTE_MIN_NONE,
 )
-from hazrank.functions.columns import conditional_count, flag_yn, round_half_up, to_pounds
+from hazrank.functions.columns import (
+    conditional_count, count_if_sql, flag_yn, round_half_up, sql_in, to_pounds,
+)
 from hazrank.plans.timeline import window_year_spine
 
 ENTITY = "handler_id"
@@ -43,13 +45,18 @@ def window_sums(pre: DataFrame, spine: DataFrame, windows: Sequence[str],
     """
     wys = F.broadcast(window_year_spine(spine, windows))
     j = pre.join(wys, pre[year_col] == wys["year"]) if year_col != "year" else pre.join(wys, "year")
-    aggs = [F.sum(F.when(F.col(f"in_{w}"), F.col(m))).alias(f"{m}__{w}")
-            for w in windows for m in measures]
+    # SQL text: one driver call per aggregate instead of one per operator
+    aggs = [F.expr(f"sum(CASE WHEN in_{w} THEN {m} END) AS {m}__{w}") for w in windows for m in measures]
     return j.groupBy(ENTITY, "label_year").agg(*aggs)
 
 
-def _ratio(num: str, den: str, w: str) -> Column:
-    return F.col(f"{num}__{w}").cast("double") / F.col(f"{den}__{w}")
+def _ratio(num: str, den: str, w: str) -> str:
+    """SQL text of a share: summed count over summed rows, as DOUBLE."""
+    return f"CAST({num}__{w} AS DOUBLE) / {den}__{w}"
+
+
+def _agg(exprs: Sequence[str]) -> list[Column]:
+    return [F.expr(e) for e in exprs]
 
 
 def _onto_cohort(cohort: DataFrame, fam: DataFrame) -> DataFrame:
@@ -65,7 +72,7 @@ def _inspection_year(lt) -> DataFrame:
 def inspection_history_family(lt, spine: DataFrame, windows=ALL_WINDOWS) -> DataFrame:
     pre = _inspection_year(lt).groupBy(ENTITY, "year").agg(F.count(F.lit(1)).alias("n"))
     s = window_sums(pre, spine, windows, ["n"])
-    return s.select(ENTITY, "label_year", *[F.col(f"n__{w}").alias(f"inspection_num_{w}") for w in windows])
+    return s.selectExpr(ENTITY, "label_year", *[f"n__{w} AS inspection_num_{w}" for w in windows])
 
 
 def feat_inspection_history(lt, cohort: DataFrame, spine: DataFrame, windows=ALL_WINDOWS) -> DataFrame:
@@ -74,42 +81,41 @@ def feat_inspection_history(lt, cohort: DataFrame, spine: DataFrame, windows=ALL
 
 # --- F2 -----------------------------------------------------------------------
 def _violation_partials() -> tuple[list[str], list[Column]]:
-    """(names, aliased aggregate expressions) of the additive partials."""
+    """(names, aggregate expressions) of the additive inspection partials."""
     parts = [
-        F.count(F.lit(1)).alias("n"),
-        conditional_count(F.col("found_violation_flag") == "Y").alias("n_violation"),
-        conditional_count(F.col("citizen_complaint_flag") == "Y").alias("n_complaint"),
-        conditional_count(F.col("enforcement_type").isin(*FORMAL_ENFORCEMENT_CODES)).alias("n_formal"),
+        ("n", "count(1)"),
+        ("n_violation", count_if_sql("found_violation_flag = 'Y'")),
+        ("n_complaint", count_if_sql("citizen_complaint_flag = 'Y'")),
+        ("n_formal", count_if_sql(sql_in("enforcement_type", FORMAL_ENFORCEMENT_CODES))),
     ]
-    parts += [conditional_count(F.col("disposition_status") == d).alias(f"n_disp_{d.lower()}")
-              for d in DISPOSITION_CODES]
+    parts += [(f"n_disp_{d.lower()}", count_if_sql(f"disposition_status = '{d}'")) for d in DISPOSITION_CODES]
     parts += [
-        F.sum(F.coalesce(F.col("final_amount"), F.lit(0.0))).alias("penalty_sum"),
-        conditional_count(F.col("final_amount").isNotNull()).alias("n_penalty"),
-        conditional_count(F.col("evaluation_type").isin(*FOLLOW_UP_EVALUATION_TYPES)).alias("n_follow_up"),
-        conditional_count(F.col("violation_type") == "FEA").alias("n_fea"),
+        ("penalty_sum", "sum(coalesce(final_amount, 0.0D))"),
+        ("n_penalty", count_if_sql("final_amount IS NOT NULL")),
+        ("n_follow_up", count_if_sql(sql_in("evaluation_type", FOLLOW_UP_EVALUATION_TYPES))),
+        ("n_fea", count_if_sql("violation_type = 'FEA'")),
     ]
-    names = ["n", "n_violation", "n_complaint", "n_formal"] + [f"n_disp_{d.lower()}" for d in DISPOSITION_CODES] \
-        + ["penalty_sum", "n_penalty", "n_follow_up", "n_fea"]
-    return names, parts
+    return [n for n, _ in parts], _agg([f"{e} AS {n}" for n, e in parts])
+
+
+def _f2_sql(w: str) -> list[str]:
+    cols = [f"{_ratio('n_violation', 'n', w)} AS violation_per_inspection_{w}",
+            f"{_ratio('n_complaint', 'n', w)} AS complaint_per_inspection_{w}",
+            f"{_ratio('n_formal', 'n', w)} AS formal_enforcement_per_inspection_{w}"]
+    cols += [f"{_ratio('n_disp_' + d.lower(), 'n', w)} AS disposition_{d.lower()}_per_inspection_{w}"
+             for d in DISPOSITION_CODES]
+    cols += [f"penalty_sum__{w} AS sum_penalty_amount_{w}",
+             f"{_ratio('n_penalty', 'n', w)} AS avg_num_violations_with_penalty_per_inspection_{w}",
+             f"{_ratio('n_follow_up', 'n', w)} AS avg_evaluation_type_with_follow_up_{w}",
+             f"{_ratio('n_fea', 'n', w)} AS avg_fea_violation_per_inspection_{w}"]
+    return cols
 
 
 def violation_history_family(lt, spine: DataFrame, windows=ALL_WINDOWS) -> DataFrame:
     names, partials = _violation_partials()
     pre = _inspection_year(lt).groupBy(ENTITY, "year").agg(*partials)
     s = window_sums(pre, spine, windows, names)
-    cols = []
-    for w in windows:
-        cols += [_ratio("n_violation", "n", w).alias(f"violation_per_inspection_{w}"),
-                 _ratio("n_complaint", "n", w).alias(f"complaint_per_inspection_{w}"),
-                 _ratio("n_formal", "n", w).alias(f"formal_enforcement_per_inspection_{w}")]
-        cols += [_ratio(f"n_disp_{d.lower()}", "n", w).alias(f"disposition_{d.lower()}_per_inspection_{w}")
-                 for d in DISPOSITION_CODES]
-        cols += [F.col(f"penalty_sum__{w}").alias(f"sum_penalty_amount_{w}"),
-                 _ratio("n_penalty", "n", w).alias(f"avg_num_violations_with_penalty_per_inspection_{w}"),
-                 _ratio("n_follow_up", "n", w).alias(f"avg_evaluation_type_with_follow_up_{w}"),
-                 _ratio("n_fea", "n", w).alias(f"avg_fea_violation_per_inspection_{w}")]
-    return s.select(ENTITY, "label_year", *cols)
+    return s.selectExpr(ENTITY, "label_year", *[c for w in windows for c in _f2_sql(w)])
 
 
 def feat_violation_history(lt, cohort: DataFrame, spine: DataFrame, windows=ALL_WINDOWS) -> DataFrame:
@@ -138,28 +144,28 @@ def waste_info_family(lt, spine: DataFrame, windows=("most_recent", "three_year"
     pounds = to_pounds(F.col("unit_of_measure"), F.col("gen_qty"), F.col("wst_density"),
                        F.col("density_unit_of_measure"))
     pre = w.groupBy(ENTITY, "year").agg(
-        F.count(F.lit(1)).alias("n"),
-        conditional_count(code.isin(*WASTE_MIN_NONE)).alias("n_none"),
-        conditional_count(code.isin(*WASTE_MIN_INITIATED)).alias("n_init"),
-        conditional_count(code.isin(*WASTE_MIN_CONTINUED)).alias("n_cont"),
-        conditional_count(~code.isin(*WASTE_MIN_NONE, *WASTE_MIN_INITIATED, *WASTE_MIN_CONTINUED)).alias("n_rest"),
-        conditional_count(F.col("on_site_management") == "Y").alias("n_on"),
-        conditional_count(F.col("on_site_management") == "N").alias("n_off"),
+        *_agg(["count(1) AS n",
+               f"{count_if_sql(sql_in('waste_min_code', WASTE_MIN_NONE))} AS n_none",
+               f"{count_if_sql(sql_in('waste_min_code', WASTE_MIN_INITIATED))} AS n_init",
+               f"{count_if_sql(sql_in('waste_min_code', WASTE_MIN_CONTINUED))} AS n_cont",
+               f"{count_if_sql('NOT ' + sql_in('waste_min_code', WASTE_MIN_NONE + WASTE_MIN_INITIATED + WASTE_MIN_CONTINUED))} AS n_rest",
+               count_if_sql("on_site_management = 'Y'") + " AS n_on",
+               count_if_sql("on_site_management = 'N'") + " AS n_off"]),
         # pounds per page at micro-pound resolution, so window sums do not
         # depend on summation order
         F.sum(round_half_up(pounds, 6)).alias("pounds"))
     s = window_sums(pre, spine, windows, ["n", "n_none", "n_init", "n_cont", "n_rest", "n_on", "n_off", "pounds"])
     cols = []
     for x in windows:
-        cols += [_ratio("n_none", "n", x).alias(f"percent_no_waste_min_{x}"),
-                 _ratio("n_init", "n", x).alias(f"percent_initiated_waste_min_{x}"),
-                 _ratio("n_cont", "n", x).alias(f"percent_continue_waste_min_{x}"),
-                 _ratio("n_rest", "n", x).alias(f"percent_rest_waste_min_{x}"),
-                 F.col(f"n__{x}").alias(f"total_num_waste_{x}"),
-                 _ratio("n_on", "n", x).alias(f"percent_on_site_management_{x}"),
-                 _ratio("n_off", "n", x).alias(f"percent_off_site_management_{x}"),
-                 F.col(f"pounds__{x}").alias(f"total_gen_qty_pound_{x}")]
-    return s.select(ENTITY, "label_year", *cols)
+        cols += [f"{_ratio('n_none', 'n', x)} AS percent_no_waste_min_{x}",
+                 f"{_ratio('n_init', 'n', x)} AS percent_initiated_waste_min_{x}",
+                 f"{_ratio('n_cont', 'n', x)} AS percent_continue_waste_min_{x}",
+                 f"{_ratio('n_rest', 'n', x)} AS percent_rest_waste_min_{x}",
+                 f"n__{x} AS total_num_waste_{x}",
+                 f"{_ratio('n_on', 'n', x)} AS percent_on_site_management_{x}",
+                 f"{_ratio('n_off', 'n', x)} AS percent_off_site_management_{x}",
+                 f"pounds__{x} AS total_gen_qty_pound_{x}"]
+    return s.selectExpr(ENTITY, "label_year", *cols)
 
 
 def feat_waste_info(lt, cohort: DataFrame, spine: DataFrame, windows=("most_recent", "three_year")) -> DataFrame:
@@ -237,11 +243,11 @@ def waste_code_family(lt, spine: DataFrame, windows=("most_recent", "three_year"
     s = window_sums(pre, spine, windows, ["n", "n_ign", "n_cor", "n_rea", "n_tox"])
     cols = []
     for w in windows:
-        cols += [_ratio("n_ign", "n", w).alias(f"percent_ignitable_{w}"),
-                 _ratio("n_cor", "n", w).alias(f"percent_corrosive_{w}"),
-                 _ratio("n_rea", "n", w).alias(f"percent_reactive_{w}"),
-                 _ratio("n_tox", "n", w).alias(f"percent_toxic_{w}")]
-    return s.select(ENTITY, "label_year", *cols)
+        cols += [f"{_ratio('n_ign', 'n', w)} AS percent_ignitable_{w}",
+                 f"{_ratio('n_cor', 'n', w)} AS percent_corrosive_{w}",
+                 f"{_ratio('n_rea', 'n', w)} AS percent_reactive_{w}",
+                 f"{_ratio('n_tox', 'n', w)} AS percent_toxic_{w}"]
+    return s.selectExpr(ENTITY, "label_year", *cols)
 
 
 def feat_waste_code(lt, cohort: DataFrame, spine: DataFrame,
@@ -253,18 +259,13 @@ def feat_waste_code(lt, cohort: DataFrame, spine: DataFrame,
 def _entity_rates(lt, spine: DataFrame, windows) -> DataFrame:
     """(handler_id, label_year, v__w, c__w, f__w): the entity's own
     violation / complaint / formal shares per window."""
-    pre = _inspection_year(lt).groupBy(ENTITY, "year").agg(
-        F.count(F.lit(1)).alias("n"),
-        conditional_count(F.col("found_violation_flag") == "Y").alias("n_violation"),
-        conditional_count(F.col("citizen_complaint_flag") == "Y").alias("n_complaint"),
-        conditional_count(F.col("enforcement_type").isin(*FORMAL_ENFORCEMENT_CODES)).alias("n_formal"))
+    pre = _inspection_year(lt).groupBy(ENTITY, "year").agg(*_agg([
+        "count(1) AS n",
+        count_if_sql("found_violation_flag = 'Y'") + " AS n_violation",
+        count_if_sql("citizen_complaint_flag = 'Y'") + " AS n_complaint",
+        f"{count_if_sql(sql_in('enforcement_type', FORMAL_ENFORCEMENT_CODES))} AS n_formal"]))
     s = window_sums(pre, spine, windows, ["n", "n_violation", "n_complaint", "n_formal"])
-    cols = []
-    for w in windows:
-        cols += [_ratio("n_violation", "n", w).alias(f"v__{w}"),
-                 _ratio("n_complaint", "n", w).alias(f"c__{w}"),
-                 _ratio("n_formal", "n", w).alias(f"f__{w}")]
-    return s.select(ENTITY, "label_year", *cols)
+    return rates_from(s, windows)
 
 
 def first_group(rows: DataFrame, group_col: str, spine: DataFrame, latest: bool = False) -> DataFrame:
@@ -363,30 +364,18 @@ def inspection_family(lt, spine: DataFrame, windows=ALL_WINDOWS) -> DataFrame:
     return window_sums(pre, spine, windows, names)
 
 
-def f1_f2_columns(s: DataFrame, windows=ALL_WINDOWS) -> list[Column]:
-    cols = []
-    for w in windows:
-        cols.append(F.col(f"n__{w}").alias(f"inspection_num_{w}"))
-    for w in windows:
-        cols += [_ratio("n_violation", "n", w).alias(f"violation_per_inspection_{w}"),
-                 _ratio("n_complaint", "n", w).alias(f"complaint_per_inspection_{w}"),
-                 _ratio("n_formal", "n", w).alias(f"formal_enforcement_per_inspection_{w}")]
-        cols += [_ratio(f"n_disp_{d.lower()}", "n", w).alias(f"disposition_{d.lower()}_per_inspection_{w}")
-                 for d in DISPOSITION_CODES]
-        cols += [F.col(f"penalty_sum__{w}").alias(f"sum_penalty_amount_{w}"),
-                 _ratio("n_penalty", "n", w).alias(f"avg_num_violations_with_penalty_per_inspection_{w}"),
-                 _ratio("n_follow_up", "n", w).alias(f"avg_evaluation_type_with_follow_up_{w}"),
-                 _ratio("n_fea", "n", w).alias(f"avg_fea_violation_per_inspection_{w}")]
-    return cols
+def f1_f2_columns(windows=ALL_WINDOWS) -> list[str]:
+    """SQL select list of F1 counts and F2 shares over ``inspection_family``."""
+    return [f"n__{w} AS inspection_num_{w}" for w in windows] + [c for w in windows for c in _f2_sql(w)]
 
 
 def rates_from(s: DataFrame, windows=ALL_WINDOWS) -> DataFrame:
     cols = []
     for w in windows:
-        cols += [_ratio("n_violation", "n", w).alias(f"v__{w}"),
-                 _ratio("n_complaint", "n", w).alias(f"c__{w}"),
-                 _ratio("n_formal", "n", w).alias(f"f__{w}")]
-    return s.select(ENTITY, "label_year", *cols)
+        cols += [f"{_ratio('n_violation', 'n', w)} AS v__{w}",
+                 f"{_ratio('n_complaint', 'n', w)} AS c__{w}",
+                 f"{_ratio('n_formal', 'n', w)} AS f__{w}"]
+    return s.selectExpr(ENTITY, "label_year", *cols)
 
 
 # --- F13 registered form -----------------------------------------------------------
@@ -398,9 +387,9 @@ def window_features_single_pass(lt, cohort: DataFrame, spine: DataFrame, windows
     s = window_sums(pre, spine, windows, names)
     cols = []
     for w in windows:
-        cols += [F.col(f"n__{w}").alias(f"inspection_num_{w}"),
-                 _ratio("n_violation", "n", w).alias(f"violation_per_inspection_{w}"),
-                 _ratio("n_complaint", "n", w).alias(f"complaint_per_inspection_{w}"),
-                 _ratio("n_formal", "n", w).alias(f"formal_enforcement_per_inspection_{w}"),
-                 F.col(f"penalty_sum__{w}").alias(f"sum_penalty_amount_{w}")]
-    return _onto_cohort(cohort, s.select(ENTITY, "label_year", *cols))
+        cols += [f"n__{w} AS inspection_num_{w}",
+                 f"{_ratio('n_violation', 'n', w)} AS violation_per_inspection_{w}",
+                 f"{_ratio('n_complaint', 'n', w)} AS complaint_per_inspection_{w}",
+                 f"{_ratio('n_formal', 'n', w)} AS formal_enforcement_per_inspection_{w}",
+                 f"penalty_sum__{w} AS sum_penalty_amount_{w}"]
+    return _onto_cohort(cohort, s.selectExpr(ENTITY, "label_year", *cols))

@@ -32,18 +32,16 @@ def join_windows(frames: Sequence[DataFrame]) -> DataFrame:
 def family_frames(lt, lt_all, spine: DataFrame) -> list[DataFrame]:
     """All families as (handler_id, label_year, features...) frames.
 
-    The inspection partials are aggregated once and feed the counts, the
-    shares and both peer averages (the peer rates use the same windows
-    and inspection rows, which the year bound of ``lt`` does not cut:
-    the bound covers every window)."""
+    Inspection counts and shares come from one aggregate of the
+    inspection partials (F1 and F2 in one pass)."""
     ins = FT.inspection_family(lt, spine)
     return [
-        ins.select(FT.ENTITY, "label_year", *FT.f1_f2_columns(ins)),
+        ins.selectExpr(FT.ENTITY, "label_year", *FT.f1_f2_columns()),
         FT.waste_info_family(lt, spine),
         FT.parent_company_size_family(lt_all, spine),
         FT.waste_code_family(lt, spine),
-        FT.parent_company_peers_family(lt_all, spine, rates=FT.rates_from(ins)),
-        FT.zip_peers_family(lt_all, spine, rates=FT.rates_from(ins)),
+        FT.parent_company_peers_family(lt_all, spine),
+        FT.zip_peers_family(lt_all, spine),
     ]
 
 

@@ -29,10 +29,15 @@ def register(name: str):
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    from hazrank.functions.columns import round_half_up
-    cols = [round_half_up(F.col(f.name), digits).alias(f.name) if isinstance(f.dataType, (DoubleType, FloatType))
-            else F.col(f.name) for f in df.schema.fields]
-    return df.select(*cols)
+    """Half-up rounding of every DOUBLE column (one selectExpr)."""
+    from hazrank.functions.columns import round_half_up_sql
+    cols = [f"{round_half_up_sql(_q(f.name), digits)} AS {_q(f.name)}"
+            if isinstance(f.dataType, (DoubleType, FloatType)) else _q(f.name) for f in df.schema.fields]
+    return df.selectExpr(*cols)
+
+
+def _q(c: str) -> str:
+    return "`" + c.replace("`", "``") + "`"
 
 
 class Ctx:

@@ -32,6 +32,21 @@ def test_ordered_index_matches_row_number_with_hot_group(spark):
     assert bad == 0 and got.count() == 3000
 
 
+def test_ordered_index_after_shuffle_join(spark):
+    """Input produced by a shuffle join (non-deterministic read order)."""
+    rnd = random.Random(11)
+    a = spark.createDataFrame([(i % 3, i, float(rnd.randint(0, 30))) for i in range(4000)],
+                              "g int, handler_id long, score double").repartition(5, "handler_id")
+    b = spark.createDataFrame([(i, i % 2) for i in range(4000)], "handler_id long, formal long").repartition(
+        3, "handler_id")
+    j = a.join(b, "handler_id")
+    got = R.ordered_index(j, ["g"], R.score_order(), num_partitions=6)
+    w = Window.partitionBy("g").orderBy(F.col("score").desc(), F.col("handler_id"))
+    exp = j.withColumn("rn_ref", F.row_number().over(w))
+    bad = got.join(exp, ["g", "handler_id"]).where(F.col("rn") != F.col("rn_ref")).count()
+    assert bad == 0 and got.select("g", "rn").distinct().count() == 4000
+
+
 def test_cohort_flavours_partition_active(spark):
     c = Ctx(spark, SF001)
     act = C.cohort_active(c.lt, c.spine)
