@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 def fmt6(x: Column) -> Column:
     """Fixed 6-decimal text of the half-up rounded value, 'nan' when missing."""
     from hazrank.functions.columns import round_half_up
-    return F.coalesce(F.format_string("%.6f", round_half_up(x, 6)), F.lit("nan"))
+    # format_string renders NULL as the text 'null', so test explicitly
+    return F.when(x.isNull(), F.lit("nan")).otherwise(F.format_string("%.6f", round_half_up(x, 6)))
 
 
 # --- S8 / G6 ------------------------------------------------------------------
