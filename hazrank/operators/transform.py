@@ -72,12 +72,13 @@ def onehot_fit(df: DataFrame, bases: Sequence[str]) -> OneHotModel:
     cols = _expand(df, bases)
     if not cols:
         return OneHotModel({})
-    row = df.agg(*[F.array_sort(F.collect_set(F.trim(F.col(c)))).alias(c) for c in cols]).first()
-    cats = {c: list(row[c]) for c in cols}
-    for c, v in cats.items():
-        if len(v) > MAX_ONEHOT_CATEGORIES:
-            raise ValueError(f"{c}: {len(v)} categories is not a one-hot column")
-    return OneHotModel(cats)
+    # bound first (one number per column), collect the values only then
+    n = df.selectExpr(*[f"count(DISTINCT trim({q(c)})) AS {q(c)}" for c in cols]).first()
+    for c in cols:
+        if n[c] > MAX_ONEHOT_CATEGORIES:
+            raise ValueError(f"{c}: {n[c]} categories is not a one-hot column")
+    row = df.selectExpr(*[f"array_sort(collect_set(trim({q(c)}))) AS {q(c)}" for c in cols]).first()
+    return OneHotModel({c: list(row[c]) for c in cols})
 
 
 def onehot_fit_transform(df: DataFrame, bases: Sequence[str]) -> tuple[DataFrame, OneHotModel]:
