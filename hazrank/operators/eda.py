@@ -126,22 +126,28 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float]) -> DataFram
 
 
 def describe_column(df: DataFrame, col: str) -> DataFrame:
-    """count, mean, std (sample), min, 25/50/75 % (exact), max."""
-    base = df.agg(F.count(col).alias("count"), F.avg(col).alias("mean"), F.stddev_samp(col).alias("std"),
-                  F.min(col).alias("min"), F.max(col).alias("max"))
-    q = exact_quantiles(df, col, (0.25, 0.5, 0.75))
-    return base.crossJoin(q).select("count", "mean", "std", "min", "q_25", "q_50", "q_75", "max")
+    """count, mean, std (sample), min, 25/50/75 % (exact), max.
+
+    Moments and extremes are one aggregate; the quantiles are attached
+    as literals from their own one-row result (no join)."""
+    q = exact_quantiles(df, col, (0.25, 0.5, 0.75)).first()
+    lit = {k: F.lit(q[k]).cast("double") for k in ("q_25", "q_50", "q_75")}
+    return df.agg(F.count(col).alias("count"), F.avg(col).alias("mean"), F.stddev_samp(col).alias("std"),
+                  F.min(col).alias("min"), lit["q_25"].alias("q_25"), lit["q_50"].alias("q_50"),
+                  lit["q_75"].alias("q_75"), F.max(col).alias("max"))
 
 
 # --- B17 ----------------------------------------------------------------------
 def histogram(df: DataFrame, col: str, bins: int = 10) -> DataFrame:
-    """Equal-width bins between min and max (max falls in the last bin)."""
-    mm = df.agg(F.min(col).alias("_mn"), F.max(col).alias("_mx"))
-    j = df.where(F.col(col).isNotNull()).crossJoin(F.broadcast(mm))
-    width = F.col("_mx") - F.col("_mn")
-    b = F.least(F.floor((F.col(col) - F.col("_mn")) / F.when(width == 0, F.lit(1.0)).otherwise(width)
+    """Equal-width bins between min and max (max falls in the last bin).
+    min and max are one aggregate row, applied as literals."""
+    mm = df.agg(F.min(col).cast("double").alias("mn"), F.max(col).cast("double").alias("mx")).first()
+    if mm["mn"] is None:
+        return df.where(F.lit(False)).select(F.lit(1).alias("bin"), F.lit(0).cast("long").alias("count"))
+    width = mm["mx"] - mm["mn"]
+    b = F.least(F.floor((F.col(col) - F.lit(mm["mn"])) / F.lit(width if width != 0 else 1.0)
                         * F.lit(float(bins))), F.lit(bins - 1)).cast("int") + 1
-    return j.groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    return df.where(F.col(col).isNotNull()).groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
 
 
 # --- B18 ----------------------------------------------------------------------

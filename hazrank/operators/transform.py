@@ -102,30 +102,41 @@ def align_columns(a: DataFrame, b: DataFrame, fill=0) -> tuple[DataFrame, DataFr
 def minmax_normalize(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """(x - min) / (max - min), NULL-skipping; a constant column gives 0.
 
-    min and max come from one aggregate row, joined back as a broadcast
-    single row (a proven size bound)."""
+    min and max come from one aggregate row (two numbers per column, a
+    proven bound) and are applied as literals -- no join at all."""
     stats = minmax_fit(df, cols)
     return minmax_apply(df, stats, cols)
 
 
-def minmax_fit(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """One row of per-column min and max (NULL-skipping)."""
-    return df.selectExpr(*[f"min({q(c)}) AS {q('_mn_' + c)}" for c in cols],
-                         *[f"max({q(c)}) AS {q('_mx_' + c)}" for c in cols])
+def minmax_fit(df: DataFrame, cols: Sequence[str]) -> dict[str, tuple]:
+    """Per-column (min, max), NULL-skipping: one aggregate row."""
+    row = df.selectExpr(*[f"CAST(min({q(c)}) AS DOUBLE) AS {q('_mn_' + c)}" for c in cols],
+                        *[f"CAST(max({q(c)}) AS DOUBLE) AS {q('_mx_' + c)}" for c in cols]).first()
+    return {c: (row["_mn_" + c], row["_mx_" + c]) for c in cols}
 
 
-def minmax_apply(df: DataFrame, stats: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Scale with a fitted stats row, joined as a broadcast single row."""
-    j = df.crossJoin(F.broadcast(stats))
+def _lit(v) -> str:
+    import math
+    if v is None or math.isnan(v):
+        return "CAST(NULL AS DOUBLE)"
+    if math.isinf(v):
+        return "double('Infinity')" if v > 0 else "double('-Infinity')"
+    return f"CAST('{float(v)!r}' AS DOUBLE)"
+
+
+def minmax_apply(df: DataFrame, stats: dict[str, tuple], cols: Sequence[str]) -> DataFrame:
+    """Scale with fitted (min, max) literals."""
     cset = set(cols)
     out = []
     for c in df.columns:
         if c in cset:
-            mn, mx = q("_mn_" + c), q("_mx_" + c)
-            out.append(f"({q(c)} - {mn}) / CASE WHEN {mx} - {mn} = 0 THEN 1 ELSE {mx} - {mn} END AS {q(c)}")
+            mn, mx = stats[c]
+            rng = None if mn is None else mx - mn
+            den = "1.0D" if rng in (None, 0) else _lit(rng)
+            out.append(f"({q(c)} - {_lit(mn)}) / {den} AS {q(c)}")
         else:
             out.append(q(c))
-    return j.selectExpr(*out)
+    return df.selectExpr(*out)
 
 
 # --- X6 -----------------------------------------------------------------------
