@@ -32,16 +32,19 @@ def join_windows(frames: Sequence[DataFrame]) -> DataFrame:
 def family_frames(lt, lt_all, spine: DataFrame) -> list[DataFrame]:
     """All families as (handler_id, label_year, features...) frames.
 
-    Inspection counts and shares come from one aggregate of the
-    inspection partials (F1 and F2 in one pass)."""
+    One aggregate of the inspection partials feeds the counts, the shares
+    and the entity rates of both peer averages: the same plan object, so
+    its shuffle is computed once and reused (the year bound of ``lt``
+    covers every window, so the rates equal the unbounded ones)."""
     ins = FT.inspection_family(lt, spine)
+    rates = FT.rates_from(ins)
     return [
         ins.selectExpr(FT.ENTITY, "label_year", *FT.f1_f2_columns()),
         FT.waste_info_family(lt, spine),
         FT.parent_company_size_family(lt_all, spine),
         FT.waste_code_family(lt, spine),
-        FT.parent_company_peers_family(lt_all, spine),
-        FT.zip_peers_family(lt_all, spine),
+        FT.parent_company_peers_family(lt_all, spine, rates=rates),
+        FT.zip_peers_family(lt_all, spine, rates=rates),
     ]
 
 
