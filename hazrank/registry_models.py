@@ -137,3 +137,35 @@ def q_train_single(spark, sf_dir):
         r = MD.temporal_cv_grid(m, [(0, train_years, val_year)], grid, K_DEFAULT, flag_bases(m), ONEHOT_BASES)
         outs.append(r.withColumn("with_history", F.lit(hist)))
     return rounded(outs[0].unionByName(outs[1]))
+
+
+@register("fit_model")
+def q_fit_model(spark, sf_dir):
+    """Every family fitted on all training years of the with-history
+    matrix: training size, feature count and training-set ranking quality
+    (area under ROC of the fitted scores)."""
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    c = ctx(spark, sf_dir)
+    rows = []
+    for model_type, name, params in [g for g in DEFAULT_GRID if g[1].endswith("_0")]:
+        model, fold, _ = _fit_last(c, model_type, params)
+        sc = MD.score_model(model, fold.train.withColumnRenamed("label", "formal"), model_type)
+        auc = BinaryClassificationEvaluator(rawPredictionCol="score", labelCol="formal").evaluate(
+            sc.withColumn("formal", F.col("formal").cast("double")))
+        rows.append((model_type, name, fold.n_train, len(fold.feature_names), float(auc)))
+    return spark.createDataFrame(rows, "model_type string, model_name string, n_train long, n_features int, "
+                                       "train_auc double")
+
+
+@register("load_model")
+def q_load_model(spark, sf_dir):
+    """A persisted model re-opened from its folder and evaluated at k on
+    the last validation year."""
+    c = ctx(spark, sf_dir)
+    model, fold, train_years = _fit_last(c, "xgbClassifier", dict(DEFAULT_GRID[4][2]))
+    path = MD.save_model(model, SF.shared_path(spark, "models"), "xgbClassifier_0", train_years)
+    sc = MD.score_model(MD.load_model(path), fold.val, "xgbClassifier")
+    s = sc.select(F.lit("xgbClassifier_0").alias("model_id"), F.col("label_year").alias("eval_year"),
+                  "handler_id", "score")
+    lab = sc.select(F.col("label_year").alias("eval_year"), "handler_id", "formal")
+    return rounded(precision_at_k(s, lab, K_DEFAULT))

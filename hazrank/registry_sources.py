@@ -94,3 +94,19 @@ def q_s6(spark, sf_dir):
 def q_s7(spark, sf_dir):
     c = ctx(spark, sf_dir)
     return SF.geo_lookup(SF.ingest_array_json(_landed(c, spark), numeric=("population",)))
+
+
+GRID_LONG_SCHEMA = ("model_name string, ranked long, i long, labelled_at_k long, positives_at_k long, "
+                    "all_positives long, precision double, support double, recall double, fdr double, "
+                    "model_type string, model_index int, model_param string, with_history boolean, eval_year int")
+
+
+@register("sink_csv")
+def q_s3_csv(spark, sf_dir):
+    """Grid results written as CSV partitioned by evaluation year and read
+    back with an explicit schema (partition column typed by the schema)."""
+    c = ctx(spark, sf_dir)
+    from hazrank.registry_eval import grid_results_long
+    path = SF.shared_path(spark, "grid-long-csv")
+    SF.sink(grid_results_long(c, True).drop("model_id"), path, "csv", ["eval_year"])
+    return SF.scan_csv(spark, path, GRID_LONG_SCHEMA)
