@@ -69,10 +69,11 @@ _WAREHOUSES: dict[tuple[int, str], Warehouse] = {}
 def _warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     """One opened warehouse per session and folder: table scans (lazy
     DataFrames) are shared by the queries instead of re-reading footers."""
-    key = (id(spark), sf_dir)
-    if key not in _WAREHOUSES:
-        _WAREHOUSES[key] = Warehouse(spark, sf_dir)
-    return _WAREHOUSES[key]
+    key = (id(spark), spark.sparkContext.applicationId, sf_dir)
+    wh = _WAREHOUSES.get(key)
+    if wh is None or wh.spark is not spark:
+        wh = _WAREHOUSES[key] = Warehouse(spark, sf_dir)
+    return wh
 
 
 def ctx(spark, sf_dir) -> Ctx:
