@@ -39,6 +39,7 @@ def model_matrix(c, history: bool = True):
     if key not in c.__dict__:
         from hazrank.session import checkpoint_dir
         checkpoint_dir(c.spark)
+        c.materialize_order_lines()
         route = C.cohort_route(c.lt, c.spine).where(F.col("history") == F.lit(history)).drop("history")
         m = M.build_matrix(c.lt, c.lt_all, route, c.spine)
         lab = L.label_formal(c.lt, route.select("handler_id", "label_year").distinct(), c.spine)

@@ -23,6 +23,7 @@ def q_join_windows(spark, sf_dir):
 @register("build_matrix")
 def q_build_matrix(spark, sf_dir):
     c = ctx(spark, sf_dir)
+    c.materialize_order_lines()
     coh = C.cohort_active(c.lt, c.spine)
     return rounded(M.build_matrix(c.lt, c.lt_all, coh, c.spine))
 
