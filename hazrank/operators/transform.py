@@ -13,7 +13,6 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 # suffixes of a configured base feature name (fixed values)
 YEAR_EXTENSIONS = ("", "_three_year", "_five_year", "_most_recent", "_total")

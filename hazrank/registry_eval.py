@@ -10,7 +10,6 @@ selection and reshaping run on results derived from the tables.
 
 from __future__ import annotations
 
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
