@@ -78,3 +78,22 @@ def test_unlabelled_below_cutoff_does_not_change_precision(spark):
     p2 = R.precision_at_k(s2, lab2, 0.25).first()
     assert p1.i == p2.i and p1.precision == p2.precision
     assert 0 <= p1.precision <= 1
+
+
+def test_onehot_rows_sum_to_at_most_one(spark):
+    import __spark_entry__ as E
+    df = E.queries()["onehot_transform"](spark, SF001)
+    for base in ("land_type_most_recent", "state_district_most_recent"):
+        cols = [c for c in df.columns if c.startswith(base + "_onehot_")]
+        total = sum((F.col(c) for c in cols[1:]), F.col(cols[0]))
+        assert df.where(total > 1).count() == 0
+
+
+def test_date_bound_is_pushed_to_the_scan(spark):
+    """The timeline's year bound must reach parquet as a pushed filter."""
+    import __spark_entry__ as E
+    df = E.queries()["window_features_single_pass"](spark, SF001)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    pushed = [line for line in plan.splitlines() if "orders.parquet" in line or "PushedFilters" in line]
+    assert any("GreaterThanOrEqual(o_orderdate" in p for p in pushed), pushed[:3]
+    assert any("LessThan(o_orderdate" in p for p in pushed), pushed[:3]
