@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hazrank.config import NEVER_INSPECTED_DAYS
@@ -30,9 +30,11 @@ def state_inspections(lt, state: str, lo_year: int, hi_year: int) -> DataFrame:
 # --- B1 -----------------------------------------------------------------------
 def share_by_value(df: DataFrame, col: str) -> DataFrame:
     """Count per value and its percentage of all rows, truncated to 2 decimals.
-    The total is a window over the (small) aggregated result."""
+    The total is one aggregate number applied as a literal, so any number
+    of values stays spread over the grouped partitions."""
     g = df.groupBy(col).agg(F.count(F.lit(1)).alias("count"))
-    pct = F.col("count").cast("double") * F.lit(100.0) / F.sum("count").over(Window.partitionBy())
+    total = df.agg(F.count(F.lit(1)).alias("n")).first()["n"]
+    pct = F.col("count").cast("double") * F.lit(100.0) / F.lit(total).cast("double")
     return g.select(col, "count", floor_decimals(pct, 2).alias("percentage"))
 
 
