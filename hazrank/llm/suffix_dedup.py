@@ -265,29 +265,35 @@ def _shard(length: int, hot: int):
         ids, firsts = t.column("id").to_pylist(), t.column("firsts").to_pylist()
         # a text that several tasks hold comes several times
         pick = sorted({(x, f[0]): k for k, (x, f) in enumerate(zip(ids, firsts))}.values())
-        own, n, raw = (np.array(t.column(c).to_numpy())[pick] for c in ("own", "n", "raw"))
-        own = own.astype(np.int64)
-        ids, firsts = [ids[k] for k in pick], [firsts[k] for k in pick]
-        times = np.array([len(f) for f in firsts])
-        which, offset, count, group = repeats(list(raw), own, times, length)
+        # equal contexts of several texts are sorted once and count together
+        raws, n_all = t.column("raw").to_pylist(), t.column("n").to_pylist()
+        own_all = t.column("own").to_pylist()
+        members: dict[bytes, list[int]] = {}
+        for k in pick:
+            members.setdefault(raws[k], []).append(k)
+        raw, groups = list(members), list(members.values())
+        own, n = (np.array([v[g[0]] for g in groups], dtype=np.int64) for v in (own_all, n_all))
+        times = np.array([sum(len(firsts[k]) for k in g) for g in groups])
+        which, offset, count, group = repeats(raw, own, times, length)
         twice = count > 1
         # runs of neighbouring repeats in one context
         new = twice & ~np.concatenate([[False], twice[:-1] & (which[1:] == which[:-1])])
         last = twice & ~np.concatenate([twice[1:] & (which[1:] == which[:-1]), [False]])
         out = {"id": [], "a": [], "b": [], "window": [], "shard": []}
         for w, a, z in zip(which[new].tolist(), offset[new].tolist(), offset[last].tolist()):
-            for f in firsts[w]:
-                out["id"].append(ids[w])
-                out["a"].append(f + a)
-                out["b"].append(f + z)
+            for k in groups[w]:
+                for f in firsts[k]:
+                    out["id"].append(ids[k])
+                    out["a"].append(f + a)
+                    out["b"].append(f + z)
         out["window"], out["shard"] = [None] * len(out["id"]), [shard] * len(out["id"])
-        spread = np.flatnonzero(n.astype(np.int64)[which] > hot)
+        spread = np.flatnonzero(n[which] > hot)
         if len(spread):
             _, one = np.unique(group[spread], return_index=True)
             for k in spread[one]:
                 w = which[k]
-                out["id"].append(ids[w])
-                out["a"].append(int(firsts[w][0] + offset[k]))
+                out["id"].append(ids[groups[w][0]])
+                out["a"].append(int(firsts[groups[w][0]][0] + offset[k]))
                 out["b"].append(int(count[k]))
                 out["window"].append(hashlib.blake2b(raw[w][offset[k]:offset[k] + length], digest_size=16).digest())
                 out["shard"].append(shard)
