@@ -138,7 +138,7 @@ def tokenize(docs: DataFrame, name: str = VOCABULARY, end: int = END, window: in
         uid = TaskContext.get().partitionId() << 40
         for b in batches:
             rows = []
-            for doc_id, ids in zip(b.column(0).to_pylist(), encoded(b.column(1).to_pylist(), name, True, end)):
+            for doc_id, ids in zip(b.column(0).to_pylist(), encoded(b.column(1), name, True, end)):
                 n = len(ids) // 4
                 for start in range(0, n, window):
                     rows.append((uid, doc_id, start, min(window, n - start), n, ids[4 * start:4 * (start + window)]))

@@ -56,9 +56,9 @@ def decode_values(control: bytes, data: bytes, n: int) -> np.ndarray:
     groups = np.concatenate([[0], np.cumsum(_TOTAL[c])])[:-1]
     at = (groups[:, None] + _BEFORE[c]).reshape(-1)[:n]
     size = _BYTES[c].reshape(-1)[:n]
-    raw = np.frombuffer(data + b"\0\0\0", dtype=np.uint8)
-    word = raw[at[:, None] + np.arange(4)].reshape(-1).view("<u4") if n else np.zeros(0, "<u4")
-    return word & _MASK[size - 1]
+    # the four bytes from every place on, overlapping
+    word = np.ndarray(len(data), dtype="<u4", buffer=data + b"\0\0\0", strides=(1,))
+    return word[at] & _MASK[size - 1]
 
 
 def write_block(doc_ids: list, counts: list[int], ranks: np.ndarray) -> bytes:
@@ -83,15 +83,16 @@ def read_block(block: bytes) -> tuple[list, np.ndarray, np.ndarray]:
     return [d if k else None for d, k in zip(ids, known)], counts, ranks
 
 
-def id_ranks(ids: DataFrame) -> np.ndarray:
+def id_ranks(ids: DataFrame, kind: str) -> np.ndarray:
     """Ids by falling count over the whole corpus, ties by id; unseen ids
     follow.  At most one number for each id of the vocabulary."""
 
     def counts(batches):
         total = np.zeros(0, dtype=np.int64)
         for b in batches:
-            for raw in b.column(0).to_pylist():
-                c = np.bincount(np.frombuffer(raw, "<u4"))
+            held = b.column(0).to_pylist()
+            for k in range(0, len(held), 1000):
+                c = np.bincount(np.frombuffer(b"".join(held[k:k + 1000]), kind))
                 if len(c) > len(total):
                     total = np.concatenate([total, np.zeros(len(c) - len(total), np.int64)])
                 total[:len(c)] += c
@@ -105,16 +106,18 @@ def id_ranks(ids: DataFrame) -> np.ndarray:
 
 def write_token_files(docs: DataFrame, name: str = VOCABULARY, end: int = END, block_ids: int = BLOCK_IDS) -> str:
     """Encode ``docs`` and write the files; the folder's path."""
+    from hazrank.llm.tokens import id_bytes, vocabulary
     spark = docs.sparkSession
+    kind = f"<u{id_bytes(vocabulary(name))}"
 
     def encode(batches):
         from hazrank.llm.tokens import encoded
         for b in batches:
-            ids = list(encoded(b.column(1).to_pylist(), name, False, end))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.binary()), pa.array([len(x) // 4 for x in ids], pa.int64())], ["doc_id", "ids", "n"])
+            ids = [np.frombuffer(x, "<u4").astype(kind) for x in encoded(b.column(1), name, False, end)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([x.tobytes() for x in ids], pa.binary()), pa.array([len(x) for x in ids], pa.int64())], ["doc_id", "ids", "n"])
 
     ids = staged(map_arrow(docs.select(F.col("doc_id").cast("long"), "text"), encode, "doc_id long, ids binary, n long"), "zstd")
-    by_rank = id_ranks(ids)
+    by_rank = id_ranks(ids, kind)
     rank_of = np.zeros(int(by_rank.max()) + 1 if len(by_rank) else 1, dtype=np.uint32)
     rank_of[by_rank] = np.arange(len(by_rank), dtype=np.uint32)
 
@@ -131,10 +134,11 @@ def write_token_files(docs: DataFrame, name: str = VOCABULARY, end: int = END, b
 
     def blocks(batches):
         now, block, place, held, size = None, 0, 0, [], 0
+        width = np.dtype(kind).itemsize
 
         def out():
-            ranks = rank_of[np.frombuffer(b"".join(x[1] for x in held), "<u4")]
-            raw = write_block([x[0] for x in held], [len(x[1]) // 4 for x in held], ranks)
+            ranks = rank_of[np.frombuffer(b"".join(x[1] for x in held), kind)]
+            raw = write_block([x[0] for x in held], [len(x[1]) // width for x in held], ranks)
             return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([block], pa.int64()), pa.array([place], pa.int64()), pa.array([raw], pa.binary())], ["shard", "block", "first", "bytes"])
 
         for b in batches:
@@ -145,14 +149,14 @@ def write_token_files(docs: DataFrame, name: str = VOCABULARY, end: int = END, b
                 if s != now:
                     now, block, place = s, 0, first[s]
                 held.append((d, raw))
-                size += len(raw) // 4
+                size += len(raw) // width
         if held:
             yield out()
 
     dealt = ids.select("shard", "doc_id", "ids").repartition(shards, "shard")
     dealt = dealt.sortWithinPartitions("shard", F.col("doc_id").asc_nulls_first(), "ids")
     path = shared_folder(spark)
-    map_arrow(dealt, blocks, "shard int, block long, first long, bytes binary").write.option("compression", "none").parquet(f"{path}/blocks")
+    map_arrow(dealt, blocks, "shard int, block long, first long, bytes binary").write.option("compression", "zstd").parquet(f"{path}/blocks")
     spark.createDataFrame(pa.table({"rank": pa.array(np.arange(len(by_rank)), pa.int64()), "id": pa.array(by_rank.astype(np.int64))})).write.parquet(f"{path}/ranks")
     return path
 

@@ -1,70 +1,153 @@
 """Encoding whole texts with a public tokenizer inside tasks.
 
-Texts are split at single spaces between two other characters.  Neither
-vocabulary merges across such a place, so the ids of a text are those of its
-chunks, one after another; the tokenizers library encodes each new chunk once
-and a bounded table keeps the ids.  Ids are bytes, little-endian unsigned 32
-bit, so joining chunks joins ids.
+Texts are split at single spaces between two other characters, and at single
+line breaks.  Neither vocabulary merges across such places, so the ids of a
+text are those of its chunks, one after another.  All texts of a batch are
+split at once, and each distinct chunk among them is looked up once.  A chunk
+of Latin-1 letters and closing marks goes piece by piece to the tokenizer's
+merge model, which is what the tokenizer itself would do with it; any other
+chunk goes to the tokenizer whole.  A bounded table keeps the words' ids.  Ids
+are bytes, little-endian unsigned 32 bit, so joining chunks joins ids.
 """
 
 from __future__ import annotations
 
 import re
+from struct import pack as _pack
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-#: Chunks kept per worker; beyond that the table starts anew.
-TABLE_CHUNKS = 400_000
+#: Bytes of text that are split and looked up together, about.
+STEP_BYTES = 8_000_000
+#: Words whose ids a worker keeps; beyond that the table starts anew.
+TABLE_WORDS = 700_000
 _INNER = re.compile(r"(?<=\S) (?=\S)")
+_MARKS = ".,!?;:"
+_LATIN = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz" + "".join(chr(c) for c in range(0xC0, 0x100) if c not in (0xD7, 0xF7))
+#: Stands for a line break at a chunk's start.
+_BREAK = "\x01"
+_BLANK = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]"
+_ODD = rf"^\x01?({_BLANK}|$)|{_BLANK}$"
+_PLAIN = rf"^\x01?[{_LATIN}]+$"
 _ENCODERS: dict[tuple[str, bool], "ChunkEncoder"] = {}
 
 
+def byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in byte-level vocabularies:
+    printable bytes for themselves, the others for letters from 256 on."""
+    out, extra = {}, 256
+    for b in range(256):
+        if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b:
+            out[b] = chr(b)
+        else:
+            out[b] = chr(extra)
+            extra += 1
+    return out
+
+
+_LETTERS = byte_letters()
+
+
 def vocabulary(name: str) -> str:
     import public_tokenizers
     return public_tokenizers.path(name)
 
 
+def id_bytes(path: str) -> int:
+    """Bytes that hold any id of a vocabulary: two or four."""
+    from tokenizers import Tokenizer
+    return 2 if Tokenizer.from_file(path).get_vocab_size() <= 1 << 16 else 4
+
+
 class ChunkEncoder:
-    """``spaced``: a chunk's ids depend on the space before it (byte-level
-    vocabularies); otherwise white space is dropped."""
+    """``spaced``: a chunk's ids depend on the space before it and on case
+    (byte-level vocabularies); otherwise white space is dropped and letters
+    are lower-cased."""
 
     def __init__(self, path: str, spaced: bool):
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.spaced = spaced
-        self.table: dict[str, bytes] = {}
-
-    def _raw(self, chunks: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.table) > TABLE_CHUNKS:
-            self.table.clear()
-        table, lead = self.table, " " if self.spaced else ""
-        parts = [t.split(" ") for t in texts]
-        heads = self._raw([p[0] for p in parts]) if self.spaced else None
-        new: set[str] = set()
-        for p in parts:
-            new.update(p[1:] if self.spaced else p)
-        new.difference_update(table)
-        if self.spaced and (odd := {w for w in new if not w or w[0].isspace() or w[-1].isspace()}):
-            # white space beside the space: split only where it stands alone
-            new -= odd
-            for k, p in enumerate(parts):
-                if not odd.isdisjoint(p[1:]):
-                    parts[k] = _INNER.split(texts[k])
-                    heads[k] = self._raw(parts[k][:1])[0]
-                    new.update(w for w in parts[k][1:] if w not in table)
-        if new:
-            words = list(new)
-            table.update(zip(words, self._raw([lead + w for w in words])))
-        get = table.__getitem__
+        self.words: dict[str, bytes] = {}
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def _piece(self, piece: str) -> bytes:
+        found = self.model.tokenize(piece.encode().decode("latin-1").translate(_LETTERS))
+        return _pack("<%dI" % len(found), *[t.id for t in found])
+
+    def _word(self, word: str, plain: bool) -> bytes:
+        """Ids of a new chunk without its closing marks, if it is plain, else
+        of the whole chunk; after a space or a line break if that matters."""
+        if not self.spaced:
+            return self._piece(word.lower()) if plain else self._whole(word)
+        if word.startswith(_BREAK):
+            return self._piece("\n") + self._piece(word[1:]) if plain else self._whole("\n" + word[1:])
+        return self._piece(" " + word) if plain else self._whole(" " + word)
+
+    def _apart(self, text: str) -> bytes:
+        """White space beside a space: split only where a space stands alone."""
+        parts = _INNER.split(text)
+        return self._whole(parts[0]) + b"".join([self._whole(" " + c) for c in parts[1:]])
+
+    def encode(self, texts: pa.Array, end: int) -> list[bytes]:
+        """Ids of each text with the end id."""
+        texts = pc.fill_null(texts, "")
+        if self.spaced:
+            lists = pc.split_pattern(pc.replace_substring(texts, "\n", " " + _BREAK), " ")
+        else:
+            lists = pc.split_pattern(pc.ascii_lower(pc.replace_substring(texts, "\n", " ")), " ")
+        offsets = lists.offsets.to_numpy().astype(np.int64)
+        offsets -= offsets[0]
+        coded = lists.flatten().dictionary_encode()
+        chunk, distinct = coded.indices.to_numpy().astype(np.int64), coded.dictionary
+
+        core = pc.utf8_rtrim(distinct, _MARKS)
+        plain = pc.match_substring_regex(core, _PLAIN)
+        core = pc.if_else(plain, core, distinct)
+        marks = pc.if_else(plain, pc.utf8_ltrim(distinct, _BREAK + _LATIN), "")
+        if len(self.words) >= TABLE_WORDS:
+            self.words.clear()
+        table, core = self.words, core.to_pylist()
+        ids = list(map(table.get, core))
+        for k, (known, is_plain) in enumerate(zip(ids, plain.to_pylist())):
+            if known is None:
+                ids[k] = table[core[k]] = table.get(core[k]) or self._word(core[k], is_plain)
+        closing = marks.dictionary_encode()
+        of_marks = [self._piece(m) if m else b"" for m in closing.dictionary.to_pylist()]
+        ids = [a + of_marks[m] for a, m in zip(ids, closing.indices.to_pylist())]
+
+        apart: list[int] = []
+        first = offsets[:-1]
         if self.spaced:
-            return [h + b"".join(map(get, p[1:])) for h, p in zip(heads, parts)]
-        return [b"".join(map(get, p)) for p in parts]
+            bad = pc.match_substring_regex(distinct, _ODD).to_numpy(zero_copy_only=False)[chunk]
+            bad[first] = False
+            bad = np.logical_or.reduceat(bad, first) | pc.match_substring(texts, _BREAK).to_numpy(zero_copy_only=False)
+            # a text's first chunk has no space before it
+            heads = [self._whole(h.replace(_BREAK, "\n")) for h in distinct.take(pa.array(chunk[first])).to_pylist()]
+            # a text that starts with a line break has an empty first chunk
+            apart = np.flatnonzero(bad).tolist()
+            chunk[first] = len(distinct) + np.arange(len(heads))
+            ids += heads
+        size = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4
+        flat = np.frombuffer(b"".join(ids), dtype="<u4")
+        count = size[chunk]
+        after = np.cumsum(count)
+        place = np.repeat((np.cumsum(size) - size)[chunk] - (after - count), count)
+        place += np.arange(len(place))
+        tokens = flat[place].tobytes()
+        ends = 4 * after[offsets[1:] - 1]
+        tail = np.array([end], dtype="<u4").tobytes()
+        out = [tokens[a:z] + tail for a, z in zip(np.concatenate([[0], ends[:-1]]).tolist(), ends.tolist())]
+        for k in apart:
+            out[k] = self._apart(texts[k].as_py()) + tail
+        return out
 
 
 def encoder(path: str, spaced: bool) -> ChunkEncoder:
@@ -74,10 +157,13 @@ def encoder(path: str, spaced: bool) -> ChunkEncoder:
     return _ENCODERS[path, spaced]
 
 
-def encoded(texts: list[str | None], name: str, spaced: bool, end: int, step: int = 256):
-    """Per text its ids' bytes with the end id, ``step`` texts at a time."""
-    tail = np.array([end], dtype="<u4").tobytes()
+def encoded(texts: pa.Array, name: str, spaced: bool, end: int):
+    """Per text its ids' bytes with the end id."""
     e = encoder(vocabulary(name), spaced)
-    for k in range(0, len(texts), step):
-        for ids in e.encode([t or "" for t in texts[k:k + step]]):
-            yield ids + tail
+    size = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    step = (np.cumsum(size, dtype=np.int64) // STEP_BYTES).tolist()
+    start = 0
+    for k in range(1, len(step) + 1):
+        if k == len(step) or step[k] != step[start]:
+            yield from e.encode(texts.slice(start, k - start), end)
+            start = k
