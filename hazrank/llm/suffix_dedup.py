@@ -104,8 +104,9 @@ def suffix_array(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     h = 8
     while len(open_):
         at = order[open_]
-        ahead = np.where(at + h < n, rank[np.minimum(at + h, n - 1)], -1).astype(np.int64)
-        key = rank[at].astype(np.int64) * (n + 1) + ahead + 1
+        # past the end the shorter suffix comes first
+        ahead = np.where(at < n - h, rank[np.minimum(at, n - 1 - h) + h] if h < n else 0, -1 - at).astype(np.int64)
+        key = rank[at].astype(np.int64) * (2 * n + 1) + ahead + n
         by = np.argsort(key, kind="stable")
         at, key = at[by], key[by]
         order[open_] = at
