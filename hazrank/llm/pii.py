@@ -340,8 +340,12 @@ def _sample(batches):
 def training_windows(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_windows: int = SAMPLE_WINDOWS) -> list[tuple[str, np.ndarray]]:
     """Windows and tags: of the sampled documents (smallest hash of the text)
     with their base spans, and with generated data written over their signs."""
-    some = docs.select("text").filter(F.col("text").rlike("[0-9@]")).withColumn("order", F.xxhash64("text")).orderBy("order").limit(sample_docs)
-    got = map_arrow(some.select("text"), _sample, "chars string, spans string").distinct().orderBy(F.xxhash64("chars", "spans")).limit(sample_windows).collect()
+    signed = docs.select("text", F.xxhash64("text").alias("order")).filter(F.col("text").rlike("[0-9@]"))
+    # the hash up to which the sample goes; texts of the sample alone move
+    last = signed.select("order").distinct().orderBy("order").limit(sample_docs).agg(F.max("order")).first()[0]
+    some = signed.filter(F.col("order") <= F.lit(last))
+    rows = map_arrow(some.select("text"), _sample, "chars string, spans string").distinct()
+    got = rows.orderBy(F.xxhash64("chars", "spans"), "chars").limit(sample_windows).collect()
     rng = np.random.default_rng(17)
     out, plain = [], ["the and of to in that is for with this from are was you what which on as it be"]
     for r in got:
