@@ -40,7 +40,7 @@ from hazrank.llm.common import documents, hot_join, map_arrow, ship_package, sta
 LENGTH = 200
 GRAM = 32
 #: Contexts in a shard, about; occurrences above which an anchor is spread.
-SHARD_CONTEXTS = 5000
+SHARD_CONTEXTS = 10_000
 HOT = 4000
 #: Windows of spread anchors in a merge bucket, about.
 BUCKET_ROWS = 100_000
@@ -373,7 +373,8 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard_
     sigs = staged(map_arrow(docs.select(F.col("doc_id").cast("long"), "text"), _signatures(length, gram), "doc_id long, n_bytes long, digest binary, anchors binary"))
     copies = sigs.groupBy("digest").agg(F.count("*").alias("n"))
     spots = map_arrow(sigs.filter("anchors is not null").select("digest", "anchors"), _exploded, "hash long, doc long, i int")
-    again = spots.groupBy("hash").agg(F.count("*").alias("n")).filter("n > 1")
+    # a table of its own, so that a hot anchor's side of the join can be split
+    again = staged(spots.groupBy("hash").agg(F.count("*").alias("n")).filter("n > 1"))
     marks = spots.join(again, "hash").groupBy("doc").agg(F.collect_set(F.struct("i", "n")).alias("marks"))
     texts = map_arrow(docs.select("text"), _texts(length), "doc long, digest binary, raw binary")
     marked = staged(texts.join(marks, "doc").select("digest", "raw", "marks"), "zstd")
