@@ -20,11 +20,14 @@ first; repeated rows are written each; an empty table gives empty files.
 from __future__ import annotations
 
 import struct
+import zlib
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from hazrank.llm.common import documents, map_arrow, shared_folder, shuffle_partitions, staged
 
@@ -161,28 +164,31 @@ def write_token_files(docs: DataFrame, name: str = VOCABULARY, end: int = END, b
     return path
 
 
-def read_token_files(spark, path: str) -> DataFrame:
-    """Per document: ``doc_id, start`` (ids before it), ``ids``."""
+def read_token_files(spark, path: str, each=None, columns: str = "ids binary") -> DataFrame:
+    """Per document: ``doc_id, start`` (ids before it) and ``columns``: its
+    ids, or what ``each`` makes of their bytes (a tuple for ``columns``), so
+    that a reader who wants less need not move them."""
     rows = sorted(spark.read.schema("rank long, id long").parquet(f"{path}/ranks").collect())
     id_of = np.array([r["id"] for r in rows], dtype="<u4")
+    schema = f"doc_id long, start long, {columns}"
+    kinds = to_arrow_schema(StructType.fromDDL(schema))
 
     def read(batches):
         for b in batches:
             for at, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 doc_ids, counts, ranks = read_block(raw)
-                ids = id_of[ranks]
+                ids = memoryview(id_of[ranks]).cast("B")
                 ends = np.cumsum(counts)
                 starts = ends - counts
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(doc_ids, pa.int64()), pa.array(starts + at), pa.array([ids[x:y].tobytes() for x, y in zip(starts, ends)], pa.binary())],
-                    ["doc_id", "start", "ids"])
+                parts = [ids[4 * x:4 * y] for x, y in zip(starts.tolist(), ends.tolist())]
+                made = list(zip(*map(each, parts))) if each else [[p.tobytes() for p in parts]]
+                yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip([doc_ids, starts + at, *made], kinds)], kinds.names)
 
     blocks = spark.read.schema("shard int, block long, first long, bytes binary").parquet(f"{path}/blocks")
-    return map_arrow(blocks.select("first", "bytes"), read, "doc_id long, start long, ids binary")
+    return map_arrow(blocks.select("first", "bytes"), read, schema)
 
 
 def op8_token_files(spark, sf_dir: str) -> DataFrame:
     """Contract query: what the files hold of each document."""
     path = write_token_files(documents(spark, sf_dir))
-    return read_token_files(spark, path).select(
-        "doc_id", "start", F.expr("length(ids) div 4").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+    return read_token_files(spark, path, lambda ids: (len(ids) // 4, zlib.crc32(ids)), "n_tokens long, ids_crc32 long")

@@ -20,9 +20,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text that are split and looked up together, about.
-STEP_BYTES = 8_000_000
+STEP_BYTES = 10_000_000
 #: Words whose ids a worker keeps; beyond that the table starts anew.
-TABLE_WORDS = 700_000
+TABLE_WORDS = 1_000_000
 _INNER = re.compile(r"(?<=\S) (?=\S)")
 _MARKS = ".,!?;:"
 _LATIN = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz" + "".join(chr(c) for c in range(0xC0, 0x100) if c not in (0xD7, 0xF7))
@@ -139,8 +139,10 @@ class ChunkEncoder:
         flat = np.frombuffer(b"".join(ids), dtype="<u4")
         count = size[chunk]
         after = np.cumsum(count)
-        place = np.repeat((np.cumsum(size) - size)[chunk] - (after - count), count)
-        place += np.arange(len(place))
+        total = int(after[-1]) if len(after) else 0
+        kind = np.int32 if max(total, len(flat)) < 1 << 31 else np.int64
+        place = np.repeat(((np.cumsum(size) - size)[chunk] - (after - count)).astype(kind), count)
+        place += np.arange(total, dtype=kind)
         tokens = flat[place].tobytes()
         ends = 4 * after[offsets[1:] - 1]
         tail = np.array([end], dtype="<u4").tobytes()
