@@ -128,12 +128,13 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     without words belongs to every mix and stays once, at its turn."""
     plan = mix(docs, **options)
     whole = F.filter("passes", lambda p: p["words"] * 2 >= F.col("size"))
-    plan = plan.groupBy("doc_id", "text_key").agg(F.flatten(F.collect_list(F.when(
-        F.col("size") > 0, F.transform(whole, lambda p: p["position"])).otherwise(F.array(F.lit(0.0))))).alias("at"))
-    plan = plan.filter(F.size("at") > 0)
+    plan = staged(plan.groupBy("doc_id", "text_key").agg(F.count("*").alias("n"), F.flatten(F.collect_list(F.when(
+        F.col("size") > 0, F.transform(whole, lambda p: p["position"])).otherwise(F.array(F.lit(0.0))))).alias("at")))
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    d = docs.select(row).select("row", F.col("row.doc_id").alias("_id"), text_key(F.col("row.text")).alias("_key")).dropDuplicates(["_id", "_key"])
-    p = plan.select(F.col("doc_id").alias("_pid"), F.col("text_key").alias("_pkey"), "at")
+    d = docs.select(row).select("row", F.col("row.doc_id").alias("_id"), text_key(F.col("row.text")).alias("_key"))
+    if plan.filter("n > 1").limit(1).count():  # repeated rows: the plan has all their turns
+        d = d.dropDuplicates(["_id", "_key"])
+    p = plan.filter(F.size("at") > 0).select(F.col("doc_id").alias("_pid"), F.col("text_key").alias("_pkey"), "at")
     d = d.join(p, F.col("_id").eqNullSafe(F.col("_pid")) & (F.col("_key") == F.col("_pkey")))
     d = d.select("row", "_id", F.explode("at").alias("_at")).orderBy("_at", "_id")
     return d.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

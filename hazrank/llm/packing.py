@@ -143,7 +143,7 @@ def tokenize(docs: DataFrame, name: str = VOCABULARY, end: int = END, window: in
                 for start in range(0, n, window):
                     rows.append((uid, doc_id, start, min(window, n - start), n, ids[4 * start:4 * (start + window)]))
                     uid += 1
-                if len(rows) >= 10_000:
+                if len(rows) >= 2000:
                     yield _batch(rows)
                     rows = []
             if rows:

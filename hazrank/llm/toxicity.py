@@ -43,6 +43,8 @@ DIM = 8
 WIDTHS = (1, 2, 3)
 FILTERS = 8
 PAD = BUCKETS
+#: Words whose buckets a worker keeps; beyond that the table starts anew.
+TABLE_WORDS = 100_000
 EPOCHS = 5
 #: A word counts this many texts of the average kind beside its own.
 PRIOR = 15.0
@@ -63,7 +65,7 @@ def words_of(text: str | None) -> list[bytes]:
 
 def buckets(words: list[bytes]) -> np.ndarray:
     """Two buckets a word (n x 2): the word's, and its first four bytes'."""
-    if len(_TABLE) > 500_000:
+    if len(_TABLE) > TABLE_WORDS:
         _TABLE.clear()
     for w in set(words).difference(_TABLE):
         _TABLE[w] = (zlib.crc32(w) % BUCKETS, zlib.crc32(b"\0" + w[:4]) % BUCKETS)
