@@ -63,19 +63,20 @@ def floor_decimals(x: Column, digits: int = 2) -> Column:
 # Two-stage half-up rounding.  Engines sum doubles in different orders,
 # so a value whose exact decimal form is a tie (0.0890625 = 57/640) can
 # come out a hair above in one engine and a hair below in the other.
-# Stage 1 rounds at 10 decimals (only below 1e8, where that is exact in
-# a long) and absorbs such last-bit noise; stage 2 rounds at ``digits``.
+# Stage 1 rounds at 10 decimals and absorbs such last-bit noise; stage 2
+# rounds at ``digits``.  ``floor`` is taken as ``z - pmod(z, 1)``, which stays
+# a double: one rule for every value, with no detour through a long.
 NOISE_DIGITS = 10
-NOISE_LIMIT = 1e8
 
 
 def round_half_up_sql(x: str, digits: int = 6) -> str:
     """SQL text of ``round_half_up`` for a column expression ``x``."""
     n = f"{float(10 ** NOISE_DIGITS)!r}D"
     scale = f"{float(10 ** digits)!r}D"
-    y = f"(CASE WHEN abs({x}) < {NOISE_LIMIT!r}D THEN floor({x} * {n} + 0.5D) / {n} ELSE {x} END)"
+    down = lambda z: f"(({z}) - pmod({z}, 1.0D))"
+    y = f"({down(f'{x} * {n} + 0.5D')} / {n})"
     return (f"CASE WHEN isnan({x}) OR abs({x}) = double('Infinity') THEN {x} "
-            f"ELSE floor({y} * {scale} + 0.5D) / {scale} END")
+            f"ELSE {down(f'{y} * {scale} + 0.5D')} / {scale} END")
 
 
 def sql_in(col: str, values) -> str:
@@ -95,5 +96,6 @@ def round_half_up(x: Column, digits: int = 6) -> Column:
     n = float(10 ** NOISE_DIGITS)
     scale = float(10 ** digits)
     finite = ~F.isnan(x) & (F.abs(x) != F.lit(float("inf")))
-    y = F.when(F.abs(x) < F.lit(NOISE_LIMIT), F.floor(x * F.lit(n) + F.lit(0.5)) / F.lit(n)).otherwise(x)
-    return F.when(finite, F.floor(y * F.lit(scale) + F.lit(0.5)) / F.lit(scale)).otherwise(x)
+    down = lambda z: z - F.pmod(z, F.lit(1.0))
+    y = down(x * F.lit(n) + F.lit(0.5)) / F.lit(n)
+    return F.when(finite, down(y * F.lit(scale) + F.lit(0.5)) / F.lit(scale)).otherwise(x)

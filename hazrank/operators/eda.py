@@ -34,8 +34,9 @@ def share_by_value(df: DataFrame, col: str) -> DataFrame:
     of values stays spread over the grouped partitions."""
     g = df.groupBy(col).agg(F.count(F.lit(1)).alias("count"))
     total = df.agg(F.count(F.lit(1)).alias("n")).first()["n"]
-    pct = F.col("count").cast("double") * F.lit(100.0) / F.lit(total).cast("double")
-    return g.select(col, "count", floor_decimals(pct, 2).alias("percentage"))
+    # whole hundredths in integers: 29 of 10000 is 0.29
+    hundredths = F.expr(f"count * 10000L div {max(total, 1)}L")
+    return g.select(col, "count", (hundredths / F.lit(100.0)).alias("percentage"))
 
 
 # --- B2 -----------------------------------------------------------------------

@@ -1,10 +1,9 @@
 """Group fairness at the top k share, and a proportional final list.
 
 Ranks come from the distributed ``ordered_index``; group tables are
-joined as ordinary (AQE-sized) joins.  Per-category counts use a
-bounded, checked list of categories as conditional aggregates, so every
-category gets a row (zero when absent from the top) without any cross
-product.
+joined as ordinary (AQE-sized) joins.  Per-category counts group the whole
+ranked frame, with any number of categories: one that is absent from the top
+gets zeros, and one that is absent from a model's year gets no row.
 """
 
 from __future__ import annotations
@@ -16,17 +15,6 @@ from pyspark.sql import functions as F
 
 from hazrank.operators.ranking import ordered_index, ratio_ladder, score_order
 
-MAX_CATEGORIES = 1000
-
-
-def _categories(groups: DataFrame, group_col: str) -> list:
-    """Distinct non-NULL categories, checked against MAX_CATEGORIES before
-    they are collected."""
-    d = groups.select(F.col(group_col).alias("category")).where(F.col("category").isNotNull()).distinct()
-    if d.limit(MAX_CATEGORIES + 1).count() > MAX_CATEGORIES:
-        raise ValueError(f"{group_col}: more than {MAX_CATEGORIES} categories")
-    return sorted(r["category"] for r in d.collect())
-
 
 # --- E8 -----------------------------------------------------------------------
 def disparity_at_k(scores: DataFrame, labels: DataFrame, groups: DataFrame, k: float, group_col: str,
@@ -43,16 +31,13 @@ def disparity_at_k(scores: DataFrame, labels: DataFrame, groups: DataFrame, k: f
     ranked = ordered_index(merged, g, score_order("score", entity_col), with_group_size=True)
     i = F.floor(F.lit(float(k)) * F.col("group_size")).cast("long")
     top = (F.col("rn") <= i) & F.col("formal").isNotNull()
-    cats = _categories(groups, group_col)
-    cat = F.col(group_col)
-    aggs = [F.coalesce(F.sum("formal"), F.lit(0)).alias("total_relevant")]
-    for i, v in enumerate(cats):
-        aggs += [F.count(F.when(top & (cat == F.lit(v)), 1)).alias(f"_n{i}"),
-                 F.count(F.when(top & (cat == F.lit(v)) & (F.col("formal") == 0), 1)).alias(f"_f{i}")]
-    wide = ranked.groupBy(*g).agg(*aggs)
-    rows = F.array(*[F.struct(F.lit(v).alias("category"), F.col(f"_n{i}").alias("n_top"),
-                              F.col(f"_f{i}").alias("fp_top")) for i, v in enumerate(cats)])
-    full = wide.select(*g, "total_relevant", F.inline(rows))
+    # all ranked rows are grouped, so a category outside the top has zeros
+    per = ranked.groupBy(*g, F.col(group_col).alias("category")).agg(
+        F.coalesce(F.sum("formal"), F.lit(0)).alias("_relevant"),
+        F.count(F.when(top, 1)).alias("n_top"),
+        F.count(F.when(top & (F.col("formal") == 0), 1)).alias("fp_top"))
+    total = per.groupBy(*g).agg(F.sum("_relevant").alias("total_relevant"))
+    full = per.where(F.col("category").isNotNull()).join(total, g, "inner")
     full = full.select(*g, "category", "n_top",
                        F.when(F.col("n_top") > 0, F.col("fp_top") / F.col("n_top")).alias("fdr"),
                        F.when(F.col("total_relevant") > 0, F.col("n_top") / F.col("total_relevant")).alias("recall"))

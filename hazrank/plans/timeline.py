@@ -97,14 +97,16 @@ def temporal_folds(spine: DataFrame) -> DataFrame:
     validates on the i-th validation year.
 
     Output: (fold, val_year, train_year) -- one row per training year of a
-    fold.  Non-equi join between two spines of a handful of rows.
+    fold.  Each fold lists the indices up to its own, and an equi join looks
+    up their years.
     """
     from pyspark.sql import Window
     tr = spine.where("is_train").select(F.col("label_year").alias("train_year"))
     va = spine.where("is_val").select(F.col("label_year").alias("val_year"))
     tr = tr.withColumn("train_idx", F.row_number().over(Window.orderBy("train_year")) - 1)
     va = va.withColumn("fold", F.row_number().over(Window.orderBy("val_year")) - 1)
-    return (va.join(tr, tr.train_idx <= va.fold, "inner")
+    va = va.withColumn("train_idx", F.explode(F.sequence(F.lit(0), F.col("fold"))))
+    return (va.join(tr, "train_idx", "inner")
               .select("fold", "val_year", "train_year"))
 
 

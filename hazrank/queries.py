@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 from hazrank.config import DEFAULT_TIMELINE, Timeline
+from hazrank.sources.mapping import LogicalTables
 from hazrank.sources.tables import Warehouse
 
 K_DEFAULT = 0.21
@@ -54,7 +55,7 @@ class Ctx:
         self.wh = _warehouse(spark, sf_dir)
         lo = min(tl.label_years()) - 1 - tl.lookback
         hi = max(tl.label_years())
-        self.lt_all = self.wh.logical
+        self.lt_all = LogicalTables(self.wh)  # of this query alone
         self.lt = self.lt_all.bounded(lo, hi) if bounded else self.lt_all
         self.spine = config_spine(spark, tl)
 

@@ -21,17 +21,19 @@ def q_timeline_spine(spark, sf_dir):
 @register("lookback_windows")
 def q_lookback_windows(spark, sf_dir):
     c = ctx(spark, sf_dir)
-    return T.lookback_windows(c.spine)
+    return T.lookback_windows(T.timeline_spine(c.lt_all, c.tl))
 
 
 @register("temporal_folds")
 def q_temporal_folds(spark, sf_dir):
-    return T.temporal_folds(ctx(spark, sf_dir).spine)
+    c = ctx(spark, sf_dir)
+    return T.temporal_folds(T.timeline_spine(c.lt_all, c.tl))
 
 
 @register("split_dates")
 def q_split_dates(spark, sf_dir):
-    return T.split_dates(ctx(spark, sf_dir).spine)
+    c = ctx(spark, sf_dir)
+    return T.split_dates(T.timeline_spine(c.lt_all, c.tl))
 
 
 @register("cohort_active")

@@ -48,7 +48,7 @@ def scan_csv(spark: SparkSession, paths: str | Sequence[str], schema: StructType
              quote: str = "'") -> DataFrame:
     """CSV with header and an explicit schema (several files are stacked)."""
     return spark.read.csv(paths if isinstance(paths, str) else list(paths), header=True, schema=schema,
-                          quote=quote, mode="FAILFAST")
+                          quote=quote, mode="FAILFAST", enforceSchema=False)
 
 
 # --- S3 / S4 --------------------------------------------------------------------
@@ -77,12 +77,7 @@ def materialize(df: DataFrame, path: str, partition_by: Sequence[str]) -> DataFr
     reused; the returned frame reads the written files, which also cuts
     the lineage."""
     spark = df.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        sink(df, path, "parquet", partition_by, "overwrite")
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
     # the written schema types the partition columns (no inference)
     return spark.read.schema(df.schema).parquet(path)
 
