@@ -55,7 +55,7 @@ def test_against_oracle_sf0001(spark, key):
 
 def test_every_query_has_oracle_or_is_rows_only():
     import __spark_entry__ as E
-    rows_only = set(E.queries()) - set(E.oracle_sql())
+    rows_only = set(E._load()) - set(E.oracle_sql())
     assert rows_only <= {"split_features_label", "model_lr", "model_dt", "model_rf", "model_gbt", "model_gbt_raw",
                          "score_model", "feature_importance", "save_model", "temporal_cv_grid", "train_single",
                          "fit_model", "load_model"}
