@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 #: Bytes of text that are split and looked up together, about.
 STEP_BYTES = 7_000_000
 #: Words whose ids a worker keeps; beyond that the table starts anew.
-TABLE_WORDS = 650_000
+TABLE_WORDS = 800_000
 _INNER = re.compile(r"(?<=\S) (?=\S)")
 _MARKS = ".,!?;:"
 _LATIN = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz" + "".join(chr(c) for c in range(0xC0, 0x100) if c not in (0xD7, 0xF7))
