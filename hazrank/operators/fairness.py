@@ -56,12 +56,16 @@ def disparity_at_k(scores: DataFrame, labels: DataFrame, groups: DataFrame, k: f
 # --- E11 ----------------------------------------------------------------------
 def proportional_top_n(scores: DataFrame, groups: DataFrame, n: int, group_col: str,
                        keys: Sequence[str] = ("model_id", "eval_year"),
-                       entity_col: str = "handler_id") -> DataFrame:
+                       entity_col: str = "handler_id", group_keys: Sequence[str] = ()) -> DataFrame:
     """Final list of n entities split over exclusive groups in proportion to
     their size: floor quotas plus largest remainders (ties by category),
-    then the best-scored entities of each group up to its quota."""
+    then the best-scored entities of each group up to its quota.
+
+    ``group_keys``: further keys of ``groups`` beside the entity (the year,
+    where an entity changes groups over time)."""
     g = list(keys)
-    j = scores.join(groups.select(entity_col, F.col(group_col).alias("category")), entity_col, "inner")
+    on = [entity_col, *group_keys]
+    j = scores.join(groups.select(*on, F.col(group_col).alias("category")), on, "inner")
     sizes = j.groupBy(*g, "category").agg(F.count(F.lit(1)).alias("size"))
     wg = Window.partitionBy(*g)
     q = (sizes.withColumn("total", F.sum("size").over(wg))

@@ -103,9 +103,12 @@ def cutoff_index(k: float) -> Column:
 # --- E2, E3, E4 -------------------------------------------------------------
 def metrics_at_k(ranked: DataFrame, sizes: DataFrame, k: float,
                  group_cols: Sequence[str] = ("model_id", "eval_year"),
-                 label_col: str = "formal") -> DataFrame:
+                 label_col: str = "formal", positives: DataFrame | None = None) -> DataFrame:
     """Precision, support, recall, FDR and labelled count at the top k share.
 
+    ``positives`` (``year_positives``) counts the positives of the whole
+    label table; without it those of the ranked rows are taken.
+
     precision = positives / labelled in the top i (NULL when none labelled)
     support   = labelled / i (NULL when i = 0)
     recall    = positives in the top i / all positives (NULL when none)
@@ -122,6 +125,9 @@ def metrics_at_k(ranked: DataFrame, sizes: DataFrame, k: float,
         F.coalesce(F.sum(F.when(top, y)), F.lit(0)).alias("positives_at_k"),
         F.coalesce(F.sum(y), F.lit(0)).alias("all_positives"),
     )
+    if positives is not None:
+        year = [c for c in positives.columns if c != "all_positives"]
+        agg = agg.drop("all_positives").join(positives, year, "inner")
     lab, pos = F.col("labelled_at_k"), F.col("positives_at_k")
     return agg.select(
         *g, "ranked", "i", "labelled_at_k", "positives_at_k", "all_positives",
@@ -132,6 +138,12 @@ def metrics_at_k(ranked: DataFrame, sizes: DataFrame, k: float,
     )
 
 
+def year_positives(labels: DataFrame, label_year_col: str = "eval_year", label_col: str = "formal") -> DataFrame:
+    """Positives of each year over all its labels, scored or not."""
+    return labels.groupBy(label_year_col).agg(F.coalesce(F.sum(label_col), F.lit(0)).cast("long")
+                                              .alias("all_positives"))
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (cuts lineage;
     a lost executor re-reads files instead of recomputing)."""
@@ -143,20 +155,26 @@ def materialize(df: DataFrame) -> DataFrame:
 def precision_at_k(scores: DataFrame, labels: DataFrame, k: float,
                    group_cols: Sequence[str] = ("model_id", "eval_year"),
                    materialize_scores: bool = False) -> DataFrame:
-    """E2-E4 for every group.  The score table is read twice (group sizes
-    and ranking); with ``materialize_scores`` it is checkpointed first so
-    the scoring plan runs once."""
+    """E2-E4 for every group.  Scores and labels are read twice (sizes or
+    totals, and ranking); with ``materialize_scores`` both are checkpointed
+    first so their plans run once."""
     if materialize_scores:
-        scores = materialize(scores)
+        scores, labels = materialize(scores), materialize(labels)
     ranked = rank_scores(scores, labels, group_cols)
-    return metrics_at_k(ranked, group_sizes(scores, group_cols), k, group_cols)
+    return metrics_at_k(ranked, group_sizes(scores, group_cols), k, group_cols,
+                        positives=year_positives(labels))
 
 
 # --- E5 ---------------------------------------------------------------------
 def precision_recall_curve(ranked: DataFrame, group_cols: Sequence[str] = ("model_id", "eval_year"),
-                           label_col: str = "formal", block_rows: int = 1 << 20) -> DataFrame:
+                           label_col: str = "formal", block_rows: int = 1 << 20,
+                           sizes: DataFrame | None = None, positives: DataFrame | None = None) -> DataFrame:
     """Precision and recall at every prefix i = 1..n of the ranking.
 
+    ``sizes`` (``group_sizes``) and ``positives`` (``year_positives``) give
+    the denominators over all scores and all labels; without them the ranked
+    rows are taken.
+
     ``ranked`` carries the exact row number ``rn`` of ``ordered_index``.
     Rows are cut into blocks of ``block_rows`` consecutive ranks; running
     sums are windowed per block (a bounded task) and the sums of all
@@ -181,6 +199,11 @@ def precision_recall_curve(ranked: DataFrame, group_cols: Sequence[str] = ("mode
                      F.coalesce(F.sum("_bp").over(wb), F.lit(0)).alias("_op"),
                      F.sum("_bn").over(wg).alias("n_total"),
                      F.sum("_bp").over(wg).alias("pos_total"))
+    if sizes is not None:
+        blk = blk.join(sizes, g, "inner").withColumn("n_total", F.col("n_scored"))
+    if positives is not None:
+        year = [c for c in positives.columns if c != "all_positives"]
+        blk = blk.join(positives, year, "inner").withColumn("pos_total", F.col("all_positives"))
     j = local.join(blk, on=[*g, "_blk"], how="inner")
     lab = F.col("_lab_run") + F.col("_ol")
     pos = F.col("_pos_run") + F.col("_op")

@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame
 
 # suffixes of a configured base feature name (fixed values)
 YEAR_EXTENSIONS = ("", "_three_year", "_five_year", "_most_recent", "_total")
-MAX_ONEHOT_CATEGORIES = 1000
 
 
 def q(c: str) -> str:
@@ -42,12 +41,16 @@ def flag_missing(df: DataFrame, bases: Sequence[str], flagged: Sequence[str] | N
     configured feature that has a NULL (or the given ``flagged`` list)."""
     cand = _expand(df, bases)
     flagged = list(flagged) if flagged is not None else columns_with_nulls(df, cand)
-    fset = set(flagged)
     # one selectExpr: wide frames would otherwise cost one driver call per
     # column expression
-    out = [f"coalesce({q(c)}, 0) AS {q(c)}" if c in fset else q(c) for c in df.columns]
-    out += [f"CAST({q(c)} IS NULL AS INT) AS {q(c + '_missing_flag')}" for c in flagged]
-    return df.selectExpr(*out)
+    return df.selectExpr(*flag_missing_exprs(df.columns, flagged))
+
+
+def flag_missing_exprs(columns: Sequence[str], flagged: Sequence[str]) -> list[str]:
+    """The select list of ``flag_missing``."""
+    fset = set(flagged)
+    out = [f"coalesce({q(c)}, 0) AS {q(c)}" if c in fset else q(c) for c in columns]
+    return out + [f"CAST({q(c)} IS NULL AS INT) AS {q(c + '_missing_flag')}" for c in flagged]
 
 
 # --- X2 / X3 ------------------------------------------------------------------
@@ -57,25 +60,27 @@ class OneHotModel:
     categories: dict[str, list[str]] = field(default_factory=dict)
 
     def transform(self, df: DataFrame) -> DataFrame:
-        keep = [q(c) for c in df.columns if c not in self.categories]
+        return df.selectExpr(*self.exprs(df.columns))
+
+    def exprs(self, columns: Sequence[str]) -> list[str]:
+        """The select list of ``transform``."""
+        keep = [q(c) for c in columns if c not in self.categories]
         dummies = []
         for c, cats in self.categories.items():
             for cat in sorted(cats):
                 lit = cat.replace("\\", "\\\\").replace("'", "\\'")
                 dummies.append(f"CASE WHEN trim({q(c)}) = '{lit}' THEN 1 ELSE 0 END AS {q(f'{c}_onehot_{cat}')}")
-        return df.selectExpr(*keep, *dummies)
+        return keep + dummies
 
 
 def onehot_fit(df: DataFrame, bases: Sequence[str]) -> OneHotModel:
-    """Distinct trimmed values of each categorical column (one aggregate)."""
+    """Distinct trimmed values of each categorical column (one aggregate).
+
+    Every value becomes an output column, so their number is that of the
+    result's own columns; there is no other limit."""
     cols = _expand(df, bases)
     if not cols:
         return OneHotModel({})
-    # bound first (one number per column), collect the values only then
-    n = df.selectExpr(*[f"count(DISTINCT trim({q(c)})) AS {q(c)}" for c in cols]).first()
-    for c in cols:
-        if n[c] > MAX_ONEHOT_CATEGORIES:
-            raise ValueError(f"{c}: {n[c]} categories is not a one-hot column")
     row = df.selectExpr(*[f"array_sort(collect_set(trim({q(c)}))) AS {q(c)}" for c in cols]).first()
     return OneHotModel({c: list(row[c]) for c in cols})
 
@@ -125,9 +130,14 @@ def _lit(v) -> str:
 
 def minmax_apply(df: DataFrame, stats: dict[str, tuple], cols: Sequence[str]) -> DataFrame:
     """Scale with fitted (min, max) literals."""
+    return df.selectExpr(*minmax_exprs(df.columns, stats, cols))
+
+
+def minmax_exprs(columns: Sequence[str], stats: dict[str, tuple], cols: Sequence[str]) -> list[str]:
+    """The select list of ``minmax_apply``."""
     cset = set(cols)
     out = []
-    for c in df.columns:
+    for c in columns:
         if c in cset:
             mn, mx = stats[c]
             rng = None if mn is None else mx - mn
@@ -135,7 +145,7 @@ def minmax_apply(df: DataFrame, stats: dict[str, tuple], cols: Sequence[str]) ->
             out.append(f"({q(c)} - {_lit(mn)}) / {den} AS {q(c)}")
         else:
             out.append(q(c))
-    return df.selectExpr(*out)
+    return out
 
 
 # --- X6 -----------------------------------------------------------------------

@@ -34,9 +34,9 @@ SUPPORT_CUTOFF = 0.2
 FINAL_LIST_SIZE = 300
 
 
-def baseline_grid(c) -> DataFrame:
+def baseline_grid(c, spine: DataFrame | None = None) -> DataFrame:
     """G1 over (window from the year spine) x (feature list)."""
-    win = T.lookback_windows(c.spine).select(F.col("window_name").alias("window")) \
+    win = T.lookback_windows(c.spine if spine is None else spine).select(F.col("window_name").alias("window")) \
         .where(F.col("window").isin(*GRID_WINDOWS)).distinct()
     return G.grid_expand(win, {"feature": GRID_FEATURES}, "baseline", "window")
 
@@ -80,7 +80,8 @@ def val_years(c) -> list[int]:
 
 @register("grid_expand")
 def q_grid_expand(spark, sf_dir):
-    return baseline_grid(ctx(spark, sf_dir))
+    c = ctx(spark, sf_dir)
+    return baseline_grid(c, T.timeline_spine(c.lt_all, c.tl))
 
 
 @register("fdr_at_k")
@@ -99,7 +100,9 @@ def q_num_labelled(spark, sf_dir):
 def q_curve(spark, sf_dir):
     c = ctx(spark, sf_dir)
     scores, labels = history_baseline_scores(c)
-    return rounded(R.precision_recall_curve(R.rank_scores(scores, labels)))
+    scores, labels = R.materialize(scores), R.materialize(labels)
+    return rounded(R.precision_recall_curve(R.rank_scores(scores, labels), sizes=R.group_sizes(scores),
+                                            positives=R.year_positives(labels)))
 
 
 def _share_model(c):
@@ -157,6 +160,26 @@ def q_proportional(spark, sf_dir):
     return FA.proportional_top_n(scores, c.lt_all.bias_data, FINAL_LIST_SIZE, "income_category")
 
 
+@register("final_list_by_history")
+def q_final_list(spark, sf_dir):
+    """The yearly list over both history groups, each ranked by its own
+    baseline: inspections in the window, or years with a report for
+    entities that were never inspected in it."""
+    c = ctx(spark, sf_dir)
+    sp = c.val_spine
+    seen, _ = history_baseline_scores(c)
+    pre = c.lt.report_keys.select("handler_id", F.col("report_year").alias("year"), F.lit(1).alias("nr"))
+    unseen = C.cohort_val_without_history(c.lt, sp).join(
+        FT.window_sums(pre, sp, ("total",), ["nr"]), ["handler_id", "label_year"], "left").select(
+        F.lit("bl_reports").alias("model_id"), F.col("label_year").alias("eval_year"), "handler_id",
+        F.coalesce(F.col("nr__total"), F.lit(0)).cast("double").alias("score"))
+    both = R.materialize(seen.withColumn("with_history", F.lit(True))
+                         .unionByName(unseen.withColumn("with_history", F.lit(False))))
+    return FA.proportional_top_n(both.select("eval_year", "handler_id", "score"),
+                                 both.select("handler_id", "eval_year", "with_history"), FINAL_LIST_SIZE,
+                                 "with_history", ["eval_year"], group_keys=["eval_year"])
+
+
 @register("baseline_violations")
 def q_baseline_violations(spark, sf_dir):
     """Rank by the number of previous violation rows (five-year window)."""

@@ -111,11 +111,12 @@ def q_importance(spark, sf_dir):
 
 @register("save_model")
 def q_save_model(spark, sf_dir):
-    """Fit, persist under the shared folder, load back and score."""
+    """Fit, persist with the preparation under the shared folder, load back
+    and score the validation rows of the matrix."""
     c = ctx(spark, sf_dir)
     model, fold, train_years = _fit_last(c, "dt", dict(DEFAULT_GRID[2][2]))
-    path = MD.save_model(model, SF.shared_path(spark, "models"), "dt_0", train_years)
-    return rounded(MD.score_model(MD.load_model(path), fold.val, "dt"))
+    path = MD.save_model(model, SF.shared_path(spark, "models"), "dt_0", train_years, fold.preparation)
+    return rounded(MD.score_model(MD.load_model(path), fold.raw_val, "dt"))
 
 
 @register("temporal_cv_grid")
@@ -164,8 +165,8 @@ def q_load_model(spark, sf_dir):
     the last validation year."""
     c = ctx(spark, sf_dir)
     model, fold, train_years = _fit_last(c, "xgbClassifier", dict(DEFAULT_GRID[4][2]))
-    path = MD.save_model(model, SF.shared_path(spark, "models"), "xgbClassifier_0", train_years)
-    sc = MD.score_model(MD.load_model(path), fold.val, "xgbClassifier")
+    path = MD.save_model(model, SF.shared_path(spark, "models"), "xgbClassifier_0", train_years, fold.preparation)
+    sc = MD.score_model(MD.load_model(path), fold.raw_val, "xgbClassifier")
     s = sc.select(F.lit("xgbClassifier_0").alias("model_id"), F.col("label_year").alias("eval_year"),
                   "handler_id", "score")
     lab = sc.select(F.col("label_year").alias("eval_year"), "handler_id", "formal")

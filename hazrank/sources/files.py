@@ -11,7 +11,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -83,21 +83,39 @@ def materialize(df: DataFrame, path: str, partition_by: Sequence[str]) -> DataFr
 
 
 # --- S6 -----------------------------------------------------------------------
+def _reply(value_col: str) -> Column:
+    return F.from_json(F.col(value_col), "array<array<string>>")
+
+
+def _well_formed(a: Column) -> Column:
+    """A header of distinct names, and rows as long as it."""
+    h = F.element_at(F.when(F.size(a) > 0, a), 1)
+    ok = ((F.size(F.array_distinct(h)) == F.size(h)) & ~F.exists(h, lambda x: x.isNull())
+          & F.forall(a, lambda r: F.coalesce(F.size(r) == F.size(h), F.lit(False))))
+    return F.coalesce(ok, F.lit(False))
+
+
+def rejected_replies(replies: DataFrame, value_col: str = "value") -> DataFrame:
+    """The replies that ``ingest_array_json`` cannot read, as they came."""
+    return replies.where(~_well_formed(_reply(value_col)))
+
+
 def ingest_array_json(replies: DataFrame, value_col: str = "value", numeric: Sequence[str] = ()) -> DataFrame:
     """Replies shaped ``[[h1, h2, ...], [v1, v2, ...], ...]`` (header first)
     -> one row per data row with the header as column names.
 
-    Each reply is parsed on its own (``from_json``); the header of the
-    first parsed reply names the columns.  Numeric columns are
-    ``try_cast`` to DOUBLE.
+    Each reply is parsed on its own and read by its own header; the columns
+    are the union of all headers (by first place, then name), NULL where a
+    reply lacks one.  ``rejected_replies`` returns the replies that are not
+    of this shape.  Numeric columns are ``try_cast`` to DOUBLE.
     """
-    arr = F.from_json(F.col(value_col), "array<array<string>>")
-    parsed = replies.select(arr.alias("_a")).where(F.size("_a") > 1)
+    parsed = replies.select(_reply(value_col).alias("_a")).where(_well_formed(F.col("_a")))
     rows = parsed.select(F.element_at("_a", 1).alias("_h"),
                          F.explode(F.slice("_a", 2, F.size("_a") - 1)).alias("_r"))
     m = rows.select(F.map_from_arrays("_h", "_r").alias("_m"))
-    header = parsed.select(F.element_at("_a", 1).alias("h")).first()
-    names = list(header["h"]) if header else []
+    # column names: as many as the result has columns
+    heads = parsed.select(F.posexplode(F.element_at("_a", 1)).alias("p", "n"))
+    names = [r["n"] for r in heads.groupBy("n").agg(F.min("p").alias("p")).orderBy("p", "n").collect()]
     return m.select(*[(F.col("_m")[n].try_cast("double") if n in numeric else F.col("_m")[n]).alias(n)
                       for n in names])
 

@@ -41,7 +41,7 @@ def test_entry_smoke(spark):
 
 FAST_KEYS = ["timeline_spine", "cohort_sizes", "label_formal", "feat_violation_history", "feat_waste_info",
              "feat_parent_company_peers", "feat_zip_peers", "feat_waste_code", "flag_missing", "minmax_normalize",
-             "precision_recall_curve", "disparity_at_k", "proportional_top_n", "commonsense_rank",
+             "precision_recall_curve", "grid_expand", "ingest_array_json", "final_list_by_history", "disparity_at_k", "proportional_top_n", "commonsense_rank",
              "describe_column", "joined_distribution", "grid_result_sink", "rank_models_avg"]
 
 
