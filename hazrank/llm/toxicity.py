@@ -9,13 +9,15 @@ each width starts by reading it; everything is then trained by Adam, the
 gradient passing through the maxima.
 
 Thresholds are calibrated by language, the language being guessed from the
-text by its function words (the ``lang`` column is never read): on training
-rows set aside for it, each language's threshold maximises F1, and scores are
-shifted so that it lies at 0.5.
+text by its function words (the ``lang`` column is never read): on all labelled
+rows set aside for it, in their real shares, each language's threshold
+maximises F1, and scores are shifted so that it lies at 0.5.
 
-Training takes a bounded sample: at most ``MOST_POSITIVE`` and
+The weights are trained on a bounded sample: at most ``MOST_POSITIVE`` and
 ``MOST_NEGATIVE`` labelled rows (smallest hash of the id) of at most
-``MOST_CHARS`` code points.  Scoring is a map over all rows and whole texts.
+``MOST_CHARS`` code points.  Calibration and scoring are maps over all their
+rows and whole texts; of calibration, counts per language and step of the
+logit (``STEPS`` a unit) reach the driver, so a threshold lies between steps.
 
 Defined cases: a null or empty text gets the score of a text without words; a
 null doc_id counts as held out; repeated rows get the same score; without
@@ -30,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
+from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from hazrank.llm.common import documents, map_arrow, table
 
@@ -38,6 +40,10 @@ from hazrank.llm.common import documents, map_arrow, table
 MOST_POSITIVE = 3000
 MOST_NEGATIVE = 6000
 MOST_CHARS = 60_000
+#: Steps of a logit in which calibration rows are counted; those beyond FAR
+#: are one step, so the counts are bounded.
+STEPS = 1024
+FAR = 32
 BUCKETS = 1 << 17
 DIM = 8
 WIDTHS = (1, 2, 3)
@@ -206,23 +212,23 @@ class Classifier:
         n = len(FUNCTION_WORDS)
         return np.array([c.argmax() + 1 if (c := np.bincount(known[t[:, 0]], minlength=n + 1)[1:]).any() else 0 for t in texts], dtype=np.int64)
 
-    def calibrate(self, texts: list[np.ndarray], y: np.ndarray) -> None:
+    def calibrate(self, counts: np.ndarray) -> None:
         """Per guessed language the threshold of highest F1, halfway to the
-        next lower logit; with fewer than ten rows of a kind, that of all."""
-        logit, lang = self.logits(texts), self.languages(texts)
-
-        def best(z, y):
-            order = np.argsort(-z, kind="stable")
-            hit = np.cumsum(y[order])
-            f1 = 2 * hit / (np.arange(len(z)) + 1 + y.sum())
-            k = int(np.argmax(f1))
-            return float(z[order][k] + z[order][min(k + 1, len(z) - 1)]) / 2
-
-        self.shift[:] = best(logit, y)
+        next lower logit; with fewer than ten rows of a kind, that of all.
+        ``counts``: language, step, rows, toxic rows, least and greatest logit."""
+        def best(c):
+            c = c[np.argsort(-c[:, 1], kind="stable")]
+            at = np.flatnonzero(np.diff(c[:, 1], prepend=np.inf))
+            n, hit = (np.cumsum(np.add.reduceat(c[:, k], at)) for k in (2, 3))
+            low, high = np.minimum.reduceat(c[:, 4], at), np.maximum.reduceat(c[:, 5], at)
+            k = int(np.argmax(2 * hit / (n + hit[-1])))
+            return float(low[k] + (high[k + 1] if k + 1 < len(at) else low[k])) / 2
+
+        self.shift[:] = best(counts)
         for k in range(1, len(FUNCTION_WORDS) + 1):
-            at = lang == k
-            if min(y[at].sum(), (1 - y[at]).sum()) >= 10:
-                self.shift[k] = best(logit[at], y[at])
+            c = counts[counts[:, 0] == k]
+            if min(c[:, 3].sum(), (c[:, 2] - c[:, 3]).sum()) >= 10:
+                self.shift[k] = best(c)
 
     def scores(self, texts: list[np.ndarray]) -> np.ndarray:
         if not self.trained:
@@ -241,13 +247,38 @@ def _sample_words(batches):
             [b.column(0), b.column(1), pa.array([buckets(words_of(t)).tobytes() for t in b.column(2).to_pylist()], pa.binary())], ["toxic", "part", "ids"])
 
 
+def calibration_counts(docs: DataFrame, known: DataFrame, model: Classifier) -> DataFrame:
+    """All labelled rows whose crc32(doc_id) mod 5 is 1, whole texts, counted
+    by guessed language and step of the logit.  The texts stay where they are:
+    only ids and logits meet the labels.  Rows of one id count once."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        for b in batches:
+            texts = b.column(1).to_pylist()
+            lang, logit = [], []
+            for k in range(0, len(texts), 512):
+                ids = [buckets(words_of(t)) for t in texts[k:k + 512]]
+                lang += shared.value.languages(ids).tolist()
+                logit += shared.value.logits(ids).tolist()
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(lang, pa.int32()), pa.array(logit, pa.float64())], ["doc_id", "lang", "logit"])
+
+    schema = StructType([docs.schema["doc_id"], StructField("lang", IntegerType()), StructField("logit", DoubleType())])
+    rows = map_arrow(docs.select("doc_id", "text").filter(fold(F.col("doc_id")) == 1), run, schema)
+    rows = rows.join(known.filter("toxic in (0, 1)").select("doc_id", "toxic"), "doc_id")
+    rows = rows.groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.max(F.struct("logit", "lang")).alias("top"))
+    step = F.floor(F.greatest(F.lit(-FAR), F.least(F.lit(FAR), F.col("top.logit"))) * STEPS)
+    return rows.groupBy(F.col("top.lang").alias("lang"), step.alias("step")).agg(
+        F.count("*").alias("n"), F.sum("toxic").alias("toxic"), F.min("top.logit").alias("low"), F.max("top.logit").alias("high"))
+
+
 def fit(docs: DataFrame, labels: DataFrame, most_positive: int = MOST_POSITIVE, most_negative: int = MOST_NEGATIVE) -> Classifier:
-    """Train and calibrate on labelled rows whose crc32(doc_id) mod 5 is not 0
-    (1: for calibration)."""
+    """Train on a sample of the labelled rows whose crc32(doc_id) mod 5 is over
+    1, and calibrate on all of those where it is 1."""
     known = labels.filter("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    known = known.filter(fold(F.col("doc_id")) != 0).withColumn("order", F.xxhash64("doc_id"))
-    chosen = known.filter("toxic = 1").orderBy("order", "doc_id").limit(most_positive).unionByName(
-        known.filter("toxic = 0").orderBy("order", "doc_id").limit(most_negative))
+    learning = known.filter(fold(F.col("doc_id")) > 1).withColumn("order", F.xxhash64("doc_id"))
+    chosen = learning.filter("toxic = 1").orderBy("order", "doc_id").limit(most_positive).unionByName(
+        learning.filter("toxic = 0").orderBy("order", "doc_id").limit(most_negative))
     rows = docs.select("doc_id", "text").filter(F.length("text") <= MOST_CHARS)
     # at most most_positive + most_negative rows of two numbers
     rows = rows.join(F.broadcast(chosen.select("doc_id", "toxic")), "doc_id").dropDuplicates(["doc_id"])
@@ -255,15 +286,15 @@ def fit(docs: DataFrame, labels: DataFrame, most_positive: int = MOST_POSITIVE,
     got = map_arrow(rows.select("toxic", "part", "text"), _sample_words, "toxic int, part int, ids binary").collect()
     got.sort(key=lambda r: (r["part"], r["toxic"], zlib.crc32(r["ids"]), bytes(r["ids"])))
     texts = [np.frombuffer(r["ids"], dtype=np.int32).reshape(-1, 2) for r in got]
-    y, part = np.array([r["toxic"] for r in got], dtype=np.float64), np.array([r["part"] for r in got])
+    y = np.array([r["toxic"] for r in got], dtype=np.float64)
     model = Classifier()
-    learn = np.flatnonzero(part != 1)
-    if len(learn) and 0 < y[learn].mean() < 1:
-        model.train([texts[i] for i in learn], y[learn])
-        tune = np.flatnonzero(part == 1)
-        if len(tune) == 0 or not 0 < y[tune].mean() < 1:
-            tune = learn
-        model.calibrate([texts[i] for i in tune], y[tune])
+    if len(y) and 0 < y.mean() < 1:
+        model.train(texts, y)
+        counts = np.array(calibration_counts(docs, known, model).collect(), dtype=np.float64).reshape(-1, 6)
+        if not 0 < counts[:, 3].sum() < counts[:, 2].sum():  # not both kinds: the sample serves
+            logit = model.logits(texts).astype(np.float64)
+            counts = np.stack([model.languages(texts), logit, np.ones(len(y)), y, logit, logit], axis=1)
+        model.calibrate(counts)
     return model
 
 

@@ -457,6 +457,30 @@ def test_toxicity_learns_and_scores_all(spark, empty):
     assert toxicity.clean(empty, model).count() == 0
 
 
+def test_toxicity_thresholds_rest_on_all_calibration_rows(spark, monkeypatch):
+    rng = random.Random(4)
+    plain = ["the", "and", "of", "ring", "ther", "ation", "house", "lorem", "with"]
+    rows = []
+    for k in range(1200):
+        t = [rng.choice(plain) for _ in range(rng.randint(5, 40))]
+        if rng.random() < (0.8 if k % 10 == 0 else 0.1):  # a word that clean texts have, too
+            t[0] = "idiot"
+        rows.append((k, " ".join(t), int(k % 10 == 0)))
+    tuned = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 5 == 1]
+    long = next(r for r in tuned if r[2] == 0)
+    rows[long[0]] = (long[0], "the house " * (toxicity.MOST_CHARS // 8), 0)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    seen, calibrate = [], toxicity.Classifier.calibrate
+    monkeypatch.setattr(toxicity.Classifier, "calibrate", lambda self, c: (seen.append((c[:, 2].sum(), c[:, 3].sum())), calibrate(self, c)))
+    for caps in ({}, {"most_positive": 40, "most_negative": 40}):
+        model = toxicity.fit(docs.select("doc_id", "text"), docs.select("doc_id", "toxic"), **caps)
+        score = model.scores([toxicity.buckets(toxicity.words_of(rows[k][1])) for k, _, _ in tuned])
+        y = np.array([r[2] for r in tuned])
+        f1 = lambda on: 2 * (y * on).sum() / (y.sum() + on.sum())
+        assert f1(score >= 0.5) > max(f1(score >= s) for s in score) - 0.01
+    assert seen == [(len(tuned), sum(r[2] for r in tuned))] * 2
+
+
 def test_long_texts_pool_in_parts():
     model = toxicity.Classifier()
     ids = np.random.default_rng(0).integers(0, toxicity.BUCKETS, (1000, 2)).astype(np.int32)
