@@ -7,7 +7,7 @@ number by number modulo a power of two:
 
 * one count, modulo 2^32;
 * ``UNIFORM`` numbers modulo 2^64, for equality;
-* ``SIGNS`` numbers of plus or minus one modulo 2^16, for likeness.
+* ``SIGNS`` numbers of plus or minus one modulo 2^32, for likeness.
 
 So the order of the pieces does not matter, and a piece is inserted or deleted
 by adding or subtracting its vector (``insert``, ``delete``); fingerprints of
@@ -62,7 +62,7 @@ class Fingerprint:
     def __init__(self, count=0, uniform=None, signs=None):
         self.count = int(count) & 0xFFFFFFFF
         self.uniform = np.zeros(UNIFORM, np.uint64) if uniform is None else uniform
-        self.signs = np.zeros(SIGNS, np.uint16) if signs is None else signs
+        self.signs = np.zeros(SIGNS, np.uint32) if signs is None else signs
 
     def __add__(self, other: "Fingerprint") -> "Fingerprint":
         return Fingerprint(self.count + other.count, self.uniform + other.uniform, self.signs + other.signs)
@@ -83,18 +83,18 @@ class Fingerprint:
         """Twice the shared pieces over all pieces, estimated."""
         if self == other:
             return 1.0
-        a, b = self.signs.view(np.int16).astype(np.float64), other.signs.view(np.int16).astype(np.float64)
+        a, b = self.signs.view(np.int32).astype(np.float64), other.signs.view(np.int32).astype(np.float64)
         whole = float(a @ a + b @ b)
         return min(1.0, max(0.0, 2 * float(a @ b) / whole)) if whole else 0.0
 
     def text(self) -> str:
-        raw = np.uint32(self.count).astype("<u4").tobytes() + self.uniform.astype("<u8").tobytes() + self.signs.astype("<u2").tobytes()
+        raw = np.uint32(self.count).astype("<u4").tobytes() + self.uniform.astype("<u8").tobytes() + self.signs.astype("<u4").tobytes()
         return base64.b64encode(raw).decode()
 
     @classmethod
     def parse(cls, text: str) -> "Fingerprint":
         raw = base64.b64decode(text)
-        return cls(np.frombuffer(raw, "<u4", 1)[0], np.frombuffer(raw, "<u8", UNIFORM, 4).copy(), np.frombuffer(raw, "<u2", SIGNS, 4 + 8 * UNIFORM).copy())
+        return cls(np.frombuffer(raw, "<u4", 1)[0], np.frombuffer(raw, "<u8", UNIFORM, 4).copy(), np.frombuffer(raw, "<u4", SIGNS, 4 + 8 * UNIFORM).copy())
 
 
 def fingerprints(texts: list[list[bytes]], step: int = 200_000) -> list[Fingerprint]:
@@ -117,7 +117,7 @@ def fingerprints(texts: list[list[bytes]], step: int = 200_000) -> list[Fingerpr
         counts = np.array([len(g) for g in group], dtype=np.int64)
         full = np.flatnonzero(counts)
         uniform = np.zeros((len(group), UNIFORM), np.uint64)
-        signs = np.zeros((len(group), SIGNS), np.uint16)
+        signs = np.zeros((len(group), SIGNS), np.uint32)
         if size:
             at = (np.cumsum(counts) - counts)[full]
             for lane in range(UNIFORM):
@@ -125,7 +125,7 @@ def fingerprints(texts: list[list[bytes]], step: int = 200_000) -> list[Fingerpr
             raw = np.stack([_mixed(h, UNIFORM + j) for j in range(SIGNS // 64)], axis=1)
             bits = np.unpackbits(raw.view(np.uint8).reshape(size, SIGNS // 8), axis=1)
             ones = np.add.reduceat(bits, at, axis=0, dtype=np.int32)
-            signs[full] = (2 * ones - counts[full][:, None]).astype(np.uint16)
+            signs[full] = (2 * ones - counts[full][:, None]).astype(np.uint32)
         out += [Fingerprint(c, u, s) for c, u, s in zip(counts, uniform, signs)]
     return out
 

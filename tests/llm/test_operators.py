@@ -367,6 +367,14 @@ def test_fingerprint_is_a_multiset_hash():
     assert b"".join(fingerprints.pieces(b"a. b! c\nd? e")) == b"a. b! c\nd? e"
 
 
+def test_likeness_of_a_line_repeated_40000_times():
+    line = [b"\n"]
+    half, other = line * 20_000, [b"line %d\n" % k for k in range(2000)]
+    whole, edited = fingerprints.fingerprints([line * 40_000, half + other])
+    assert abs(whole.likeness(edited) - 2 * 2 / 5) < 0.05  # 2ab / (a2 + b2) of 2 and 1
+    assert abs(fingerprints.Fingerprint.parse(whole.text()).likeness(edited) - 4 / 5) < 0.05
+
+
 def test_token_files_round_trip(spark, docs, empty):
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(vocabulary("word_bpe_49k.json"))
