@@ -1,8 +1,8 @@
 """Document fingerprints: a homomorphic multiset hash.
 
 A text is the multiset of its paragraphs: pieces that end at a line break or
-at a sentence's end, blanks and marks included.  Each piece is hashed to a
-wide vector, and a text's fingerprint is the sum of its pieces' vectors,
+at a sentence's end, blanks and marks included.  Each piece is hashed to 128 bits
+and these to a wide vector, both halves going into every number, and a text's fingerprint is the sum of its pieces' vectors,
 number by number modulo a power of two:
 
 * one count, modulo 2^32;
@@ -47,8 +47,13 @@ def pieces(text: bytes) -> list[bytes]:
 
 
 def _mixed(h: np.ndarray, lane: int) -> np.ndarray:
-    """An independent 64-bit number of each hash, per lane."""
-    z = h + np.uint64((_GOLDEN * (lane + 1)) & 0xFFFFFFFFFFFFFFFF)
+    """An independent 64-bit number of each hash (n x 2), per lane: the first
+    half is scrambled, the second put over it, and all scrambled again."""
+    shift = np.uint64((_GOLDEN * (lane + 1)) & 0xFFFFFFFFFFFFFFFF)
+    return _scrambled((_scrambled(h[:, 0] + shift) ^ h[:, 1]) + shift)
+
+
+def _scrambled(z: np.ndarray) -> np.ndarray:
     z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return z ^ (z >> np.uint64(31))
@@ -113,7 +118,7 @@ def fingerprints(texts: list[list[bytes]], step: int = 200_000) -> list[Fingerpr
             parts = [group[0][a:a + step] for a in range(0, size, step)]
             out.append(sum((fingerprints([p], step)[0] for p in parts), Fingerprint()))
             continue
-        h = np.fromiter((xxhash.xxh3_64_intdigest(p) for g in group for p in g), dtype=np.uint64, count=size)
+        h = np.frombuffer(b"".join(xxhash.xxh3_128_digest(p) for g in group for p in g), dtype=">u8").astype(np.uint64).reshape(-1, 2)
         counts = np.array([len(g) for g in group], dtype=np.int64)
         full = np.flatnonzero(counts)
         uniform = np.zeros((len(group), UNIFORM), np.uint64)

@@ -375,6 +375,15 @@ def test_likeness_of_a_line_repeated_40000_times():
     assert abs(fingerprints.Fingerprint.parse(whole.text()).likeness(edited) - 4 / 5) < 0.05
 
 
+def test_pieces_differ_in_every_number_unless_128_bits_are_equal(monkeypatch):
+    import xxhash
+    monkeypatch.setattr(xxhash, "xxh3_64_intdigest", lambda p: 7)
+    for digest in (xxhash.xxh3_128_digest, lambda p: hashlib.sha256(p).digest()[:8] + bytes(8), lambda p: bytes(8) + hashlib.sha256(p).digest()[:8]):
+        monkeypatch.setattr(xxhash, "xxh3_128_digest", digest)
+        a, b = fingerprints.fingerprints([[b"one\n"], [b"another\n"]])
+        assert (a.uniform != b.uniform).all() and 30 < (a.signs != b.signs).sum() < 98
+
+
 def test_token_files_round_trip(spark, docs, empty):
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(vocabulary("word_bpe_49k.json"))
