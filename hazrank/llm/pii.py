@@ -7,12 +7,14 @@ bounded sample of the corpus with its base spans, and the same windows with
 generated data in other spellings written into them).
 
 All four kinds hold a digit or an ``@``, so windows are laid wherever one
-stands, over the whole text: ``WINDOW`` characters, half overlapping.  Each
+stands, over the whole text: ``WINDOW`` characters, half overlapping, around
+an ``@`` over the whole name before and host after it.  Each
 window is decoded by Viterbi; where windows overlap, a character takes its tag
 from the window in which it stands farthest from an edge, and spans are read
 off the reconciled tags, across windows.  An added span must be sure (least
 marginal of its tags at least ``SURE``), pass its kind's check (parts, digits,
-Luhn) and leave every base span as it is.
+Luhn) and leave every base span as it is.  An added address that begins or ends
+within a run of name or host characters takes in the whole run.
 
 Defined cases: a null text is empty and has no span; repeated rows give equal
 rows; without any document with data the model learns from generated data
@@ -47,6 +49,7 @@ _IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _SIGN = re.compile(r"[0-9@]")
+_HOST = re.compile(r"[A-Za-z0-9.-]*")
 
 
 def luhn(digits: str) -> bool:
@@ -107,16 +110,39 @@ def codes(s: str) -> np.ndarray:
 SYMBOLS = 131
 
 
+def name_start(text: str, at: int, least: int = 0) -> int:
+    """Where the run of name characters before ``at`` starts, from ``least``."""
+    while at > least and _LOCAL.match(text, at - 1, at):
+        at -= 1
+    return at
+
+
+def address_zone(text: str, at: int) -> tuple[int, int]:
+    """Start of the name before an ``@`` and end of the host after it, blanks
+    (up to ``MARGIN``) between."""
+    a, b = at, at + 1
+    while a > max(0, at - MARGIN) and text[a - 1] == " ":
+        a -= 1
+    while b < min(len(text), at + 1 + MARGIN) and text[b] == " ":
+        b += 1
+    return name_start(text, a), _HOST.match(text, b).end()
+
+
 def windows_of(text: str) -> list[tuple[int, str]]:
     """(start, characters) of windows that cover every digit and ``@`` with
-    ``MARGIN`` characters around, half overlapping within a zone."""
+    ``MARGIN`` characters around, half overlapping within a zone.  A name or
+    host that reaches beyond those is covered, with as many around it."""
     zones: list[list[int]] = []
     for m in _SIGN.finditer(text):
-        a, b = max(0, m.start() - MARGIN), min(len(text), m.end() + MARGIN)
-        if zones and a <= zones[-1][1]:
-            zones[-1][1] = max(b, zones[-1][1])
-        else:
-            zones.append([a, b])
+        a, b = m.start() - MARGIN, m.end() + MARGIN
+        if m.group() == "@":
+            name, host = address_zone(text, m.start())
+            a, b = a if name > a else name - MARGIN, b if host < b else host + MARGIN
+        a, b = max(0, a), min(len(text), b)
+        while zones and a <= zones[-1][1]:
+            x, y = zones.pop()
+            a, b = min(a, x), max(b, y)
+        zones.append([a, b])
     out = []
     for a, b in zones:
         while True:
@@ -382,6 +408,9 @@ def added_spans(base: list, model_spans: list, text: str, sure: float = SURE) ->
     taken = sorted((a, b) for _, a, b in base)
     out = []
     for kind, a, b, least in model_spans:
+        if kind == "email" and "@" in text[a:b]:
+            a = name_start(text, a, max((y for _, y in taken if y <= a), default=0))
+            b = min(_HOST.match(text, b).end(), min((x for x, _ in taken if x >= b), default=len(text)))
         while a < b and text[a] in " .,;:":
             a += 1
         while b > a and text[b - 1] in " .,;:":

@@ -310,6 +310,23 @@ def test_pii_base_and_model(docs, empty, spark):
     assert hit >= 56
 
 
+def test_pii_takes_whole_long_addresses():
+    for name in ("firstname-middlename-lastname", "first7name-middlename-lastname", "x" * 300):
+        for host in ("example.com", "a-host-of-quite-a-long-name.department.example.com"):
+            lead = "the and of " * 5
+            text = f"{lead}{name} @ {host}. the and of"
+            a, b = len(lead), len(lead) + len(name) + 3 + len(host)
+            seen = {p for start, s in pii.windows_of(text) for p in range(start, start + len(s))}
+            assert set(range(a, b)) <= seen
+            starts = [start for start, _ in pii.windows_of(text)]
+            assert starts == sorted(set(starts))
+            mid = text.index(" @ ")
+            assert pii.added_spans([], [("email", mid - 4, mid + 9, 0.99)], text) == [("email", a, b)]
+            assert pii.added_spans([("ip", a, a + 8)], [("email", mid - 4, mid + 9, 0.99)], text) == [("email", a + 8, b)]
+    plain = "the and of " * 5 + "name @ example.com the and of"
+    assert [start for start, _ in pii.windows_of(plain)] == [plain.index("@") - pii.MARGIN]
+
+
 def test_pii_gradient_is_right():
     rng = np.random.default_rng(4)
     model = pii.Tagger()
