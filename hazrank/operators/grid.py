@@ -47,12 +47,17 @@ def grid_zip(lists: DataFrame, group_cols: Sequence[str], key_col: str = "param"
     """Imported grid: the i-th value of every parameter list forms model i.
 
     ``lists``: (group..., param, values ARRAY) -- one row per parameter.
-    Lists of one group must have equal length (checked: the
-    ``length_ok`` column).  Output: (group..., model_index, params MAP).
+    A list of one value holds for every model of its group; all others must
+    have equal length (checked: the ``length_ok`` column).
+    Output: (group..., model_index, params MAP).
     """
     g = list(group_cols)
-    exploded = lists.select(*g, key_col, F.posexplode(values_col).alias("model_index", "value"))
-    sizes = lists.groupBy(*g).agg((F.min(F.size(values_col)) == F.max(F.size(values_col))).alias("length_ok"))
+    n = F.size(values_col)
+    longest = F.max(n).over(Window.partitionBy(*g))
+    spread = lists.withColumn("_n", longest).withColumn(
+        values_col, F.when(n == 1, F.array_repeat(F.get(values_col, F.lit(0)), F.col("_n"))).otherwise(F.col(values_col)))
+    exploded = spread.select(*g, key_col, F.posexplode(values_col).alias("model_index", "value"))
+    sizes = spread.groupBy(*g).agg((F.min(n) == F.max(n)).alias("length_ok"))
     models = exploded.groupBy(*g, "model_index").agg(
         F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col(key_col), F.col("value"))))).alias("params"))
     return models.join(sizes, g, "inner")

@@ -8,6 +8,7 @@ from hazrank.operators.eda import share_by_value
 from hazrank.operators.fairness import disparity_at_k
 from hazrank.operators import models as MD
 from hazrank.operators.models import make_estimator
+from hazrank.operators.grid import grid_zip
 from hazrank.operators.ranking import (
     group_sizes, precision_at_k, precision_recall_curve, rank_scores, year_positives,
 )
@@ -111,3 +112,13 @@ def test_denominators_count_unscored_labels_and_unlabelled_scores(spark):
     assert (r.ranked, r.i, r.positives_at_k, r.all_positives, r.recall) == (10, 3, 2, 5, 0.4)
     curve = precision_recall_curve(rank_scores(scores, labels), sizes=group_sizes(scores), positives=year_positives(labels))
     assert [(c.k, c.recall) for c in curve.orderBy("rn").collect()] == [(0.1, 0.2), (0.2, 0.2), (0.3, 0.4), (0.4, 0.4)]
+
+
+def test_one_value_holds_for_every_model_of_its_group(spark):
+    lists = spark.createDataFrame([("a", "depth", ["1", "2", "3"]), ("a", "seed", ["7"]), ("b", "depth", ["1", "2"]),
+                                   ("b", "seed", ["7", "8", "9"]), ("c", "depth", ["4"]), ("d", "depth", ["1"]), ("d", "seed", [])],
+                                  "g string, param string, values array<string>")
+    got = {(r.g, r.model_index): (r.params, r.length_ok) for r in grid_zip(lists, ["g"]).collect()}
+    assert [got["a", i] for i in range(3)] == [({"depth": str(i + 1), "seed": "7"}, True) for i in range(3)]
+    assert got["c", 0] == ({"depth": "4"}, True) and not any(ok for (g, _), (_, ok) in got.items() if g in "bd")
+    assert len(got) == 3 + 3 + 1 + 1
