@@ -9,12 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hazrank.config import NEVER_INSPECTED_DAYS
 from hazrank.functions.columns import floor_decimals
-from hazrank.operators.ranking import ordered_index
+from hazrank.operators.ranking import _num_partitions, ordered_index
+from hazrank.session import checkpoint_dir
 
 ENTITY = "handler_id"
 
@@ -105,10 +106,22 @@ def commonsense_rank(lt, spine: DataFrame) -> DataFrame:
 # --- B16 ----------------------------------------------------------------------
 def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float]) -> DataFrame:
     """Linear-interpolation quantiles (as pandas ``describe``) computed
-    exactly: a distributed row number, then only the 2 rows around each
-    quantile position are kept.  One output row, columns q_<p>."""
+    exactly: rows are counted per value, the counts cumulated over ranges of
+    values, and only the values around each quantile position are kept, so a
+    value's number of rows does not matter.  One output row, columns q_<p>."""
     v = df.select(F.col(col).alias("_v")).where(F.col("_v").isNotNull())
-    idx = ordered_index(v, [], [F.col("_v").asc()], with_group_size=True)
+    counts = v.groupBy("_v").agg(F.count(F.lit(1)).alias("_n"))
+    checkpoint_dir(df.sparkSession)
+    # reliable checkpoint: the ranges must not change between reads
+    ranged = counts.repartitionByRange(_num_partitions(df), "_v").withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True)
+    # at most one row per partition
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranged.groupBy("_pid").agg(F.sum("_n").alias("_cnt"))
+    ranges = ranges.select("_pid", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"),
+                           F.sum("_cnt").over(Window.partitionBy()).alias("group_size"))
+    up_to = F.sum("_n").over(Window.partitionBy("_pid").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0))
+    idx = ranged.withColumn("_loc", up_to).join(ranges, "_pid").withColumn("_to", F.col("_off") + F.col("_loc"))
+    holds = lambda rn: (F.col("_to") >= rn) & (F.col("_to") - F.col("_n") < rn)
     picks = []
     for p in probs:
         pos = (F.col("group_size") - 1) * F.lit(float(p))
@@ -117,13 +130,13 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float]) -> DataFram
         picks.append((p, lo, frac))
     cond = None
     for _, lo, _f in picks:
-        c = (F.col("rn") == lo) | (F.col("rn") == lo + 1)
+        c = holds(lo) | holds(lo + 1)
         cond = c if cond is None else cond | c
     near = idx.where(cond)
     aggs = []
     for p, lo, frac in picks:
-        v_lo = F.max(F.when(F.col("rn") == lo, F.col("_v")))
-        v_hi = F.coalesce(F.max(F.when(F.col("rn") == lo + 1, F.col("_v"))), v_lo)
+        v_lo = F.max(F.when(holds(lo), F.col("_v")))
+        v_hi = F.coalesce(F.max(F.when(holds(lo + 1), F.col("_v"))), v_lo)
         aggs.append((v_lo + (v_hi - v_lo) * F.max(frac)).alias(f"q_{int(round(p * 100))}"))
     return near.agg(*aggs)
 

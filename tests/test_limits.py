@@ -1,10 +1,11 @@
 """Values, categories and parameters beyond the usual range."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from hazrank.functions.columns import round_half_up
-from hazrank.operators.eda import share_by_value
+from hazrank.operators.eda import exact_quantiles, share_by_value
 from hazrank.operators.fairness import disparity_at_k
 from hazrank.operators import models as MD
 from hazrank.operators.models import make_estimator
@@ -122,3 +123,15 @@ def test_one_value_holds_for_every_model_of_its_group(spark):
     assert [got["a", i] for i in range(3)] == [({"depth": str(i + 1), "seed": "7"}, True) for i in range(3)]
     assert got["c", 0] == ({"depth": "4"}, True) and not any(ok for (g, _), (_, ok) in got.items() if g in "bd")
     assert len(got) == 3 + 3 + 1 + 1
+
+
+def test_quantiles_sort_values_not_rows(spark, monkeypatch):
+    rows = spark.range(3001).select(F.when(F.col("id") % 3 == 0, 40.0).when(F.col("id") > 2990, None).otherwise(F.col("id") % 97).alias("x"))
+    values = np.array([r.x for r in rows.collect() if r.x is not None])
+    sorted_rows, ranged = [], type(rows).repartitionByRange
+    monkeypatch.setattr(type(rows), "repartitionByRange", lambda self, *a: (sorted_rows.append(self.count()), ranged(self, *a))[1])
+    probs = (0.0, 0.1, 0.25, 0.5, 0.75, 1.0)
+    assert list(exact_quantiles(rows, "x", probs).first()) == pytest.approx(list(np.quantile(values, probs)))
+    assert sorted_rows == [len(set(values))]
+    assert list(exact_quantiles(rows.limit(0), "x", (0.5,)).first()) == [None]
+    assert list(exact_quantiles(rows.where("id = 3"), "x", (0.25, 1.0)).first()) == [40.0, 40.0]
