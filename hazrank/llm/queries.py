@@ -1,7 +1,7 @@
 """The registered query of each corpus operator, and SQL where SQL can say
 the same over whole tables."""
 
-from hazrank.llm import exact_dedup, fingerprints, lexical, merkle, mixing, packing, pii, simhash, suffix_dedup, token_files, toxicity, url_rules
+from hazrank.llm import exact_dedup, fingerprints, lexical, merkle, mixing, packing, pii, quality, simhash, suffix_dedup, token_files, toxicity, url_rules
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
@@ -16,6 +16,7 @@ QUERIES = {
     "op10_toxicity": toxicity.op10_toxicity,
     "op11_search": lexical.op11_search,
     "op12_merkle": merkle.op12_merkle,
+    "op13_quality": quality.op13_quality,
 }
 
 ORACLE_SQL = {
