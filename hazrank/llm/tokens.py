@@ -30,7 +30,10 @@ _LATIN = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz" + "".join(chr(c)
 _BREAK = "\x01"
 _BLANK = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]"
 _ODD = rf"^\x01?({_BLANK}|$)|{_BLANK}$"
-_PLAIN = rf"^\x01?[{_LATIN}]+$"
+#: Chunks that are a word alone; with the mark of a line break only where such
+#: marks are made, since U+0001 of a text is a character like any other.
+_WORD = rf"^[{_LATIN}]+$"
+_MARKED_WORD = rf"^\x01?[{_LATIN}]+$"
 _ENCODERS: dict[tuple[str, bool], "ChunkEncoder"] = {}
 
 
@@ -109,7 +112,7 @@ class ChunkEncoder:
         chunk, distinct = coded.indices.to_numpy().astype(np.int64), coded.dictionary
 
         core = pc.utf8_rtrim(distinct, _MARKS)
-        plain = pc.match_substring_regex(core, _PLAIN)
+        plain = pc.match_substring_regex(core, _MARKED_WORD if self.spaced else _WORD)
         core = pc.if_else(plain, core, distinct)
         marks = pc.if_else(plain, pc.utf8_ltrim(distinct, _BREAK + _LATIN), "")
         if len(self.words) >= TABLE_WORDS:
