@@ -23,8 +23,9 @@ alone; an empty table gives no row.
 
 from __future__ import annotations
 
-import hashlib
 import re
+from bisect import bisect_left, bisect_right
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +46,9 @@ EMBED, HIDDEN = 12, 20
 EPOCHS = 5
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]+")
-_IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+#: A run of digits is read once: a match begins where a run does, and what
+#: cannot follow the whole run cannot follow a part of it.
+_IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]++)(\.[0-9]++)(\.[0-9]++)")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _SIGN = re.compile(r"[0-9@]")
@@ -65,7 +68,7 @@ def valid(kind: str, s: str) -> bool:
     digits = "".join(c for c in s if "0" <= c <= "9")
     if kind == "ip":
         parts = re.split(r"[^0-9]+", s.strip())
-        return len(parts) == 4 and all(0 < len(p) and len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in parts)
+        return len(parts) == 4 and all(p and len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or 0) <= 255 for p in parts)
     if kind == "card":
         return 13 <= len(digits) <= 19 and luhn(digits)
     if kind == "phone":
@@ -403,20 +406,28 @@ def fit(docs: DataFrame, **bounds) -> Tagger:
 
 
 def added_spans(base: list, model_spans: list, text: str, sure: float = SURE) -> list[tuple[str, int, int]]:
-    """The model's spans that are sure, pass their check and touch no base
-    span."""
-    taken = sorted((a, b) for _, a, b in base)
-    out = []
-    for kind, a, b, least in model_spans:
+    """The model's spans that are sure, pass their check, and touch neither a
+    base span nor one another (the first stays)."""
+    starts = sorted(a for _, a, _ in base)
+    ends = sorted(b for _, _, b in base)
+    # of the base spans up to the k-th start, the greatest end
+    reach = [0, *accumulate((b for _, b in sorted((a, b) for _, a, b in base)), max)]
+    out, last = [], 0
+    for kind, a, b, least in sorted(model_spans, key=lambda s: s[1:3]):
+        if least < sure or a < last:
+            continue
         if kind == "email" and "@" in text[a:b]:
-            a = name_start(text, a, max((y for _, y in taken if y <= a), default=0))
-            b = min(_HOST.match(text, b).end(), min((x for x, _ in taken if x >= b), default=len(text)))
+            k = bisect_right(ends, a)
+            a = name_start(text, a, max(last, ends[k - 1] if k else 0))
+            k = bisect_left(starts, b)
+            b = min(_HOST.match(text, b).end(), starts[k] if k < len(starts) else len(text))
         while a < b and text[a] in " .,;:":
             a += 1
         while b > a and text[b - 1] in " .,;:":
             b -= 1
-        if least >= sure and valid(kind, text[a:b]) and not any(x < b and a < y for x, y in taken):
+        if valid(kind, text[a:b]) and reach[bisect_left(starts, b)] <= a:
             out.append((kind, a, b))
+            last = b
     return out
 
 
