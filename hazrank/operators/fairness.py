@@ -1,9 +1,10 @@
 """Group fairness at the top k share, and a proportional final list.
 
-Ranks come from the distributed ``ordered_index``; group tables are
-joined as ordinary (AQE-sized) joins.  Per-category counts group the whole
-ranked frame, with any number of categories: one that is absent from the top
-gets zeros, and one that is absent from a model's year gets no row.
+Audits count over the cutoffs of ``topk``, without ranks; the final list needs
+places and takes them from the distributed ``ordered_index``.  Group tables are
+joined as ordinary (AQE-sized) joins.  Per-category counts group all ranked
+rows, with any number of categories: one that is absent from the top gets
+zeros, and one that is absent from a model's year gets no row.
 """
 
 from __future__ import annotations
@@ -13,29 +14,26 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hazrank.operators.ranking import ordered_index, ratio_ladder, score_order
+from hazrank.operators.ranking import (
+    cutoff_index, group_sizes, ordered_index, ratio_ladder, score_order, scored_with_labels, stored,
+)
+from hazrank.operators.topk import top_cutoffs, with_top
 
 
 # --- E8 -----------------------------------------------------------------------
-def disparity_at_k(scores: DataFrame, labels: DataFrame, groups: DataFrame, k: float, group_col: str,
-                   ref_group, keys: Sequence[str] = ("model_id", "eval_year"),
-                   entity_col: str = "handler_id") -> DataFrame:
-    """Per non-reference category: labelled count in the top i of the
-    group-joined ranking, its share of all positives ("recall") and the
-    share of labelled-negative rows (FDR), each as a ratio to the
-    reference category (0/0 -> 1, x/0 -> inf).  i is taken from the size
-    of the group-joined frame."""
-    g = list(keys)
-    merged = (scores.join(groups.select(entity_col, group_col), entity_col, "inner")
-                    .join(labels, ["eval_year", entity_col], "inner"))
-    ranked = ordered_index(merged, g, score_order("score", entity_col), with_group_size=True)
-    i = F.floor(F.lit(float(k)) * F.col("group_size")).cast("long")
-    top = (F.col("rn") <= i) & F.col("formal").isNotNull()
-    # all ranked rows are grouped, so a category outside the top has zeros
-    per = ranked.groupBy(*g, F.col(group_col).alias("category")).agg(
-        F.coalesce(F.sum("formal"), F.lit(0)).alias("_relevant"),
-        F.count(F.when(top, 1)).alias("n_top"),
-        F.count(F.when(top & (F.col("formal") == 0), 1)).alias("fp_top"))
+def scored_in_groups(scores: DataFrame, labels: DataFrame, groups: DataFrame, group_col: str,
+                     label_keys: Sequence[str] = ("eval_year",), entity_col: str = "handler_id") -> DataFrame:
+    """All scored rows, stored, with label, ``labelled_row``, ``category`` and
+    ``grouped_row`` (has the entity a row among ``groups``, one each?)."""
+    g = groups.select(entity_col, F.col(group_col).alias("category"), F.lit(True).alias("grouped_row"))
+    return stored(scored_with_labels(scores, labels, label_keys, entity_col).join(g, entity_col, "left")
+                  .withColumn("grouped_row", F.coalesce("grouped_row", F.lit(False))))
+
+
+def _disparities(per: DataFrame, g: list[str], ref_group) -> DataFrame:
+    """Of counts per (group, category) -- positives ``_relevant``, labelled
+    ``n_top`` and negative ``fp_top`` rows of the top -- the ratios to the
+    reference category."""
     total = per.groupBy(*g).agg(F.sum("_relevant").alias("total_relevant"))
     full = per.where(F.col("category").isNotNull()).join(total, g, "inner")
     full = full.select(*g, "category", "n_top",
@@ -53,6 +51,60 @@ def disparity_at_k(scores: DataFrame, labels: DataFrame, groups: DataFrame, k: f
         F.col("n_top").alias("num_labeled_k"), "num_labeled_ref_k")
 
 
+def audit_at_k(scores: DataFrame, labels: DataFrame, groups: DataFrame, k: float, group_col: str, ref_group,
+               keys: Sequence[str] = ("model_id", "eval_year"), label_keys: Sequence[str] = ("eval_year",),
+               entity_col: str = "handler_id") -> DataFrame:
+    """Per non-reference category: labelled count in the top i of the
+    group-joined ranking, its share of all positives ("recall") and the
+    share of labelled-negative rows (FDR), each as a ratio to the
+    reference category (0/0 -> 1, x/0 -> inf), beside ``precision_k`` of the
+    whole group.
+
+    Two cutoffs mark the same stored rows: one at k of all scored rows
+    (precision), one at k of the rows that have a category (disparities).
+    One aggregate per (group, category) counts under both marks."""
+    g = list(keys)
+    rows = scored_in_groups(scores, labels, groups, group_col, label_keys, entity_col)
+    both = F.col("labelled_row") & F.col("grouped_row")
+    share = lambda n: F.floor(F.lit(float(k)) * n).cast("long")
+    sizes = stored(rows.groupBy(*g).agg(F.count(F.lit(1)).alias("n_scored"), F.count_if(F.col("labelled_row")).alias("n_ranked"), F.count_if(both).alias("n_merged")))
+    all_rows = top_cutoffs(rows.where("labelled_row"), sizes.withColumn("i", share(F.col("n_scored"))), g, entity_col=entity_col)
+    # where no scored row lacks a label row or a category, both cutoffs are one
+    differ = sizes.where("n_scored <> n_merged").limit(1).count()
+    merged = top_cutoffs(rows.where(both), sizes.withColumn("i", share(F.col("n_merged"))), g, entity_col=entity_col) if differ else all_rows
+    marked = with_top(rows.where("labelled_row"), all_rows, g, "in_all", entity_col=entity_col)
+    marked = with_top(marked, merged, g, "in_merged", entity_col=entity_col)
+    top = F.col("in_merged") & F.col("grouped_row") & F.col("formal").isNotNull()
+    # all rows are counted, so a category outside the top has zeros
+    per = marked.groupBy(*g, "category", "grouped_row").agg(
+        F.count(F.when(F.col("in_all"), F.col("formal"))).alias("_labelled"),
+        F.coalesce(F.sum(F.when(F.col("in_all"), F.col("formal"))), F.lit(0)).alias("_positive"),
+        F.coalesce(F.sum("formal"), F.lit(0)).alias("_relevant"),
+        F.count(F.when(top, 1)).alias("n_top"),
+        F.count(F.when(top & (F.col("formal") == 0), 1)).alias("fp_top"))
+    per = stored(per)  # one row per group and category
+    lab = F.sum("_labelled")
+    prec = per.groupBy(*g).agg(F.when(lab > 0, F.sum("_positive") / lab).alias("precision_k"))
+    return _disparities(per.where("grouped_row"), g, ref_group).join(prec, g, "inner")
+
+
+def disparity_at_k(scores: DataFrame, labels: DataFrame, groups: DataFrame, k: float, group_col: str,
+                   ref_group, keys: Sequence[str] = ("model_id", "eval_year"),
+                   label_keys: Sequence[str] = ("eval_year",), entity_col: str = "handler_id") -> DataFrame:
+    """The ratios of ``audit_at_k`` alone.  i is taken from the size of the
+    group-joined frame."""
+    g = list(keys)
+    rows = scored_in_groups(scores, labels, groups, group_col, label_keys, entity_col).where("labelled_row AND grouped_row")
+    sizes = group_sizes(rows, g).withColumn("i", cutoff_index(k))
+    top = F.col("top") & F.col("formal").isNotNull()
+    per = with_top(rows, top_cutoffs(rows, sizes, g, entity_col=entity_col), g, entity_col=entity_col)
+    per = per.groupBy(*g, "category").agg(
+        F.coalesce(F.sum("formal"), F.lit(0)).alias("_relevant"),
+        F.count(F.when(top, 1)).alias("n_top"),
+        F.count(F.when(top & (F.col("formal") == 0), 1)).alias("fp_top"))
+    return _disparities(per, g, ref_group)
+
+
 # --- E11 ----------------------------------------------------------------------
 def proportional_top_n(scores: DataFrame, groups: DataFrame, n: int, group_col: str,
                        keys: Sequence[str] = ("model_id", "eval_year"),

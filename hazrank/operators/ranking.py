@@ -19,8 +19,9 @@ group may hold a third of all rows, so instead
    its offset; join it back (broadcast is decided by AQE at run time
    from the measured size) and add the local position.
 
-Everything downstream (precision at k, curves, audits) aggregates by
-group with ordinary partial aggregation.
+Rankings that give every row its place (lists, curves) use it.  Metrics and
+audits at a cutoff need no place but the last one: they count over the cutoffs
+of ``topk`` instead.
 """
 
 from __future__ import annotations
@@ -101,11 +102,21 @@ def cutoff_index(k: float) -> Column:
 
 
 # --- E2, E3, E4 -------------------------------------------------------------
-def metrics_at_k(ranked: DataFrame, sizes: DataFrame, k: float,
-                 group_cols: Sequence[str] = ("model_id", "eval_year"),
-                 label_col: str = "formal", positives: DataFrame | None = None) -> DataFrame:
+def scored_with_labels(scores: DataFrame, labels: DataFrame, label_keys: Sequence[str] = ("eval_year",),
+                       entity_col: str = "handler_id") -> DataFrame:
+    """All scored rows with their label and ``labelled_row``: has the entity a
+    row among the labels (whose value may be NULL)?"""
+    return scores.join(labels.withColumn("labelled_row", F.lit(True)), [*label_keys, entity_col], "left") \
+        .withColumn("labelled_row", F.coalesce("labelled_row", F.lit(False)))
+
+
+def metrics_at_k(scored: DataFrame, k: float, group_cols: Sequence[str] = ("model_id", "eval_year"),
+                 label_col: str = "formal", positives: DataFrame | None = None,
+                 entity_col: str = "handler_id") -> DataFrame:
     """Precision, support, recall, FDR and labelled count at the top k share.
 
+    ``scored`` (``scored_with_labels``, a stored frame) is counted, never
+    sorted: the top i ends at the cutoff of ``topk.top_cutoffs``.
     ``positives`` (``year_positives``) counts the positives of the whole
     label table; without it those of the ranked rows are taken.
 
@@ -114,17 +125,17 @@ def metrics_at_k(ranked: DataFrame, sizes: DataFrame, k: float,
     recall    = positives in the top i / all positives (NULL when none)
     fdr       = (labelled - positives) / labelled
     """
+    from hazrank.operators.topk import top_cutoffs, with_top
     g = list(group_cols)
-    with_i = ranked.join(sizes.withColumn("i", cutoff_index(k)), on=g, how="inner")
-    top = F.col("rn") <= F.col("i")
+    sizes = group_sizes(scored, g).withColumn("i", cutoff_index(k))
+    ranked = scored.where("labelled_row")
+    cutoffs = top_cutoffs(ranked, sizes, g, entity_col=entity_col)
     y = F.col(label_col)
-    agg = with_i.groupBy(*g).agg(
-        F.max("n_scored").alias("ranked"),
-        F.max("i").alias("i"),
-        F.count(F.when(top, y)).alias("labelled_at_k"),
-        F.coalesce(F.sum(F.when(top, y)), F.lit(0)).alias("positives_at_k"),
+    agg = with_top(ranked, cutoffs, g, entity_col=entity_col).groupBy(*g).agg(
+        F.count(F.when(F.col("top"), y)).alias("labelled_at_k"),
+        F.coalesce(F.sum(F.when(F.col("top"), y)), F.lit(0)).alias("positives_at_k"),
         F.coalesce(F.sum(y), F.lit(0)).alias("all_positives"),
-    )
+    ).join(sizes.withColumnRenamed("n_scored", "ranked"), g, "inner")
     if positives is not None:
         year = [c for c in positives.columns if c != "all_positives"]
         agg = agg.drop("all_positives").join(positives, year, "inner")
@@ -138,10 +149,10 @@ def metrics_at_k(ranked: DataFrame, sizes: DataFrame, k: float,
     )
 
 
-def year_positives(labels: DataFrame, label_year_col: str = "eval_year", label_col: str = "formal") -> DataFrame:
+def year_positives(labels: DataFrame, label_keys: Sequence[str] = ("eval_year",), label_col: str = "formal") -> DataFrame:
     """Positives of each year over all its labels, scored or not."""
-    return labels.groupBy(label_year_col).agg(F.coalesce(F.sum(label_col), F.lit(0)).cast("long")
-                                              .alias("all_positives"))
+    return labels.groupBy(*label_keys).agg(F.coalesce(F.sum(label_col), F.lit(0)).cast("long")
+                                           .alias("all_positives"))
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -152,17 +163,25 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """As ``materialize``, but as Parquet in the shared folder: for frames
+    that are read several times, a few columns at a time."""
+    from hazrank.sources.files import shared_path
+    path = shared_path(df.sparkSession, "stored")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def precision_at_k(scores: DataFrame, labels: DataFrame, k: float,
                    group_cols: Sequence[str] = ("model_id", "eval_year"),
-                   materialize_scores: bool = False) -> DataFrame:
-    """E2-E4 for every group.  Scores and labels are read twice (sizes or
-    totals, and ranking); with ``materialize_scores`` both are checkpointed
-    first so their plans run once."""
-    if materialize_scores:
-        scores, labels = materialize(scores), materialize(labels)
-    ranked = rank_scores(scores, labels, group_cols)
-    return metrics_at_k(ranked, group_sizes(scores, group_cols), k, group_cols,
-                        positives=year_positives(labels))
+                   label_keys: Sequence[str] = ("eval_year",), materialize_labels: bool = False) -> DataFrame:
+    """E2-E4 for every group.  Scores are read once and stored with their
+    labels; labels are read twice (join, and positives of the year), so with
+    ``materialize_labels`` they are stored first."""
+    if materialize_labels:
+        labels = stored(labels)
+    scored = stored(scored_with_labels(scores, labels, label_keys))
+    return metrics_at_k(scored, k, group_cols, positives=year_positives(labels, label_keys))
 
 
 # --- E5 ---------------------------------------------------------------------
@@ -222,12 +241,24 @@ def threshold_classify(scores: DataFrame, threshold: float = 0.5, score_col: str
 
 
 def confusion_matrix(classified: DataFrame, group_cols: Sequence[str] = ("model_id", "eval_year"),
-                     label_col: str = "formal", pred_col: str = "predicted") -> DataFrame:
-    """Counts of (true, predicted) on labelled rows, one row per true label."""
+                     label_col: str = "formal", pred_col: str = "predicted",
+                     labels: Sequence[int] | None = None) -> DataFrame:
+    """Counts of (true, predicted) on labelled rows, one row per true label.
+
+    ``labels`` indexes the matrix: rows ``actual`` and columns ``predicted_*``
+    in its order, zeros for a label that does not occur, other labels left
+    out; ``place`` numbers the rows."""
+    g = list(group_cols)
     lab = classified.where(F.col(label_col).isNotNull())
-    return lab.groupBy(*group_cols, F.col(label_col).alias("actual")).agg(
-        F.count(F.when(F.col(pred_col) == 0, 1)).alias("predicted_0"),
-        F.count(F.when(F.col(pred_col) == 1, 1)).alias("predicted_1"))
+    cells = lambda values: [F.count(F.when(F.col(pred_col) == v, 1)).alias(f"predicted_{v}") for v in values]
+    if labels is None:
+        return lab.groupBy(*g, F.col(label_col).alias("actual")).agg(*cells((0, 1)))
+    kind = classified.schema[label_col].dataType.simpleString()
+    index = F.explode(F.array(*[F.struct(F.lit(n).alias("place"), F.lit(v).cast(kind).alias("actual")) for n, v in enumerate(labels)]))
+    rows = lab.select(*g).distinct().select(*g, index.alias("_r")).select(*g, "_r.place", "_r.actual")
+    counts = lab.groupBy(*g, F.col(label_col).alias("actual")).agg(*cells(labels))
+    return rows.join(counts, [*g, "actual"], "left").na.fill(0, [f"predicted_{v}" for v in labels]).select(
+        *g, "place", "actual", *[f"predicted_{v}" for v in labels])
 
 
 # --- E8 ratio ladder ----------------------------------------------------------

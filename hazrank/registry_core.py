@@ -114,6 +114,6 @@ def q_rank_scores(spark, sf_dir):
 def q_precision_support_recall_at_k(spark, sf_dir):
     c = ctx(spark, sf_dir)
     scores, labels = history_baseline_scores(c)
-    return rounded(R.precision_at_k(scores, labels, K_DEFAULT, materialize_scores=True)
+    return rounded(R.precision_at_k(scores, labels, K_DEFAULT, materialize_labels=True)
                    .select("model_id", "eval_year", "ranked", "i", "labelled_at_k", "positives_at_k",
                            "all_positives", "precision", "support", "recall"))

@@ -41,32 +41,46 @@ def baseline_grid(c, spine: DataFrame | None = None) -> DataFrame:
     return G.grid_expand(win, {"feature": GRID_FEATURES}, "baseline", "window")
 
 
-def grid_scores(c, history: bool) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(grid, scores(model_id, eval_year, handler_id, score), labels)."""
+def grid_scores(c, history: bool | None = None, only: tuple[str, str] | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(grid, scores(with_history, model_id, eval_year, handler_id, score),
+    labels(with_history, eval_year, handler_id, formal)) of one history
+    flavour or, by default, of both in one plan; ``only`` a (feature, window)
+    scores that model alone."""
     sp = c.val_spine
-    coh = C.cohort_val_with_history(c.lt, sp) if history else C.cohort_val_without_history(c.lt, sp)
-    wide = FT.window_features_single_pass(c.lt, coh, sp)
-    cols = [f"{f}_{w}" for f in GRID_FEATURES for w in GRID_WINDOWS]
-    long = wide.select("handler_id", F.col("label_year").alias("eval_year"), F.explode(F.array(
+    coh = C.validation_cohorts(c.lt, sp)
+    if history is not None:
+        coh = C.cohort_val_with_history(c.lt, sp) if history else C.cohort_val_without_history(c.lt, sp)
+        coh = coh.withColumn("history", F.lit(history))
+    features, windows = ([only[0]], (only[1],)) if only else (GRID_FEATURES, GRID_WINDOWS)
+    wide = FT.window_features_single_pass(c.lt, coh, sp, windows)
+    cols = [f"{f}_{w}" for f in features for w in windows]
+    long = wide.select(F.col("history").alias("with_history"), "handler_id", F.col("label_year").alias("eval_year"), F.explode(F.array(
         *[F.struct(F.lit(x).alias("feature_col"), F.col(x).cast("double").alias("value")) for x in cols])).alias("_f"))
     grid = baseline_grid(c)
     gk = grid.select("model_name", F.concat("feature", F.lit("_"), "window").alias("feature_col"))
     scores = long.join(F.broadcast(gk), F.col("_f.feature_col") == gk.feature_col).select(
-        F.col("model_name").alias("model_id"), "eval_year", "handler_id",
+        "with_history", F.col("model_name").alias("model_id"), "eval_year", "handler_id",
         F.coalesce(F.col("_f.value"), F.lit(0.0)).alias("score"))
-    labels = L.label_formal(c.lt, coh, sp).select(F.col("label_year").alias("eval_year"), "handler_id", "formal")
+    labels = L.label_formal(c.lt, coh, sp).select(F.col("history").alias("with_history"),
+                                                  F.col("label_year").alias("eval_year"), "handler_id", "formal")
     return grid, scores, labels
 
 
-def grid_results_long(c, history: bool) -> DataFrame:
+#: A ranking, and a labelled year, of one history flavour.
+GROUP = ["with_history", "model_id", "eval_year"]
+LABEL_KEYS = ["with_history", "eval_year"]
+
+
+def grid_results_long(c, history: bool | None = None) -> DataFrame:
+    """Metrics of every baseline model and year, of one history flavour or of
+    both (``with_history``)."""
     key = ("_grid_results", history)
     if key in c.__dict__:
         return c.__dict__[key]
     grid, scores, labels = grid_scores(c, history)
-    m = R.precision_at_k(scores, labels, K_DEFAULT, materialize_scores=True)
+    m = R.precision_at_k(scores, labels, K_DEFAULT, GROUP, LABEL_KEYS, materialize_labels=True)
     out = (m.withColumnRenamed("model_id", "model_name")
-              .join(grid.select("model_type", "model_name", "model_index", "model_param"), "model_name")
-              .withColumn("with_history", F.lit(history)))
+              .join(grid.select("model_type", "model_name", "model_index", "model_param"), "model_name"))
     # grid results are one row per model and year: keep them for the
     # selection chain of the same query
     c.__dict__[key] = R.materialize(out)
@@ -106,10 +120,8 @@ def q_curve(spark, sf_dir):
 
 
 def _share_model(c):
-    grid, scores, labels = grid_scores(c, True)
-    name = grid.where((F.col("feature") == "violation_per_inspection") & (F.col("window") == "total")) \
-        .select("model_name")
-    return scores.join(F.broadcast(name.withColumnRenamed("model_name", "model_id")), "model_id", "left_semi"), labels
+    _, scores, labels = grid_scores(c, True, ("violation_per_inspection", "total"))
+    return scores.drop("with_history"), labels.drop("with_history")
 
 
 @register("threshold_classify")
@@ -121,10 +133,11 @@ def q_threshold(spark, sf_dir):
 
 @register("confusion_matrix")
 def q_confusion(spark, sf_dir):
+    """With label order (1, 0): the enforced row and column come first."""
     c = ctx(spark, sf_dir)
     s, labels = _share_model(c)
     j = R.threshold_classify(s, 0.5).join(labels, ["eval_year", "handler_id"], "inner")
-    return R.confusion_matrix(j)
+    return R.confusion_matrix(j, labels=(1, 0))
 
 
 @register("income_category")
@@ -132,49 +145,58 @@ def q_income_category(spark, sf_dir):
     return ctx(spark, sf_dir).lt_all.bias_data
 
 
+def flavour_baseline_scores(c) -> tuple[DataFrame, DataFrame]:
+    """(scores, labels) of both history groups, each by its own baseline:
+    inspections in the window, or years with a report for entities that were
+    never inspected in it."""
+    sp = c.val_spine
+    coh = C.validation_cohorts(c.lt, sp)
+    ins = FT.window_sums(_counted(c.lt.inspections_core.select("handler_id", F.year("evaluation_start_date").alias("year"))), sp, ("total",), ["n"])
+    rep = FT.window_sums(c.lt.report_keys.select("handler_id", F.col("report_year").alias("year"), F.lit(1).alias("nr")), sp, ("total",), ["nr"])
+    keys = ["handler_id", "label_year"]
+    n = F.when(F.col("history"), F.col("n__total")).otherwise(F.col("nr__total"))
+    scores = coh.join(ins, keys, "left").join(rep, keys, "left").select(
+        F.col("history").alias("with_history"), F.when(F.col("history"), "bl_inspections").otherwise("bl_reports").alias("model_id"),
+        F.col("label_year").alias("eval_year"), "handler_id", F.coalesce(n, F.lit(0)).cast("double").alias("score"))
+    labels = L.label_formal(c.lt, coh, sp).select(F.col("history").alias("with_history"),
+                                                  F.col("label_year").alias("eval_year"), "handler_id", "formal")
+    return scores, labels
+
+
+def _counted(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("handler_id", "year").agg(F.count(F.lit(1)).alias("n"))
+
+
 @register("disparity_at_k")
 def q_disparity(spark, sf_dir):
     c = ctx(spark, sf_dir)
-    scores, labels = history_baseline_scores(c)
-    return rounded(FA.disparity_at_k(scores, labels, c.lt_all.bias_data, K_DEFAULT, "income_category", 1))
+    scores, labels = flavour_baseline_scores(c)
+    return rounded(FA.disparity_at_k(scores, labels, c.lt_all.bias_data, K_DEFAULT, "income_category", 1, GROUP, LABEL_KEYS))
 
 
 @register("bias_audit")
 def q_bias_audit(spark, sf_dir):
+    """All grid models x income groups, of both history flavours."""
     c = ctx(spark, sf_dir)
-    grid, scores, labels = grid_scores(c, True)
-    scores, labels = R.materialize(scores), R.materialize(labels)
-    prec = R.precision_at_k(scores, labels, K_DEFAULT).select("model_id", "eval_year",
-                                                              F.col("precision").alias("precision_k"))
-    disp = FA.disparity_at_k(scores, labels, c.lt_all.bias_data, K_DEFAULT, "income_category", 1)
-    out = disp.join(prec, ["model_id", "eval_year"], "inner").join(
-        grid.select(F.col("model_name").alias("model_id"), "model_type"), "model_id")
-    return rounded(out.select(F.col("model_id").alias("model_name"), "model_type", "eval_year", "group_name",
+    grid, scores, labels = grid_scores(c)
+    out = FA.audit_at_k(scores, labels, c.lt_all.bias_data, K_DEFAULT, "income_category", 1, GROUP, LABEL_KEYS)
+    out = out.join(grid.select(F.col("model_name").alias("model_id"), "model_type"), "model_id")
+    return rounded(out.select("with_history", F.col("model_id").alias("model_name"), "model_type", "eval_year", "group_name",
                               "precision_k", "recall_disparity", "fdr_ratio", "num_labeled_k", "num_labeled_ref_k"))
 
 
 @register("proportional_top_n")
 def q_proportional(spark, sf_dir):
     c = ctx(spark, sf_dir)
-    scores, _ = history_baseline_scores(c)
-    return FA.proportional_top_n(scores, c.lt_all.bias_data, FINAL_LIST_SIZE, "income_category")
+    scores, _ = flavour_baseline_scores(c)
+    return FA.proportional_top_n(R.stored(scores), c.lt_all.bias_data, FINAL_LIST_SIZE, "income_category", GROUP)
 
 
 @register("final_list_by_history")
 def q_final_list(spark, sf_dir):
     """The yearly list over both history groups, each ranked by its own
-    baseline: inspections in the window, or years with a report for
-    entities that were never inspected in it."""
-    c = ctx(spark, sf_dir)
-    sp = c.val_spine
-    seen, _ = history_baseline_scores(c)
-    pre = c.lt.report_keys.select("handler_id", F.col("report_year").alias("year"), F.lit(1).alias("nr"))
-    unseen = C.cohort_val_without_history(c.lt, sp).join(
-        FT.window_sums(pre, sp, ("total",), ["nr"]), ["handler_id", "label_year"], "left").select(
-        F.lit("bl_reports").alias("model_id"), F.col("label_year").alias("eval_year"), "handler_id",
-        F.coalesce(F.col("nr__total"), F.lit(0)).cast("double").alias("score"))
-    both = R.materialize(seen.withColumn("with_history", F.lit(True))
-                         .unionByName(unseen.withColumn("with_history", F.lit(False))))
+    baseline."""
+    both = R.stored(flavour_baseline_scores(ctx(spark, sf_dir))[0])
     return FA.proportional_top_n(both.select("eval_year", "handler_id", "score"),
                                  both.select("handler_id", "eval_year", "with_history"), FINAL_LIST_SIZE,
                                  "with_history", ["eval_year"], group_keys=["eval_year"])
@@ -196,8 +218,8 @@ def q_baseline_violations(spark, sf_dir):
 
 
 # --- grid results and selection ------------------------------------------------
-def records(c, history: bool) -> DataFrame:
-    return S.grid_result_record(grid_results_long(c, history)).withColumn("with_history", F.lit(history))
+def records(c, history: bool | None = None) -> DataFrame:
+    return S.grid_result_record(grid_results_long(c, history), ("model_type", "model_name", "model_param", "with_history"))
 
 
 @register("grid_result_sink")
@@ -219,7 +241,8 @@ def q_best_so_far(spark, sf_dir):
 
 
 def union_results(c) -> DataFrame:
-    return records(c, True).unionByName(records(c, False))
+    """The records of both history flavours, from one evaluation."""
+    return records(c)
 
 
 def parsed(c) -> DataFrame:
@@ -248,13 +271,13 @@ def q_avg(spark, sf_dir):
 
 
 def _filtered(c):
-    return S.filter_by_support(parsed(c), SUPPORT_CUTOFF)
+    return S.filter_by_support(parsed(c), SUPPORT_CUTOFF, ["with_history"])
 
 
 @register("filter_by_support")
 def q_filter(spark, sf_dir):
     c = ctx(spark, sf_dir)
-    return rounded(_filtered(c).select("model_name", "with_history", "avg_support"))
+    return rounded(_filtered(c).select("model_name", "with_history", "avg_support", "n_dropped"))
 
 
 @register("rank_models_avg")
@@ -283,7 +306,11 @@ def q_take_top(spark, sf_dir):
 
 @register("grid_from_selection")
 def q_grid_from_selection(spark, sf_dir):
-    return S.grid_from_selection(_selected(ctx(spark, sf_dir)))
+    """The value lists of the importable grid, with each parameter's type."""
+    lists = S.grid_from_selection(_selected(ctx(spark, sf_dir)))
+    typed = lists.select("*", F.transform("values", lambda v: F.struct(*S.typed_values(F.col("param"), v))).alias("_t"))
+    return typed.select("model_type", "with_history", "param", "values", F.get("_t", F.lit(0))["type"].alias("type"),
+                        F.forall("_t", lambda x: x["type_ok"]).alias("type_ok"))
 
 
 @register("grid_zip")
