@@ -59,6 +59,12 @@ class Timeline:
     lookback: int = 4
     windows: tuple[str, ...] = field(default=("total", "five_year", "three_year", "most_recent"))
 
+    def __post_init__(self):
+        for name in ("train_label_range", "val_label_range"):
+            first, last = getattr(self, name)
+            if first > last:
+                raise ValueError(f"{name}: {first} is after {last}")
+
     def label_years(self) -> list[int]:
         lo = min(self.train_label_range[0], self.val_label_range[0])
         hi = max(self.train_label_range[1], self.val_label_range[1])

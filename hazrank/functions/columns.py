@@ -32,32 +32,36 @@ def flag_yn(c: Column) -> Column:
 
 
 # --- F5 ---------------------------------------------------------------------
-def to_pounds(unit: Column, qty: Column, density: Column, density_unit: Column) -> Column:
-    """Generated quantity in pounds.
+def pounds_exact(unit: Column, qty: Column, density: Column, density_unit: Column) -> Column:
+    """Generated quantity in pounds as an exact DECIMAL.
 
     unit 1 lb, 2 short tons, 3 kg, 4 metric tons; 5 gallons, 6 litres,
     7 cubic yards need a density: density unit '2' = specific gravity
     (times the weight of a gallon of water), '1' = lb per gallon.
     A specific gravity of exactly 1 is the unknown-density marker and
     gives NULL; other density units give NULL.
+
+    Quantities and densities are reported in at most four decimals and enter
+    as such; products are not rounded, so their sums depend on no order.
     """
-    gallons = (F.when(unit == "5", qty)
-                .when(unit == "6", qty * F.lit(GALLONS_PER_LITRE))
-                .when(unit == "7", qty * F.lit(GALLONS_PER_CUBIC_YARD)))
-    volume = (F.when((density == 1) & (density_unit == "2"), F.lit(None).cast("double"))
-               .when(density_unit == "2", gallons * density * F.lit(LB_PER_GALLON_WATER))
-               .when(density_unit == "1", gallons * density))
-    return (F.when(unit == "1", qty)
-             .when(unit == "2", qty * F.lit(LB_PER_SHORT_TON))
-             .when(unit == "3", qty * F.lit(LB_PER_KG))
-             .when(unit == "4", qty * F.lit(LB_PER_KG) * F.lit(1000.0))
-             .when(unit.isin("5", "6", "7"), volume))
-
-
-def floor_decimals(x: Column, digits: int = 2) -> Column:
-    """Truncate a non-negative number to ``digits`` decimals."""
-    scale = 10 ** digits
-    return F.floor(x * F.lit(scale)) / F.lit(float(scale))
+    number = lambda v, kind: F.lit(str(v)).cast(kind)
+    qty, density_ = qty.cast("decimal(14,4)"), density.cast("decimal(6,4)")
+    per_unit = (F.when(unit.isin("1", "5"), number(1, "decimal(10,6)"))
+                 .when(unit == "2", number(LB_PER_SHORT_TON, "decimal(10,6)"))
+                 .when(unit.isin("3", "4"), number(LB_PER_KG, "decimal(10,6)"))
+                 .when(unit == "6", number(GALLONS_PER_LITRE, "decimal(10,6)"))
+                 .when(unit == "7", number(GALLONS_PER_CUBIC_YARD, "decimal(10,6)")))
+    volume = unit.isin("5", "6", "7")
+    known = (density_unit == "1") | ((density_unit == "2") & (density != 1))
+    weight = (F.when(volume & known, F.when(density_unit == "2", number(LB_PER_GALLON_WATER, "decimal(7,3)"))
+                     .otherwise(number(1, "decimal(7,3)")))
+               .when(~volume, F.when(unit == "4", number(1000, "decimal(7,3)")).otherwise(number(1, "decimal(7,3)"))))
+    return qty * per_unit * F.when(volume, density_).otherwise(number(1, "decimal(6,4)")) * weight
+
+
+def to_pounds(unit: Column, qty: Column, density: Column, density_unit: Column) -> Column:
+    """``pounds_exact`` as a DOUBLE."""
+    return pounds_exact(unit, qty, density, density_unit).cast("double")
 
 
 # Two-stage half-up rounding.  Engines sum doubles in different orders,

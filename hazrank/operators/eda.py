@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hazrank.config import NEVER_INSPECTED_DAYS
-from hazrank.functions.columns import floor_decimals
 from hazrank.operators.ranking import _num_partitions, ordered_index
+from hazrank.plans.timeline import label_years_from
 from hazrank.session import checkpoint_dir
 
 ENTITY = "handler_id"
@@ -81,13 +81,16 @@ def commonsense_rank(lt, spine: DataFrame) -> DataFrame:
     """Per label year: days since the last inspection before Jan 1 of the
     label year (never inspected -> 2147483647) and days since the owner
     became current (owners reported in the cohort year); ranked by both,
-    descending, missing owner dates first."""
+    descending, missing owner dates first.  An inspection counts for every
+    label year after it: the few label years are exploded, then grouped.
+
+    ``lt``: tables up to the last cohort year."""
     sr = lt.report_keys
     sp = F.broadcast(spine.select("label_year", "cohort_year"))
     act = sr.join(sp, sr.report_year == sp.cohort_year).select(ENTITY, "label_year").distinct()
     last = (lt.inspections_core.groupBy(ENTITY, F.year("evaluation_start_date").alias("year"))
               .agg(F.max("evaluation_start_date").alias("_d")))
-    last = (last.join(sp, F.col("year") <= F.col("cohort_year"))
+    last = (last.select(ENTITY, "_d", F.explode(label_years_from(spine, "year")).alias("label_year"))
                 .groupBy(ENTITY, "label_year").agg(F.max("_d").alias("_last")))
     own = lt.owner.select(ENTITY, "report_year", "date_became_current")
     own = (own.join(sp, own.report_year == sp.cohort_year)

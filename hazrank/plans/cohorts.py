@@ -74,25 +74,53 @@ def cohort_val_without_history(lt, spine: DataFrame) -> DataFrame:
 
 
 # --- C6 ---------------------------------------------------------------------
+def inspected_years(lt) -> DataFrame:
+    """(handler_id, year, ny): years with an inspection, and whether one of
+    them was in NY."""
+    return lt.inspections.groupBy(ENTITY, F.year("evaluation_start_date").alias("year")).agg(
+        F.coalesce(F.max(F.col("state") == "NY"), F.lit(False)).alias("ny"))
+
+
+def membership(report_keys: DataFrame, inspected: DataFrame, spine: DataFrame) -> DataFrame:
+    """(handler_id, label_year, active, seen, seen_ny, inspected_ny): one
+    aggregate over the sources, each reduced to entity and year
+    (``inspected_years``).
+
+    active: a report in the cohort year; seen, seen_ny: an inspection (in NY)
+    in the feature window; inspected_ny: one in NY in the label year."""
+    no = F.lit(False)
+    reports = report_keys.select(ENTITY, F.col("report_year").alias("year"), F.lit(True).alias("r"), no.alias("i"), no.alias("ny"))
+    ins = inspected.select(ENTITY, "year", no.alias("r"), F.lit(True).alias("i"), "ny")
+    # the years that matter to a label year, and as what
+    years = spine.select("label_year", "cohort_year", "feature_start", "feature_end",
+                         F.explode(F.sequence("feature_start", "label_year")).alias("year"))
+    years = years.select("label_year", F.col("year").cast("int").alias("year"), (F.col("year") == F.col("cohort_year")).alias("in_cohort"),
+                         F.col("year").between(F.col("feature_start"), F.col("feature_end")).alias("in_window"),
+                         (F.col("year") == F.col("label_year")).alias("in_label"))
+    j = reports.unionByName(ins).join(F.broadcast(years), "year")
+    return j.groupBy(ENTITY, "label_year").agg(
+        F.max(F.col("r") & F.col("in_cohort")).alias("active"), F.max(F.col("i") & F.col("in_window")).alias("seen"),
+        F.max(F.col("ny") & F.col("in_window")).alias("seen_ny"), F.max(F.col("ny") & F.col("in_label")).alias("inspected_ny"))
+
+
 def cohort_route(lt, spine: DataFrame) -> DataFrame:
+    return route_of(lt.report_keys, inspected_years(lt), spine)
+
+
+def route_of(report_keys: DataFrame, inspected: DataFrame, spine: DataFrame) -> DataFrame:
     """All flavours in one frame: (handler_id, label_year, split, history).
 
     train/with = C3, train/without = C2 (history features are merely not
     used), val/with = C4, val/without = C5.  Train rows only for training
-    label years, validation rows only for validation label years.
+    label years, validation rows only for validation label years.  All four
+    are read off the flags of one aggregate.
     """
-    tr = spine.where("is_train")
-    va = spine.where("is_val")
-    parts = [
-        cohort_train_with_history(lt, tr).withColumn("split", F.lit("train")).withColumn("history", F.lit(True)),
-        cohort_train(lt, tr).withColumn("split", F.lit("train")).withColumn("history", F.lit(False)),
-        cohort_val_with_history(lt, va).withColumn("split", F.lit("val")).withColumn("history", F.lit(True)),
-        cohort_val_without_history(lt, va).withColumn("split", F.lit("val")).withColumn("history", F.lit(False)),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    m = membership(report_keys, inspected, spine).where("active").join(F.broadcast(spine.select("label_year", "is_train", "is_val")), "label_year")
+    flavour = lambda split, history, cond: F.when(F.expr(cond), F.struct(F.lit(split).alias("split"), F.lit(history).alias("history")))
+    parts = F.array(flavour("train", True, "is_train AND inspected_ny AND seen_ny"), flavour("train", False, "is_train AND inspected_ny"),
+                    flavour("val", True, "is_val AND seen"), flavour("val", False, "is_val AND NOT seen"))
+    return m.select(ENTITY, "label_year", F.explode(F.filter(parts, lambda x: x.isNotNull())).alias("_f")).select(
+        ENTITY, "label_year", "_f.split", "_f.history")
 
 
 def validation_cohorts(lt, spine: DataFrame) -> DataFrame:

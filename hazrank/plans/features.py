@@ -26,9 +26,9 @@ from hazrank.config import (
     TOXIC_CODE_LOW_EXCLUSIVE, WASTE_MIN_CONTINUED, WASTE_MIN_INITIATED, WASTE_MIN_NONE,
 )
 from hazrank.functions.columns import (
-    conditional_count, count_if_sql, flag_yn, round_half_up, sql_in, to_pounds,
+    conditional_count, count_if_sql, flag_yn, pounds_exact, sql_in,
 )
-from hazrank.plans.timeline import window_year_spine
+from hazrank.plans.timeline import label_years_from, window_year_spine
 
 ENTITY = "handler_id"
 ALL_WINDOWS = ("total", "three_year", "most_recent")
@@ -111,10 +111,13 @@ def _f2_sql(w: str) -> list[str]:
     return cols
 
 
+def inspection_partials(lt) -> DataFrame:
+    """(handler_id, year, measures): all additive counts of the inspections."""
+    return _inspection_year(lt).groupBy(ENTITY, "year").agg(*_violation_partials()[1])
+
+
 def violation_history_family(lt, spine: DataFrame, windows=ALL_WINDOWS) -> DataFrame:
-    names, partials = _violation_partials()
-    pre = _inspection_year(lt).groupBy(ENTITY, "year").agg(*partials)
-    s = window_sums(pre, spine, windows, names)
+    s = window_sums(inspection_partials(lt), spine, windows, _violation_partials()[0])
     return s.selectExpr(ENTITY, "label_year", *[c for w in windows for c in _f2_sql(w)])
 
 
@@ -123,27 +126,30 @@ def feat_violation_history(lt, cohort: DataFrame, spine: DataFrame, windows=ALL_
 
 
 # --- F3 -----------------------------------------------------------------------
-def feat_facility_info(lt, cohort: DataFrame, spine: DataFrame) -> DataFrame:
+def facility_info_family(reports: DataFrame, spine: DataFrame) -> DataFrame:
     """Activity flags of the report in the most recent year (window end).
 
     No aggregation: duplicate report rows would fan out, exactly like the
     per-row join they model; ``assert_one_row_per_entity`` detects it.
     """
-    sr = lt.site_report
-    sp = F.broadcast(spine.select("label_year", "feature_end"))
-    j = sr.join(sp, sr.report_year == sp.feature_end)
-    fam = j.select(ENTITY, "label_year",
-                   *[flag_yn(F.col(f)).alias(f"{f}_most_recent") for f in FACILITY_FLAGS])
-    return _onto_cohort(cohort, fam)
+    sp = F.broadcast(spine.select("label_year", F.col("feature_end").alias("report_year")))
+    return reports.join(sp, "report_year").select(
+        ENTITY, "label_year", *[flag_yn(F.col(f)).alias(f"{f}_most_recent") for f in FACILITY_FLAGS])
+
+
+def feat_facility_info(lt, cohort: DataFrame, spine: DataFrame) -> DataFrame:
+    return _onto_cohort(cohort, facility_info_family(lt.site_report, spine))
 
 
 # --- F4 -----------------------------------------------------------------------
-def waste_info_family(lt, spine: DataFrame, windows=("most_recent", "three_year")) -> DataFrame:
+WASTE_MEASURES = ["n", "n_none", "n_init", "n_cont", "n_rest", "n_on", "n_off", "pounds"]
+
+
+def waste_partials(lt) -> DataFrame:
+    """(handler_id, year, measures) of the waste pages; pounds as exact
+    decimals, so their sums depend on no order."""
     w = lt.waste.withColumnRenamed("report_year", "year")
-    code = F.col("waste_min_code")
-    pounds = to_pounds(F.col("unit_of_measure"), F.col("gen_qty"), F.col("wst_density"),
-                       F.col("density_unit_of_measure"))
-    pre = w.groupBy(ENTITY, "year").agg(
+    return w.groupBy(ENTITY, "year").agg(
         *_agg(["count(1) AS n",
                f"{count_if_sql(sql_in('waste_min_code', WASTE_MIN_NONE))} AS n_none",
                f"{count_if_sql(sql_in('waste_min_code', WASTE_MIN_INITIATED))} AS n_init",
@@ -151,10 +157,13 @@ def waste_info_family(lt, spine: DataFrame, windows=("most_recent", "three_year"
                f"{count_if_sql('NOT ' + sql_in('waste_min_code', WASTE_MIN_NONE + WASTE_MIN_INITIATED + WASTE_MIN_CONTINUED))} AS n_rest",
                count_if_sql("on_site_management = 'Y'") + " AS n_on",
                count_if_sql("on_site_management = 'N'") + " AS n_off"]),
-        # pounds per page at micro-pound resolution, so window sums do not
-        # depend on summation order
-        F.sum(round_half_up(pounds, 6)).alias("pounds"))
-    s = window_sums(pre, spine, windows, ["n", "n_none", "n_init", "n_cont", "n_rest", "n_on", "n_off", "pounds"])
+        F.sum(pounds_exact(F.col("unit_of_measure"), F.col("gen_qty"), F.col("wst_density"),
+                           F.col("density_unit_of_measure"))).alias("pounds"))
+
+
+def waste_info_family(lt, spine: DataFrame, windows=("most_recent", "three_year"), pre: DataFrame | None = None) -> DataFrame:
+    pre = waste_partials(lt) if pre is None else pre
+    s = window_sums(pre, spine, windows, WASTE_MEASURES)
     cols = []
     for x in windows:
         cols += [f"{_ratio('n_none', 'n', x)} AS percent_no_waste_min_{x}",
@@ -164,7 +173,7 @@ def waste_info_family(lt, spine: DataFrame, windows=("most_recent", "three_year"
                  f"n__{x} AS total_num_waste_{x}",
                  f"{_ratio('n_on', 'n', x)} AS percent_on_site_management_{x}",
                  f"{_ratio('n_off', 'n', x)} AS percent_off_site_management_{x}",
-                 f"pounds__{x} AS total_gen_qty_pound_{x}"]
+                 f"CAST(pounds__{x} AS DOUBLE) AS total_gen_qty_pound_{x}"]
     return s.selectExpr(ENTITY, "label_year", *cols)
 
 
@@ -173,31 +182,45 @@ def feat_waste_info(lt, cohort: DataFrame, spine: DataFrame, windows=("most_rece
 
 
 # --- F6 -----------------------------------------------------------------------
+def owner_links(lt) -> DataFrame:
+    """(handler_id, year, owner_operator_name) of owner companies ('CO'),
+    each once."""
+    co = lt.owner.where(F.col("owner_operator_indicator") == "CO")
+    return co.select(ENTITY, F.col("report_year").alias("year"), "owner_operator_name").distinct()
+
+
+def company_sizes(links: DataFrame, spine: DataFrame, windows) -> DataFrame:
+    """(owner_operator_name, label_year, nh__<window>): distinct entities of a
+    company per window.
+
+    Counted on two levels, so a company that holds a third of all rows is
+    spread: first one row per (company, label year, entity) with the windows
+    as flags, dealt out by all three; then plain counts, which every task adds
+    up for itself before anything moves."""
+    wys = F.broadcast(window_year_spine(spine, windows))
+    flags = [F.max(f"in_{w}").alias(f"in_{w}") for w in windows]
+    keys = ["owner_operator_name", "label_year"]
+    entity = links.where(F.col("owner_operator_name").isNotNull()).join(wys, "year").groupBy(*keys, ENTITY).agg(*flags)
+    return entity.groupBy(*keys).agg(*[F.count(F.when(F.col(f"in_{w}"), 1)).alias(f"nh__{w}") for w in windows])
+
+
 def parent_company_size_family(lt, spine: DataFrame, windows=("most_recent", "three_year"),
-                               as_of: bool = False) -> DataFrame:
+                               as_of: bool = False, links: DataFrame | None = None) -> DataFrame:
     """Largest number of distinct active entities among an entity's owner
     companies ('CO'), counted within each window.
 
     Literal mode links an entity to every owner it ever had (all years);
     ``as_of=True`` only to owners reported up to the window end.
     """
-    co = lt.owner.where(F.col("owner_operator_indicator") == "CO")
-    oy = co.select("owner_operator_name", ENTITY, F.col("report_year").alias("year")).distinct()
-    wys = F.broadcast(window_year_spine(spine, windows))
-    sizes = (oy.join(wys, "year")
-               .groupBy("owner_operator_name", "label_year")
-               .agg(*[F.count_distinct(F.when(F.col(f"in_{w}"), F.col(ENTITY))).alias(f"nh__{w}")
-                      for w in windows]))
+    oy = owner_links(lt) if links is None else links
+    sizes = company_sizes(oy, spine, windows)
     if as_of:
-        links = (oy.join(F.broadcast(spine.select("label_year", "feature_end")),
-                         F.col("year") <= F.col("feature_end"))
-                   .select(ENTITY, "owner_operator_name", "label_year").distinct())
-        j = links.join(sizes, ["owner_operator_name", "label_year"])
+        linked = oy.select(ENTITY, "owner_operator_name", F.explode(label_years_from(spine, "year")).alias("label_year")).distinct()
+        j = linked.join(sizes, ["owner_operator_name", "label_year"])
     else:
-        links = co.select(ENTITY, "owner_operator_name").distinct()
-        j = links.join(sizes, "owner_operator_name")
-    # count_distinct of an all-NULL window is 0, the inner join of a
-    # per-window aggregate has no row there -> NULL.
+        j = oy.select(ENTITY, "owner_operator_name").distinct().join(sizes, "owner_operator_name")
+    # a company without entities in a window counts 0 there, the inner join
+    # of a per-window aggregate has no row -> NULL.
     agg = j.groupBy(ENTITY, "label_year").agg(
         *[F.max(F.when(F.col(f"nh__{w}") > 0, F.col(f"nh__{w}"))).alias(f"num_active_facilities_parent_company_{w}")
           for w in windows])
@@ -210,20 +233,31 @@ def feat_parent_company_size(lt, cohort: DataFrame, spine: DataFrame,
 
 
 # --- F7 -----------------------------------------------------------------------
-def feat_primary_naics(lt, cohort: DataFrame, spine: DataFrame) -> DataFrame:
+def naics_family(naics: DataFrame, spine: DataFrame) -> DataFrame:
+    """First two digits of the primary code (``two_digit``) in the most
+    recent year."""
+    sp = F.broadcast(spine.select("label_year", F.col("feature_end").alias("report_year")))
+    return naics.join(sp, "report_year").select(ENTITY, "label_year", F.col("two_digit").alias("primary_naics_code_two_digit_most_recent"))
+
+
+def primary_naics(lt) -> DataFrame:
     n = lt.naics.where(F.col("naics_seq") == "1")
-    sp = F.broadcast(spine.select("label_year", "feature_end"))
-    fam = n.join(sp, n.report_year == sp.feature_end).select(
-        ENTITY, "label_year", F.substring("naics_code", 1, 2).alias("primary_naics_code_two_digit_most_recent"))
-    return _onto_cohort(cohort, fam)
+    return n.select(ENTITY, "report_year", F.substring("naics_code", 1, 2).alias("two_digit"))
+
+
+def feat_primary_naics(lt, cohort: DataFrame, spine: DataFrame) -> DataFrame:
+    return _onto_cohort(cohort, naics_family(primary_naics(lt), spine))
 
 
 # --- F8 -----------------------------------------------------------------------
-def waste_code_family(lt, spine: DataFrame, windows=("most_recent", "three_year", "total")) -> DataFrame:
-    """Shares of characteristic waste codes over waste pages left-joined to
-    their codes.  The codes are pre-aggregated per page key first, so a
-    page with many codes never multiplies rows: a page contributes
-    max(1, #codes) joined rows and its per-code counts."""
+CODE_MEASURES = ["n", "n_ign", "n_cor", "n_rea", "n_tox"]
+
+
+def waste_code_partials(lt) -> DataFrame:
+    """(handler_id, year, measures) of waste pages left-joined to their
+    codes.  The codes are pre-aggregated per page key first, so a page with
+    many codes never multiplies rows: a page contributes max(1, #codes)
+    joined rows and its per-code counts."""
     keys = [ENTITY, "report_year", "hz_pg"]
     c = F.col("epa_waste_code")
     codes = lt.waste_code.groupBy(*keys).agg(
@@ -234,13 +268,18 @@ def waste_code_family(lt, spine: DataFrame, windows=("most_recent", "three_year"
         conditional_count((c > TOXIC_CODE_LOW_EXCLUSIVE) & (c < TOXIC_CODE_HIGH_EXCLUSIVE)).alias("c_tox"))
     pages = lt.waste.select(*keys)
     j = pages.join(codes, keys, "left")
-    pre = j.groupBy(ENTITY, F.col("report_year").alias("year")).agg(
+    return j.groupBy(ENTITY, F.col("report_year").alias("year")).agg(
         F.sum(F.coalesce(F.col("c_n"), F.lit(1))).alias("n"),
         F.sum(F.coalesce(F.col("c_ign"), F.lit(0))).alias("n_ign"),
         F.sum(F.coalesce(F.col("c_cor"), F.lit(0))).alias("n_cor"),
         F.sum(F.coalesce(F.col("c_rea"), F.lit(0))).alias("n_rea"),
         F.sum(F.coalesce(F.col("c_tox"), F.lit(0))).alias("n_tox"))
-    s = window_sums(pre, spine, windows, ["n", "n_ign", "n_cor", "n_rea", "n_tox"])
+
+
+def waste_code_family(lt, spine: DataFrame, windows=("most_recent", "three_year", "total"),
+                      pre: DataFrame | None = None) -> DataFrame:
+    """Shares of characteristic waste codes over the waste pages."""
+    s = window_sums(waste_code_partials(lt) if pre is None else pre, spine, windows, CODE_MEASURES)
     cols = []
     for w in windows:
         cols += [f"{_ratio('n_ign', 'n', w)} AS percent_ignitable_{w}",
@@ -256,7 +295,7 @@ def feat_waste_code(lt, cohort: DataFrame, spine: DataFrame,
 
 
 # --- F9 / F11 -------------------------------------------------------------------
-def _entity_rates(lt, spine: DataFrame, windows) -> DataFrame:
+def entity_rates(lt, spine: DataFrame, windows) -> DataFrame:
     """(handler_id, label_year, v__w, c__w, f__w): the entity's own
     violation / complaint / formal shares per window."""
     pre = _inspection_year(lt).groupBy(ENTITY, "year").agg(*_agg([
@@ -275,14 +314,15 @@ def first_group(rows: DataFrame, group_col: str, spine: DataFrame, latest: bool
     Ties inside a year are broken by the group value.  The oldest row
     overall qualifies for every window end at or after its year, so one
     aggregation per entity serves all label years (no window function).
+    The label years that a row serves are exploded from their short list, so
+    no range join is needed.
     """
-    sp = F.broadcast(spine.select("label_year", "feature_end"))
     if not latest:
         first = rows.groupBy(ENTITY).agg(
             F.min(F.struct(F.col("report_year"), F.col(group_col).isNull(), F.col(group_col))).alias("_f"))
-        first = first.select(ENTITY, F.col("_f.report_year").alias("_y"), F.col(f"_f.{group_col}").alias(group_col))
-        return first.join(sp, F.col("_y") <= F.col("feature_end")).select(ENTITY, "label_year", group_col)
-    j = rows.join(sp, F.col("report_year") <= F.col("feature_end"))
+        first = first.select(ENTITY, F.col("_f.report_year").alias("report_year"), F.col(f"_f.{group_col}").alias(group_col))
+        return first.select(ENTITY, F.explode(label_years_from(spine, "report_year")).alias("label_year"), group_col)
+    j = rows.select(ENTITY, "report_year", group_col, F.explode(label_years_from(spine, "report_year")).alias("label_year"))
     last = j.groupBy(ENTITY, "label_year").agg(
         F.max(F.struct(F.col("report_year"), F.col(group_col))).alias("_f"))
     return last.select(ENTITY, "label_year", F.col(f"_f.{group_col}").alias(group_col))
@@ -301,32 +341,35 @@ def peer_average(members: DataFrame, rates: DataFrame, group_col: str, windows,
 
 
 def parent_company_peers_family(lt, spine: DataFrame, windows=ALL_WINDOWS, latest: bool = False,
-                                rates: DataFrame | None = None) -> DataFrame:
-    co = lt.owner.where(F.col("owner_operator_indicator") == "CO").select(ENTITY, "report_year",
-                                                                        "owner_operator_name")
-    ho = first_group(co, "owner_operator_name", spine, latest)
-    rates = rates if rates is not None else _entity_rates(lt, spine, windows)
+                                rates: DataFrame | None = None, links: DataFrame | None = None) -> DataFrame:
+    """``lt``: tables up to the last window end.  ``rates`` may come from
+    tables bounded to the windows."""
+    links = owner_links(lt) if links is None else links
+    ho = first_group(links.withColumnRenamed("year", "report_year"), "owner_operator_name", spine, latest)
+    rates = rates if rates is not None else entity_rates(lt, spine, windows)
     return peer_average(ho, rates, "owner_operator_name", windows,
                         {"v": "avg_violation_owner", "c": "avg_complaint_owner",
                          "f": "avg_formal_enforcement_owner"})
 
 
 def feat_parent_company_peers(lt, cohort: DataFrame, spine: DataFrame, windows=ALL_WINDOWS,
-                              latest: bool = False) -> DataFrame:
-    return _onto_cohort(cohort, parent_company_peers_family(lt, spine, windows, latest))
+                              latest: bool = False, rates: DataFrame | None = None) -> DataFrame:
+    return _onto_cohort(cohort, parent_company_peers_family(lt, spine, windows, latest, rates))
 
 
 def zip_peers_family(lt, spine: DataFrame, windows=ALL_WINDOWS, latest: bool = False,
-                     rates: DataFrame | None = None) -> DataFrame:
-    sr = lt.site_report.select(ENTITY, "report_year", "location_zip")
+                     rates: DataFrame | None = None, reports: DataFrame | None = None) -> DataFrame:
+    """As ``parent_company_peers_family``, by zip code of the reports."""
+    sr = (lt.site_report if reports is None else reports).select(ENTITY, "report_year", "location_zip")
     hz = first_group(sr, "location_zip", spine, latest)
-    rates = rates if rates is not None else _entity_rates(lt, spine, windows)
+    rates = rates if rates is not None else entity_rates(lt, spine, windows)
     return peer_average(hz, rates, "location_zip", windows,
                         {"v": "avg_violation_zip", "c": "avg_complaint_zip", "f": "avg_formal_enforcement_zip"})
 
 
-def feat_zip_peers(lt, cohort: DataFrame, spine: DataFrame, windows=ALL_WINDOWS, latest: bool = False) -> DataFrame:
-    return _onto_cohort(cohort, zip_peers_family(lt, spine, windows, latest))
+def feat_zip_peers(lt, cohort: DataFrame, spine: DataFrame, windows=ALL_WINDOWS, latest: bool = False,
+                   rates: DataFrame | None = None) -> DataFrame:
+    return _onto_cohort(cohort, zip_peers_family(lt, spine, windows, latest, rates))
 
 
 # --- F10 ----------------------------------------------------------------------
@@ -340,28 +383,32 @@ def feat_geographic(lt, cohort: DataFrame, spine: DataFrame, as_of: bool = False
     i = lt.inspections.select(ENTITY, F.year("evaluation_start_date").alias("year"), "land_type")
     s = lt.site_report.select(ENTITY, F.col("report_year").alias("year"), "state_district")
     if as_of:
-        sp = F.broadcast(spine.select("label_year", "feature_end"))
-        lt_ = i.join(sp, F.col("year") <= F.col("feature_end")).groupBy(ENTITY, "label_year") \
-               .agg(F.max("land_type").alias("_lt"))
-        st_ = s.join(sp, F.col("year") <= F.col("feature_end")).groupBy(ENTITY, "label_year") \
-               .agg(F.max("state_district").alias("_sd"))
+        years = lambda: F.explode(label_years_from(spine, "year")).alias("label_year")
+        lt_ = i.select("*", years()).groupBy(ENTITY, "label_year").agg(F.max("land_type").alias("_lt"))
+        st_ = s.select("*", years()).groupBy(ENTITY, "label_year").agg(F.max("state_district").alias("_sd"))
         j = cohort.join(lt_, [ENTITY, "label_year"], "left").join(st_, [ENTITY, "label_year"], "left")
     else:
-        lt_ = i.groupBy(ENTITY).agg(F.max("land_type").alias("_lt"))
-        st_ = s.groupBy(ENTITY).agg(F.max("state_district").alias("_sd"))
-        j = cohort.join(lt_, ENTITY, "left").join(st_, ENTITY, "left")
+        return onto_geographic(cohort, i, s)
+    return j.withColumn("land_type_most_recent", F.coalesce(F.col("_lt"), F.lit("O"))) \
+            .withColumn("state_district_most_recent", F.col("_sd")).drop("_lt", "_sd")
+
+
+def onto_geographic(cohort: DataFrame, land_types: DataFrame, districts: DataFrame) -> DataFrame:
+    """``cohort`` with the greatest land type ('O' without any) and district
+    of each entity, of all rows given."""
+    lt_ = land_types.groupBy(ENTITY).agg(F.max("land_type").alias("_lt"))
+    st_ = districts.groupBy(ENTITY).agg(F.max("state_district").alias("_sd"))
+    j = cohort.join(lt_, ENTITY, "left").join(st_, ENTITY, "left")
     return j.withColumn("land_type_most_recent", F.coalesce(F.col("_lt"), F.lit("O"))) \
             .withColumn("state_district_most_recent", F.col("_sd")).drop("_lt", "_sd")
 
 
 # --- shared inspection aggregate --------------------------------------------------------
-def inspection_family(lt, spine: DataFrame, windows=ALL_WINDOWS) -> DataFrame:
+def inspection_family(pre: DataFrame, spine: DataFrame, windows=ALL_WINDOWS) -> DataFrame:
     """All inspection-based partials summed per window, once: F1 counts,
     F2 shares and the entity rates behind the peer averages are derived
-    from this one aggregate (one scan, one shuffle of the partials)."""
-    names, partials = _violation_partials()
-    pre = _inspection_year(lt).groupBy(ENTITY, "year").agg(*partials)
-    return window_sums(pre, spine, windows, names)
+    from this one aggregate of ``inspection_partials``."""
+    return window_sums(pre, spine, windows, _violation_partials()[0])
 
 
 def f1_f2_columns(windows=ALL_WINDOWS) -> list[str]:
@@ -382,9 +429,7 @@ def rates_from(s: DataFrame, windows=ALL_WINDOWS) -> DataFrame:
 def window_features_single_pass(lt, cohort: DataFrame, spine: DataFrame, windows=ALL_WINDOWS) -> DataFrame:
     """Inspection counts and violation shares for every window and label
     year from one scan of the inspections."""
-    names, partials = _violation_partials()
-    pre = _inspection_year(lt).groupBy(ENTITY, "year").agg(*partials)
-    s = window_sums(pre, spine, windows, names)
+    s = window_sums(inspection_partials(lt), spine, windows, _violation_partials()[0])
     cols = []
     for w in windows:
         cols += [f"n__{w} AS inspection_num_{w}",

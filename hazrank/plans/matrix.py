@@ -1,19 +1,25 @@
 """Feature matrix assembly: families joined onto the cohort, labels
 joined by key, uniqueness checks.
 
-Every family is aggregated by (handler_id, label_year), so each is hash
-partitioned on the join keys; the chain of left joins onto the cohort
-re-uses that partitioning instead of re-shuffling the growing matrix.
+Sources are first reduced to yearly partials per entity, stored bucketed by
+entity; cohort, families and the chain of left joins then work on rows that
+already lie together.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
+from dataclasses import dataclass, fields
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hazrank.plans import cohorts as C
 from hazrank.plans import features as FT
+from hazrank.sources.files import shared_path
 
 ENTITY = "handler_id"
 KEYS = [ENTITY, "label_year"]
@@ -29,34 +35,100 @@ def join_windows(frames: Sequence[DataFrame]) -> DataFrame:
 
 
 # --- M2 -----------------------------------------------------------------------
-def family_frames(lt, lt_all, spine: DataFrame) -> list[DataFrame]:
+@dataclass
+class Partials:
+    """What the families need of each source, reduced to (entity, year) rows:
+    additive measures, distinct owner links, yearly report attributes."""
+    inspections: DataFrame
+    waste: DataFrame
+    waste_codes: DataFrame
+    owners: DataFrame
+    reports: DataFrame
+    naics: DataFrame
+
+    @property
+    def report_keys(self) -> DataFrame:
+        return self.reports.select(ENTITY, "report_year")
+
+    def cohort_active(self, spine: DataFrame) -> DataFrame:
+        return C.cohort_active(self, spine)
+
+    def cohort_route(self, spine: DataFrame) -> DataFrame:
+        return C.route_of(self.report_keys, self.inspections.select(ENTITY, "year", "ny"), spine)
+
+
+def partials(lt, lt_upto, lt_all) -> Partials:
+    """The partials as plans.  ``lt`` is bounded to the windows, ``lt_upto``
+    to years before the last label year; land type and district take all
+    years of ``lt_all``, so inspections and reports are reduced over all."""
+    i = lt_all.inspections
+    _, measures = FT._violation_partials()
+    ins = i.groupBy(ENTITY, F.year("evaluation_start_date").alias("year")).agg(
+        *measures, F.max("land_type").alias("land_type"), F.coalesce(F.max(F.col("state") == "NY"), F.lit(False)).alias("ny"))
+    return Partials(ins, FT.waste_partials(lt), FT.waste_code_partials(lt), FT.owner_links(lt_all), lt_all.site_report, FT.primary_naics(lt))
+
+
+def store_partials(p: Partials, buckets: int | None = None) -> Partials:
+    """Each frame written once as Parquet in the shared folder, bucketed and
+    sorted by entity, and opened as a bucketed table: whatever groups or joins
+    by entity afterwards finds its rows in place and moves none.
+
+    A source's events are read by one job and only its yearly sums are
+    stored.  The jobs are independent, so a few run side by side.  Table names
+    are new for each call; the tables are external, and ``drop_partials``
+    forgets those of the session."""
+    spark = p.inspections.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def store(df: DataFrame) -> DataFrame:
+        name = f"{TABLE_PREFIX}{uuid.uuid4().hex}"
+        (df.repartition(n, ENTITY).write.bucketBy(n, ENTITY).sortBy(ENTITY).format("parquet")
+           .option("path", shared_path(spark, "partials")).saveAsTable(name))
+        return spark.table(name)
+
+    with ThreadPool(len(fields(p))) as pool:
+        return Partials(*pool.map(inheritable_thread_target(spark)(store), [getattr(p, f.name) for f in fields(p)]))
+
+
+TABLE_PREFIX = "hazrank_partials_"
+
+
+def drop_partials(spark) -> None:
+    """Forget the tables of ``store_partials``; frames on them cannot run
+    afterwards.  Their files go with the shared folder."""
+    for t in spark.catalog.listTables(pattern=f"{TABLE_PREFIX}*"):
+        spark.sql(f"DROP TABLE IF EXISTS {t.name}")
+
+
+def family_frames(p: Partials, spine: DataFrame) -> list[DataFrame]:
     """All families as (handler_id, label_year, features...) frames.
 
     One aggregate of the inspection partials feeds the counts, the shares
-    and the entity rates of both peer averages: the same plan object, so
-    its shuffle is computed once and reused (the year bound of ``lt``
-    covers every window, so the rates equal the unbounded ones)."""
-    ins = FT.inspection_family(lt, spine)
+    and the entity rates of both peer averages."""
+    ins = FT.inspection_family(p.inspections, spine)
     rates = FT.rates_from(ins)
     return [
-        ins.selectExpr(FT.ENTITY, "label_year", *FT.f1_f2_columns()),
-        FT.waste_info_family(lt, spine),
-        FT.parent_company_size_family(lt_all, spine),
-        FT.waste_code_family(lt, spine),
-        FT.parent_company_peers_family(lt_all, spine, rates=rates),
-        FT.zip_peers_family(lt_all, spine, rates=rates),
+        ins.selectExpr(ENTITY, "label_year", *FT.f1_f2_columns()),
+        FT.waste_info_family(None, spine, pre=p.waste),
+        FT.parent_company_size_family(None, spine, links=p.owners),
+        FT.waste_code_family(None, spine, pre=p.waste_codes),
+        FT.parent_company_peers_family(None, spine, rates=rates, links=p.owners),
+        FT.zip_peers_family(None, spine, rates=rates, reports=p.reports),
     ]
 
 
-def build_matrix(lt, lt_all, cohort: DataFrame, spine: DataFrame) -> DataFrame:
-    """Cohort left-joined with every family (one row per cohort row)."""
+def build_matrix(p: Partials, cohort: DataFrame, spine: DataFrame) -> DataFrame:
+    """Cohort left-joined with every family (one row per cohort row).
+
+    On stored partials every entity-keyed family is in place by entity, and so
+    is the chain of joins: the growing matrix is never moved.  Only the
+    families that go through a company or a zip code are, before their join."""
     m = cohort
-    for fam in family_frames(lt, lt_all, spine):
+    for fam in family_frames(p, spine):
         m = m.join(fam, KEYS, "left")
-    m = FT.feat_facility_info(lt, m, spine)
-    m = FT.feat_primary_naics(lt, m, spine)
-    m = FT.feat_geographic(lt_all, m, spine)
-    return m
+    m = m.join(FT.facility_info_family(p.reports, spine), KEYS, "left")
+    m = m.join(FT.naics_family(p.naics, spine), KEYS, "left")
+    return FT.onto_geographic(m, p.inspections, p.reports)
 
 
 # --- M3 -----------------------------------------------------------------------
@@ -66,8 +138,26 @@ def assert_one_row_per_entity(df: DataFrame, keys: Sequence[str] = KEYS) -> Data
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows")).where(F.col("n_rows") > 1)
 
 
+def matrix_key_violations(report_keys: DataFrame, naics_keys: DataFrame, cohort: DataFrame, spine: DataFrame) -> DataFrame:
+    """``assert_one_row_per_entity`` of the matrix, from keys alone.
+
+    All families but two are grouped by entity and label year and so have a
+    key once.  A cohort key has as many rows in the matrix as it has itself,
+    times its rows in the yearly report (at least one) and in the yearly code
+    table: only these keys are read and counted."""
+    ends = F.broadcast(spine.select("label_year", F.col("feature_end").alias("report_year")))
+    rows = cohort.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n_rows"))
+    for keys in (report_keys, naics_keys):
+        of_year = keys.select(ENTITY, "report_year").join(ends, "report_year").groupBy(*KEYS).agg(F.count(F.lit(1)).alias("_n"))
+        rows = rows.join(of_year, KEYS, "left").withColumn("n_rows", F.col("n_rows") * F.coalesce("_n", F.lit(1))).drop("_n")
+    return rows.where(F.col("n_rows") > 1)
+
+
 # --- M4 -----------------------------------------------------------------------
 def stack_years(frames: Sequence[DataFrame]) -> DataFrame:
+    """Frames of single years, one upon the other.  Where the years come from
+    one source, one plan over a spine of several years does the same in one
+    pass (every plan here takes such a spine)."""
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f, allowMissingColumns=True)

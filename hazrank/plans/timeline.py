@@ -32,14 +32,32 @@ def timeline_spine(lt, tl: Timeline) -> DataFrame:
     cand = years.select((F.col("year") + 1).alias("label_year")).where(
         (F.col("label_year") >= lo) & (F.col("label_year") <= hi))
     ly = F.col("label_year")
-    return cand.select(
+    return ordered_windows(cand.select(
         ly.cast("int").alias("label_year"),
         (ly - 1).cast("int").alias("cohort_year"),
         (ly - 1 - tl.lookback).cast("int").alias("feature_start"),
         (ly - 1).cast("int").alias("feature_end"),
         ly.between(*tl.train_label_range).alias("is_train"),
         ly.between(*tl.val_label_range).alias("is_val"),
-    )
+    ))
+
+
+def ordered_windows(spine: DataFrame) -> DataFrame:
+    """``spine``, failing in the plan where a window ends before it starts.
+    (Ranges of label years are checked when the ``Timeline`` is made.)"""
+    ok = F.col("feature_start") <= F.col("feature_end")
+    wrong = F.concat(F.lit("feature window of "), F.col("label_year").cast("string"), F.lit(" starts after its end"))
+    # the check hangs on a column that every reader needs
+    return spine.withColumn("label_year", F.when(F.assert_true(ok, wrong).isNull(), F.col("label_year")))
+
+
+def label_years_from(spine: DataFrame, year_col: str) -> F.Column:
+    """The label years whose window ends in the year of ``year_col`` or later,
+    as an array to explode: as-of joins become equi joins this way.  The
+    spine's rows (one per label year) are read here."""
+    ends = sorted((r["feature_end"], r["label_year"]) for r in spine.select("feature_end", "label_year").collect())
+    years = F.array(*[F.struct(F.lit(e).alias("e"), F.lit(y).alias("y")) for e, y in ends]) if ends else F.expr("CAST(array() AS array<struct<e: int, y: int>>)")
+    return F.transform(F.filter(years, lambda x: x["e"] >= F.col(year_col)), lambda x: x["y"])
 
 
 def config_spine(spark, tl: Timeline) -> DataFrame:

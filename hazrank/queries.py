@@ -57,24 +57,17 @@ class Ctx:
         hi = max(tl.label_years())
         self.lt_all = LogicalTables(self.wh)  # of this query alone
         self.lt = self.lt_all.bounded(lo, hi) if bounded else self.lt_all
+        # all years before the last label year, for as-of tables
+        self.lt_upto = self.lt_all.bounded(None, hi - 1)
         self.spine = config_spine(spark, tl)
 
-    def materialize_order_lines(self) -> None:
-        """Join orders and lineitem once, write the narrow result with a
-        reliable checkpoint, and derive every logical table of this query
-        from it.  Queries that touch many logical tables (the matrix)
-        then pay one large join instead of one per table; the bounded
-        view filters the materialised rows by the same date range."""
-        from hazrank.operators.ranking import materialize
-        if "order_lines" in self.lt_all.__dict__:
-            return
-        ol = materialize(self.lt_all.order_lines)
-        self.lt_all.__dict__["order_lines"] = ol
-        lo, hi = self.lt.year_bounds
-        t = ol.schema["o_orderdate"].dataType.simpleString()
-        self.lt.__dict__["order_lines"] = ol.where(
-            (F.col("o_orderdate") >= F.lit(f"{lo:04d}-01-01 00:00:00").cast(t))
-            & (F.col("o_orderdate") < F.lit(f"{hi + 1:04d}-01-01 00:00:00").cast(t)))
+    def partials(self):
+        """The yearly partials of every source, stored by entity; once per
+        query."""
+        from hazrank.plans.matrix import partials, store_partials
+        if "_partials" not in self.__dict__:
+            self.__dict__["_partials"] = store_partials(partials(self.lt, self.lt_upto, self.lt_all))
+        return self.__dict__["_partials"]
 
     @property
     def val_spine(self) -> DataFrame:

@@ -82,17 +82,17 @@ def q_b7b(spark, sf_dir):
 @register("commonsense_rank")
 def q_b9(spark, sf_dir):
     c = ctx(spark, sf_dir)
-    return B.commonsense_rank(c.lt_all, c.val_spine)
+    return B.commonsense_rank(c.lt_upto, c.val_spine)
 
 
 @register("describe_column")
 def q_b16(spark, sf_dir):
-    return rounded(B.describe_column(ctx(spark, sf_dir).lt_all.bias_data, "est_total_income"))
+    return rounded(B.describe_column(ctx(spark, sf_dir).lt_all.income, "est_total_income"))
 
 
 @register("histogram")
 def q_b17(spark, sf_dir):
-    return B.histogram(ctx(spark, sf_dir).lt_all.bias_data, "est_total_income", 10)
+    return B.histogram(ctx(spark, sf_dir).lt_all.income, "est_total_income", 10)
 
 
 @register("null_rows")

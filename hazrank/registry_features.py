@@ -73,7 +73,7 @@ def q_f8(spark, sf_dir):
 @register("feat_parent_company_peers")
 def q_f9(spark, sf_dir):
     c = ctx(spark, sf_dir)
-    return rounded(FT.feat_parent_company_peers(c.lt_all, _cohort(c), c.spine))
+    return rounded(FT.feat_parent_company_peers(c.lt_upto, _cohort(c), c.spine, rates=FT.entity_rates(c.lt, c.spine, FT.ALL_WINDOWS)))
 
 
 @register("feat_geographic")
@@ -85,7 +85,7 @@ def q_f10(spark, sf_dir):
 @register("feat_zip_peers")
 def q_f11(spark, sf_dir):
     c = ctx(spark, sf_dir)
-    return rounded(FT.feat_zip_peers(c.lt_all, _cohort(c), c.spine))
+    return rounded(FT.feat_zip_peers(c.lt_upto, _cohort(c), c.spine, rates=FT.entity_rates(c.lt, c.spine, FT.ALL_WINDOWS)))
 
 
 @register("conditional_ratio")

@@ -23,26 +23,25 @@ def q_join_windows(spark, sf_dir):
 @register("build_matrix")
 def q_build_matrix(spark, sf_dir):
     c = ctx(spark, sf_dir)
-    c.materialize_order_lines()
-    coh = C.cohort_active(c.lt, c.spine)
-    return rounded(M.build_matrix(c.lt, c.lt_all, coh, c.spine))
+    p = c.partials()
+    return rounded(M.build_matrix(p, p.cohort_active(c.spine), c.spine))
 
 
 @register("assert_one_row_per_entity")
 def q_assert_one_row(spark, sf_dir):
+    """From the keys of the cohort, the reports and the code table alone."""
     c = ctx(spark, sf_dir)
-    coh = C.cohort_active(c.lt, c.spine)
-    return M.assert_one_row_per_entity(M.build_matrix(c.lt, c.lt_all, coh, c.spine))
+    return M.matrix_key_violations(c.lt.site_report, c.lt.naics, C.cohort_active(c.lt, c.spine), c.spine)
 
 
 @register("stack_years")
 def q_stack_years(spark, sf_dir):
+    """Labels of the training years upon those of the later validation years,
+    each stack one plan over its years."""
     c = ctx(spark, sf_dir)
-    yearly = []
-    for y in c.tl.label_years():
-        sp = c.val_spine.where(F.col("label_year") == y)
-        yearly.append(L.label_formal(c.lt, C.cohort_active(c.lt, sp), sp))
-    return M.stack_years(yearly)
+    val = c.val_spine
+    stacks = [val.where("is_train"), val.where("NOT is_train")]
+    return M.stack_years([L.label_formal(c.lt, C.cohort_active(c.lt, sp), sp) for sp in stacks])
 
 
 @register("join_labels")

@@ -41,7 +41,7 @@ def q_s3(spark, sf_dir):
     c = ctx(spark, sf_dir)
     from hazrank.registry_eval import grid_results_long
     path = SF.shared_path(spark, "grid-long")
-    SF.sink(grid_results_long(c, True).drop("model_id"), path, "parquet", ["eval_year"])
+    SF.sink(grid_results_long(c, True), path, "parquet", ["eval_year"])
     return spark.read.parquet(path)
 
 
@@ -108,5 +108,6 @@ def q_s3_csv(spark, sf_dir):
     c = ctx(spark, sf_dir)
     from hazrank.registry_eval import grid_results_long
     path = SF.shared_path(spark, "grid-long-csv")
-    SF.sink(grid_results_long(c, True).drop("model_id"), path, "csv", ["eval_year"])
+    columns = [x.split()[0] for x in GRID_LONG_SCHEMA.split(", ")]
+    SF.sink(grid_results_long(c, True).select(*columns), path, "csv", ["eval_year"])
     return SF.scan_csv(spark, path, GRID_LONG_SCHEMA)

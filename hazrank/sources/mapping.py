@@ -58,13 +58,14 @@ def _ynnull(mod3: Column) -> Column:
 class LogicalTables:
     """Lazily derived logical tables over a ``Warehouse``."""
 
-    def __init__(self, wh, year_bounds: tuple[int, int] | None = None):
+    def __init__(self, wh, year_bounds: tuple[int | None, int] | None = None):
         self.wh = wh
         self.spark = wh.spark
         self.year_bounds = year_bounds
 
-    def bounded(self, lo: int, hi: int) -> "LogicalTables":
-        """Same tables restricted to report/event years lo..hi.
+    def bounded(self, lo: int | None, hi: int) -> "LogicalTables":
+        """Same tables restricted to report/event years lo..hi, or up to hi
+        if ``lo`` is None.
 
         The bound is a literal range on the raw order date, so it reaches
         the parquet scan as a pushed filter (a ``year()`` predicate would
@@ -79,9 +80,9 @@ class LogicalTables:
             return o
         lo, hi = self.year_bounds
         t = o.schema["o_orderdate"].dataType.simpleString()
-        lo_lit = F.lit(f"{lo:04d}-01-01 00:00:00").cast(t)
         hi_lit = F.lit(f"{hi + 1:04d}-01-01 00:00:00").cast(t)
-        return o.where((F.col("o_orderdate") >= lo_lit) & (F.col("o_orderdate") < hi_lit))
+        o = o.where(F.col("o_orderdate") < hi_lit)
+        return o if lo is None else o.where(F.col("o_orderdate") >= F.lit(f"{lo:04d}-01-01 00:00:00").cast(t))
 
     # -- shared building blocks ----------------------------------------------
     @cached_property
@@ -241,19 +242,23 @@ class LogicalTables:
             list(VIOLATION_DESCRIPTIONS), "violation_type string, violation_short_description string")
 
     # -- income groups for fairness audits ----------------------------------
+    @cached_property
+    def income(self) -> DataFrame:
+        """Area income of each entity."""
+        return self.wh.customer.select(F.col("c_custkey").alias("handler_id"), F.col("c_acctbal").alias("est_total_income"))
+
     @cached_property
     def bias_data(self) -> DataFrame:
         """Area income and its two halves (1 = lower half, 2 = upper half).
 
-        The split is an exact ntile(2) over (income, entity) computed with
-        a distributed global row number -- no single-partition window.
+        The split is an exact ntile(2) over (income, entity).  Its border is
+        found by rank selection (``topk``), so nothing is sorted: the lower
+        half is the top of the descending negative income.  A missing income
+        comes first.
         """
-        from hazrank.operators.ranking import ordered_index
-        c = self.wh.customer.select(F.col("c_custkey").alias("handler_id"),
-                                    F.col("c_acctbal").alias("est_total_income"))
-        idx = ordered_index(c, [], [F.col("est_total_income").asc(), F.col("handler_id").asc()],
-                            with_group_size=True)
-        return idx.select(
-            "handler_id", "est_total_income",
-            F.when(F.col("rn") <= F.ceil(F.col("group_size") / F.lit(2)), F.lit(1))
-             .otherwise(F.lit(2)).alias("income_category"))
+        from hazrank.operators.topk import top_cutoffs, with_top
+        rows = self.income.withColumn("_all", F.lit(0)).withColumn(
+            "_rank", F.coalesce(-F.col("est_total_income").cast("double"), F.lit(float("inf"))))
+        half = rows.groupBy("_all").agg(F.ceil(F.count(F.lit(1)) / F.lit(2)).cast("long").alias("i"))
+        marked = with_top(rows, top_cutoffs(rows, half, ["_all"], "_rank"), ["_all"], "_low", "_rank")
+        return marked.select("handler_id", "est_total_income", F.when(F.col("_low"), F.lit(1)).otherwise(F.lit(2)).alias("income_category"))
