@@ -69,8 +69,14 @@ def avg_overtime(df: DataFrame, name: str, years: Sequence[int]) -> DataFrame:
 
 
 # --- D4 -----------------------------------------------------------------------
-def filter_by_support(df: DataFrame, cutoff: float = 0.5) -> DataFrame:
-    return df.where(F.col("avg_support") >= F.lit(cutoff))
+def filter_by_support(df: DataFrame, cutoff: float = 0.5, partition_cols: Sequence[str] = ()) -> DataFrame:
+    """The models whose average support reaches the cutoff, with
+    ``n_dropped``: how many of their group (all models, or those equal in
+    ``partition_cols``) do not.  Missing support counts as not reached.  One
+    row per model, bounded by the grid."""
+    kept = F.coalesce(F.col("avg_support") >= F.lit(cutoff), F.lit(False))
+    group = Window.partitionBy(*partition_cols) if partition_cols else Window.partitionBy(F.lit(0))
+    return df.withColumn("n_dropped", F.sum(F.when(kept, 0).otherwise(1)).over(group)).where(kept)
 
 
 # --- D5 -----------------------------------------------------------------------
@@ -123,3 +129,58 @@ def grid_from_selection(selected: DataFrame, group_cols: Sequence[str] = ("model
     e = selected.select(*g, "rank", F.explode(param_map(F.col("model_param"))).alias("param", "value"))
     agg = e.groupBy(*g, "param").agg(F.array_sort(F.collect_list(F.struct("rank", "value"))).alias("_v"))
     return agg.select(*g, "param", F.transform("_v", lambda x: x["value"]).alias("values"))
+
+
+# Parameters by type, as the grids name them.  All others are
+# texts.
+INT_PARAMS = ("num_boost_round", "gamma", "min_child_weight", "nthread", "n_estimators", "min_samples_split",
+              "min_samples_leaf", "verbose", "random_state", "seed", "max_iter", "n_jobs")
+FLOAT_PARAMS = ("eta", "subsample", "lambda", "alpha", "max_samples", "colsample_bytree", "colsample_bylevel",
+                "colsample_bynode", "min_weight_fraction_leaf", "min_impurity_decrease", "tol", "C", "l1_ratio",
+                "learning_rate", "reg_alpha", "reg_lambda")
+OPTIONAL_INT_PARAMS = ("max_depth",)  # or "none"
+BOOL_PARAMS = ("bootstrap", "fit_intercept", "with_history")
+TRUE_TEXTS = ("yes", "true", "t", "y", "1")
+FALSE_TEXTS = ("no", "false", "f", "n", "0")
+
+
+def typed_values(param: Column, value: Column) -> list[Column]:
+    """A parameter's text as its type: ``type`` and the columns ``int_value``,
+    ``double_value``, ``bool_value``, ``string_value``, of which at most one is
+    set, and ``type_ok``: could the text be read?  "none" of an optional
+    parameter is read as no value; a float without fraction is an int."""
+    kind = (F.when(param.isin(*INT_PARAMS), "int").when(param.isin(*FLOAT_PARAMS), "double")
+            .when(param.isin(*OPTIONAL_INT_PARAMS), "optional int").when(param.isin(*BOOL_PARAMS), "bool").otherwise("string"))
+    number = value.try_cast("double")
+    whole = F.when(number == F.floor(number), number.try_cast("long"))
+    none = F.lower(F.trim(value)) == "none"
+    low = F.lower(F.trim(value))
+    truth = F.when(low.isin(*TRUE_TEXTS), F.lit(True)).when(low.isin(*FALSE_TEXTS), F.lit(False))
+    as_int = F.when((kind == "int") | ((kind == "optional int") & ~none), whole)
+    as_double, as_bool, as_text = F.when(kind == "double", number), F.when(kind == "bool", truth), F.when(kind == "string", value)
+    ok = as_int.isNotNull() | as_double.isNotNull() | as_bool.isNotNull() | as_text.isNotNull() | ((kind == "optional int") & none)
+    return [kind.alias("type"), as_int.alias("int_value"), as_double.alias("double_value"), as_bool.alias("bool_value"),
+            as_text.alias("string_value"), F.coalesce(ok, F.lit(False)).alias("type_ok")]
+
+
+def typed_grid(selected: DataFrame, group_cols: Sequence[str] = ("model_type", "with_history")) -> DataFrame:
+    """Selected models -> one row per model and parameter, its value in typed
+    columns, in rank order: the grid to run again."""
+    g = list(group_cols)
+    e = selected.select(*g, "model_name", "rank", F.explode(param_map(F.col("model_param"))).alias("param", "value"))
+    return e.select("*", *typed_values(F.col("param"), F.col("value")))
+
+
+def grid_of(typed: DataFrame) -> list[tuple[str, str, dict]]:
+    """The typed rows as the grid that models are fitted from: (model type,
+    model name, parameters), by rank.  One entry per selected model.  A value
+    that its type cannot hold is an error."""
+    rows = typed.select("model_type", "model_name", "rank", "param", "value", "type_ok", "int_value", "double_value", "bool_value", "string_value").collect()
+    bad = sorted({(r["param"], r["value"]) for r in rows if not r["type_ok"]})
+    if bad:
+        raise ValueError(f"values that are not of their parameter's type: {bad}")
+    models: dict[tuple, dict] = {}
+    for r in rows:
+        found = [r[c] for c in ("int_value", "double_value", "bool_value", "string_value") if r[c] is not None]
+        models.setdefault((r["rank"], r["model_type"], r["model_name"]), {})[r["param"]] = found[0] if found else None
+    return [(t, n, p) for (_, t, n), p in sorted(models.items(), key=lambda x: x[0])]

@@ -5,6 +5,14 @@ Schema decisions (which flag / dummy columns exist) come from one small
 aggregate each -- a single row of NULL counts, or the distinct values of
 a categorical column -- and every transformation is then one ``select``
 over the whole frame (no ``withColumn`` chains over hundreds of columns).
+
+What is fitted and applied in one call stores its input first (Parquet in the
+shared folder), so the input's own plan runs once, and the statistics read only
+the columns they need.
+
+Wide dummy columns are for results that name them.  Models take ``indexed``
+instead: string indices and sparse one-hot vectors, whatever the number of
+values.
 """
 
 from __future__ import annotations
@@ -12,7 +20,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+from pyspark.ml.feature import OneHotEncoder, OneHotEncoderModel, StringIndexer, StringIndexerModel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from hazrank.operators.ranking import stored
 
 # suffixes of a configured base feature name (fixed values)
 YEAR_EXTENSIONS = ("", "_three_year", "_five_year", "_most_recent", "_total")
@@ -39,8 +51,9 @@ def columns_with_nulls(df: DataFrame, cols: Sequence[str]) -> list[str]:
 def flag_missing(df: DataFrame, bases: Sequence[str], flagged: Sequence[str] | None = None) -> DataFrame:
     """Add ``<c>_missing_flag`` (1 = NULL) and fill the NULLs with 0 for each
     configured feature that has a NULL (or the given ``flagged`` list)."""
-    cand = _expand(df, bases)
-    flagged = list(flagged) if flagged is not None else columns_with_nulls(df, cand)
+    if flagged is None:
+        df = stored(df)
+        flagged = columns_with_nulls(df, _expand(df, bases))
     # one selectExpr: wide frames would otherwise cost one driver call per
     # column expression
     return df.selectExpr(*flag_missing_exprs(df.columns, flagged))
@@ -73,23 +86,49 @@ class OneHotModel:
         return keep + dummies
 
 
-def onehot_fit(df: DataFrame, bases: Sequence[str]) -> OneHotModel:
-    """Distinct trimmed values of each categorical column (one aggregate).
+def categories(df: DataFrame, col: str) -> list[str]:
+    """The trimmed values of a column, sorted: counted by value over all
+    tasks, and one name for each output column returned."""
+    v = df.selectExpr(f"trim({q(col)}) AS v").where("v IS NOT NULL")
+    return sorted(r["v"] for r in v.groupBy("v").agg(F.count(F.lit(1))).collect())
 
-    Every value becomes an output column, so their number is that of the
-    result's own columns; there is no other limit."""
-    cols = _expand(df, bases)
-    if not cols:
-        return OneHotModel({})
-    row = df.selectExpr(*[f"array_sort(collect_set(trim({q(c)}))) AS {q(c)}" for c in cols]).first()
-    return OneHotModel({c: list(row[c]) for c in cols})
+
+def onehot_fit(df: DataFrame, bases: Sequence[str]) -> OneHotModel:
+    """The values of each categorical column.  Every value becomes an output
+    column, so their number is that of the result's own columns; there is no
+    other limit."""
+    return OneHotModel({c: categories(df, c) for c in _expand(df, bases)})
 
 
 def onehot_fit_transform(df: DataFrame, bases: Sequence[str]) -> tuple[DataFrame, OneHotModel]:
+    df = stored(df)
     m = onehot_fit(df, bases)
     return m.transform(df), m
 
 
+def indexed(df: DataFrame, cols: Sequence[str]) -> tuple[list, list[str], list[str]]:
+    """Fitted stages that turn string columns into sparse one-hot vectors:
+    (stages, vector columns, names of the vectors' entries in order).
+
+    A value that training lacks, or none, is a vector of zeros: the indexer
+    keeps such values under one more index, the last, which the encoder drops."""
+    cols = [c for c, n in zip(cols, df.selectExpr(*[f"count({q(c)})" for c in cols]).first()) if n] if cols else []
+    if not cols:
+        return [], [], []
+    index, vec = [f"{c}_index" for c in cols], [f"{c}_onehot" for c in cols]
+    indexer = StringIndexer(inputCols=cols, outputCols=index, handleInvalid="keep", stringOrderType="alphabetAsc").fit(df)
+    encoder = OneHotEncoder(inputCols=index, outputCols=vec, dropLast=True).fit(indexer.transform(df))
+    return [indexer, encoder], vec, onehot_names([indexer, encoder])
+
+
+def onehot_names(stages: Sequence) -> list[str]:
+    """Names of all one-hot entries of fitted stages, in vector order."""
+    labels = {o: (c, ls) for s in stages if isinstance(s, StringIndexerModel)
+              for c, o, ls in zip(s.getInputCols(), s.getOutputCols(), s.labelsArray)}
+    return [f"{c}_onehot_{v}" for s in stages if isinstance(s, OneHotEncoderModel)
+            for c, ls in (labels[i] for i in s.getInputCols()) for v in ls]
+
+
 # --- X4 -----------------------------------------------------------------------
 def align_columns(a: DataFrame, b: DataFrame, fill=0) -> tuple[DataFrame, DataFrame]:
     """Give both frames the same columns (missing ones filled with 0),
@@ -108,6 +147,7 @@ def minmax_normalize(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
     min and max come from one aggregate row (two numbers per column, a
     proven bound) and are applied as literals -- no join at all."""
+    df = stored(df)
     stats = minmax_fit(df, cols)
     return minmax_apply(df, stats, cols)
 

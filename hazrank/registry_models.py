@@ -1,17 +1,25 @@
 """Registered queries: model families, temporal cross-validation, model
-persistence (rows-only checks: fitted models have no SQL oracle)."""
+persistence.
+
+Fitted numbers cannot be stated in SQL, so each query returns what can: the
+rows that were scored, the sizes and counts of the evaluation, and checks on the
+fitted values (``*_ok``), which hold for any fit.  The scores themselves come
+from the functions of ``operators.models``.
+"""
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hazrank.operators import models as MD
-from hazrank.operators.ranking import precision_at_k
-from hazrank.plans import cohorts as C
+from hazrank.operators.ranking import precision_at_k, stored
 from hazrank.plans import labels as L
 from hazrank.plans import matrix as M
 from hazrank.plans import timeline as T
-from hazrank.queries import K_DEFAULT, ctx, register, rounded
+from hazrank.queries import K_DEFAULT, ctx, register
 from hazrank.sources import files as SF
 
 ONEHOT_BASES = ["land_type", "state_district", "primary_naics_code_two_digit"]
@@ -24,28 +32,24 @@ DEFAULT_GRID = [
     ("xgbClassifier", "xgbClassifier_0", {"n_estimators": 20, "learning_rate": 0.1, "max_depth": 3}),
     ("xgboost", "xgboost_0", {"num_boost_round": 20, "eta": 0.1, "max_depth": 3}),
 ]
+ONE_OF_EACH = [g for g in DEFAULT_GRID if g[1].endswith("_0")]
+#: Both history flavours with the share of their lists.
+FLAVOURS = [(True, K_DEFAULT), (False, K_DEFAULT)]
+
 
+def model_matrix(c) -> DataFrame:
+    """Training and validation rows of both history flavours (``split``,
+    ``history``) with all features and labels.
 
-def model_matrix(c, history: bool = True):
-    """Training and validation rows of one history flavour with all
-    features and labels.
-
-    Written once with a reliable ``checkpoint()`` (the shared checkpoint
-    folder): every fold, model and schema probe then starts from the
-    materialised matrix instead of re-planning and re-running the feature
-    lineage, and a lost executor re-reads files instead of recomputing.
-    """
-    key = ("_matrix", history)
-    if key not in c.__dict__:
-        from hazrank.session import checkpoint_dir
-        checkpoint_dir(c.spark)
-        c.materialize_order_lines()
-        route = C.cohort_route(c.lt, c.spine).where(F.col("history") == F.lit(history)).drop("history")
-        m = M.build_matrix(c.lt, c.lt_all, route, c.spine)
+    Built from the stored partials and stored once: every fold, model and
+    schema probe then reads the columns it needs."""
+    if "_matrix" not in c.__dict__:
+        p = c.partials()
+        route = p.cohort_route(c.spine)
+        m = M.build_matrix(p, route, c.spine)
         lab = L.label_formal(c.lt, route.select("handler_id", "label_year").distinct(), c.spine)
-        m = m.join(lab, ["handler_id", "label_year"], "left")
-        c.__dict__[key] = m.checkpoint(eager=True)
-    return c.__dict__[key]
+        c.__dict__["_matrix"] = stored(m.join(lab, ["handler_id", "label_year"], "left"))
+    return c.__dict__["_matrix"]
 
 
 def flag_bases(matrix):
@@ -60,26 +64,39 @@ def folds(c):
     return [(f, sorted(ys), vy) for (f, vy), ys in sorted(out.items())]
 
 
-def last_fold(c):
-    return folds(c)[-1]
-
-
-def _fit_last(c, model_type, params, history=True):
-    m = model_matrix(c, history)
-    _, train_years, val_year = last_fold(c)
+def _last_prepared(c, history: bool, normalize: bool):
+    """The last fold of a flavour, prepared: (fold, training years)."""
+    m = model_matrix(c).where(F.col("history") == F.lit(history)).drop("history")
+    _, train_years, val_year = folds(c)[-1]
     tr = m.where((F.col("split") == "train") & F.col("label_year").isin(*train_years)
                  & F.col("formal").isNotNull()).drop("split")
     va = m.where((F.col("split") == "val") & (F.col("label_year") == val_year)).drop("split")
-    fold = MD.prepare_fold(tr, va, flag_bases(m), ONEHOT_BASES, model_type == "lr")
-    return MD.fit_model(model_type, params, fold), fold, train_years
+    return MD.prepare_fold(tr, va, flag_bases(m), ONEHOT_BASES, normalize), train_years
+
+
+def _score_ok(model_type: str):
+    """A probability, or a number (the squared-error booster)."""
+    s = F.col("score")
+    ok = s.between(0, 1) if model_type != "xgboost" else ~F.isnan(s)
+    return F.coalesce(ok, F.lit(False)).alias("score_ok")
+
+
+def _by_flavour(one) -> DataFrame:
+    return reduce(DataFrame.unionByName, [one(h).withColumn("with_history", F.lit(h)) for h, _ in FLAVOURS])
 
 
 def _family(model_type):
     def q(spark, sf_dir):
+        """The family fitted on all training years; the rows of the last
+        validation year that it scores, of both flavours."""
         c = ctx(spark, sf_dir)
         params = next(p for t, _, p in DEFAULT_GRID if t == model_type)
-        model, fold, _ = _fit_last(c, model_type, params)
-        return rounded(MD.score_model(model, fold.val, model_type))
+
+        def one(history):
+            fold, _ = _last_prepared(c, history, model_type == "lr")
+            s = MD.score_model(MD.fit_model(model_type, params, fold), fold.val, model_type)
+            return s.select("handler_id", "label_year", "formal", _score_ok(model_type))
+        return _by_flavour(one)
     return q
 
 
@@ -90,84 +107,115 @@ register("model_gbt")(_family("xgbClassifier"))
 register("model_gbt_raw")(_family("xgboost"))
 
 
+def _evaluation(metrics: DataFrame) -> DataFrame:
+    """Sizes and positives of an evaluation, and whether its counts and shares
+    agree with one another."""
+    lab, pos, i = F.col("labelled_at_k"), F.col("positives_at_k"), F.col("i")
+    ok = (pos <= lab) & (lab <= i) & (pos <= F.col("all_positives"))
+    ok = ok & F.when(lab > 0, F.col("precision") == pos / lab).otherwise(F.col("precision").isNull())
+    ok = ok & F.when(i > 0, F.col("support") == lab / i).otherwise(F.col("support").isNull())
+    return metrics.select("with_history", "model_id", "eval_year", "ranked", "i", "all_positives", F.coalesce(ok, F.lit(False)).alias("counts_ok"))
+
+
 @register("score_model")
 def q_score_model(spark, sf_dir):
-    """Every family fitted on all training years, evaluated at k on the
-    last validation year."""
+    """The last fold scored by every family in one pass: evaluated rows per
+    model, and whether its scores are numbers."""
     c = ctx(spark, sf_dir)
-    grid = [g for g in DEFAULT_GRID if g[1].endswith("_0")]
-    _, train_years, val_year = last_fold(c)
-    res = MD.temporal_cv_grid(model_matrix(c), [(0, train_years, val_year)], grid, K_DEFAULT,
-                              flag_bases(model_matrix(c)), ONEHOT_BASES)
-    return rounded(res)
+
+    def one(history):
+        m = model_matrix(c).where(F.col("history") == F.lit(history)).drop("history")
+        s = MD.cv_scores(m, folds(c)[-1:], ONE_OF_EACH, flag_bases(m), ONEHOT_BASES)
+        return s.groupBy("model_id", "eval_year").agg(
+            F.count(F.lit(1)).alias("n_scored"), F.count("formal").alias("n_labelled"),
+            F.count_distinct("handler_id").alias("n_entities"), F.every(F.coalesce(~F.isnan("score"), F.lit(False))).alias("score_ok"))
+    return _by_flavour(one)
 
 
 @register("feature_importance")
 def q_importance(spark, sf_dir):
+    """Per family, of the with-history flavour: are all features known, none
+    with importance 0, in order, and what is their sum (trees: 1)?"""
     c = ctx(spark, sf_dir)
-    model, fold, _ = _fit_last(c, "rf", dict(DEFAULT_GRID[3][2]))
-    return rounded(MD.feature_importance(model, fold.feature_names, "rf"))
+    rows = []
+    for model_type, name, params in ONE_OF_EACH:
+        fold, _ = _last_prepared(c, True, model_type == "lr")
+        got = MD.feature_importance(MD.fit_model(model_type, params, fold), fold.feature_names, model_type).collect()
+        values = [r["importance"] for r in got]
+        total = None if model_type == "lr" else round(sum(values), 6)
+        rows.append((name, bool(got) and {r["feature"] for r in got} <= set(fold.feature_names), 0.0 not in values,
+                     values == sorted(values, reverse=model_type != "lr"), total))
+    return spark.createDataFrame(rows, "model_name string, known_ok boolean, nonzero_ok boolean, order_ok boolean, total double")
 
 
 @register("save_model")
 def q_save_model(spark, sf_dir):
     """Fit, persist with the preparation under the shared folder, load back
-    and score the validation rows of the matrix."""
+    and score the validation rows of the matrix as they are: the difference to
+    the scores before, for both flavours."""
     c = ctx(spark, sf_dir)
-    model, fold, train_years = _fit_last(c, "dt", dict(DEFAULT_GRID[2][2]))
-    path = MD.save_model(model, SF.shared_path(spark, "models"), "dt_0", train_years, fold.preparation)
-    return rounded(MD.score_model(MD.load_model(path), fold.raw_val, "dt"))
+
+    def one(history):
+        fold, train_years = _last_prepared(c, history, False)
+        model = MD.fit_model("dt", dict(DEFAULT_GRID[2][2]), fold)
+        path = MD.save_model(model, SF.shared_path(spark, "models"), "dt_0", train_years, fold.preparation)
+        again = MD.score_model(MD.load_model(path), fold.raw_val, "dt").withColumnRenamed("score", "again").drop("formal")
+        both = MD.score_model(model, fold.val, "dt").join(again, ["handler_id", "label_year"])
+        return both.select("handler_id", "label_year", "formal", F.abs(F.col("score") - F.col("again")).alias("difference"))
+    return _by_flavour(one)
 
 
 @register("temporal_cv_grid")
 def q_cv_grid(spark, sf_dir):
+    """Mode 'grid_search': all models over all folds, both flavours."""
     c = ctx(spark, sf_dir)
     m = model_matrix(c)
-    return rounded(MD.temporal_cv_grid(m, folds(c), DEFAULT_GRID, K_DEFAULT, flag_bases(m), ONEHOT_BASES))
+    return _evaluation(MD.run_mode("grid_search", m, folds(c), DEFAULT_GRID, FLAVOURS, flag_bases(m), ONEHOT_BASES))
 
 
 @register("train_single")
 def q_train_single(spark, sf_dir):
-    """Mode 'train' for both history flavours: each family fitted on all
-    training years and evaluated on the last validation year."""
+    """Mode 'train' of each family and flavour: fitted on all training years
+    and evaluated on the last validation year."""
     c = ctx(spark, sf_dir)
-    _, train_years, val_year = last_fold(c)
-    grid = [g for g in DEFAULT_GRID if g[1].endswith("_0")]
-    outs = []
-    for hist in (True, False):
-        m = model_matrix(c, hist)
-        r = MD.temporal_cv_grid(m, [(0, train_years, val_year)], grid, K_DEFAULT, flag_bases(m), ONEHOT_BASES)
-        outs.append(r.withColumn("with_history", F.lit(hist)))
-    return rounded(outs[0].unionByName(outs[1]))
+    m = model_matrix(c)
+    runs = [MD.run_mode("train", m, folds(c), [g], [f], flag_bases(m), ONEHOT_BASES) for f in FLAVOURS for g in ONE_OF_EACH[:3]]
+    return _evaluation(reduce(DataFrame.unionByName, runs))
 
 
 @register("fit_model")
 def q_fit_model(spark, sf_dir):
-    """Every family fitted on all training years of the with-history
-    matrix: training size, feature count and training-set ranking quality
-    (area under ROC of the fitted scores)."""
+    """Every family fitted on all training years of both flavours: training
+    size, feature count, and whether the fit ranks its training rows better
+    than chance (area under ROC)."""
     from pyspark.ml.evaluation import BinaryClassificationEvaluator
     c = ctx(spark, sf_dir)
     rows = []
-    for model_type, name, params in [g for g in DEFAULT_GRID if g[1].endswith("_0")]:
-        model, fold, _ = _fit_last(c, model_type, params)
-        sc = MD.score_model(model, fold.train.withColumnRenamed("label", "formal"), model_type)
-        auc = BinaryClassificationEvaluator(rawPredictionCol="score", labelCol="formal").evaluate(
-            sc.withColumn("formal", F.col("formal").cast("double")))
-        rows.append((model_type, name, fold.n_train, len(fold.feature_names), float(auc)))
-    return spark.createDataFrame(rows, "model_type string, model_name string, n_train long, n_features int, "
-                                       "train_auc double")
+    for history, _ in FLAVOURS:
+        prepared = {norm: _last_prepared(c, history, norm)[0] for norm in (False, True)}
+        for model_type, name, params in ONE_OF_EACH:
+            fold = prepared[model_type == "lr"]
+            model = MD.fit_model(model_type, params, fold)
+            sc = MD.score_model(model, fold.train.withColumnRenamed("label", "formal"), model_type)
+            auc = BinaryClassificationEvaluator(rawPredictionCol="score", labelCol="formal").evaluate(
+                sc.withColumn("formal", F.col("formal").cast("double")))
+            rows.append((history, model_type, name, fold.n_train, len(fold.feature_names), bool(auc > 0.5)))
+    return spark.createDataFrame(rows, "with_history boolean, model_type string, model_name string, n_train long, n_features long, "
+                                       "learns_ok boolean")
 
 
 @register("load_model")
 def q_load_model(spark, sf_dir):
-    """A persisted model re-opened from its folder and evaluated at k on
-    the last validation year."""
+    """A persisted model re-opened from its folder and evaluated at k on the
+    last validation year, for both flavours."""
     c = ctx(spark, sf_dir)
-    model, fold, train_years = _fit_last(c, "xgbClassifier", dict(DEFAULT_GRID[4][2]))
-    path = MD.save_model(model, SF.shared_path(spark, "models"), "xgbClassifier_0", train_years, fold.preparation)
-    sc = MD.score_model(MD.load_model(path), fold.raw_val, "xgbClassifier")
-    s = sc.select(F.lit("xgbClassifier_0").alias("model_id"), F.col("label_year").alias("eval_year"),
-                  "handler_id", "score")
-    lab = sc.select(F.col("label_year").alias("eval_year"), "handler_id", "formal")
-    return rounded(precision_at_k(s, lab, K_DEFAULT))
+
+    def one(history):
+        fold, train_years = _last_prepared(c, history, False)
+        model = MD.fit_model("xgbClassifier", dict(DEFAULT_GRID[4][2]), fold)
+        path = MD.save_model(model, SF.shared_path(spark, "models"), "xgbClassifier_0", train_years, fold.preparation)
+        sc = MD.score_model(MD.load_model(path), fold.raw_val, "xgbClassifier")
+        s = sc.select(F.lit("xgbClassifier_0").alias("model_id"), F.col("label_year").alias("eval_year"), "handler_id", "score")
+        lab = sc.select(F.col("label_year").alias("eval_year"), "handler_id", "formal")
+        return precision_at_k(s, lab, K_DEFAULT)
+    return _evaluation(_by_flavour(one))
