@@ -91,7 +91,6 @@ def test_loaded_model_scores_unprepared_rows(spark, tmp_path):
         assert MD.model_feature_names(loaded) == fold.feature_names
         want = sorted(MD.score_model(model, fold.val, family).collect())
         assert sorted(MD.score_model(loaded, val, family).collect()) == want and len(want) == 20
-        fold.release()
 
 
 def test_replies_are_read_by_their_own_header(spark):
