@@ -14,10 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hazrank.operators.ranking import (
-    cutoff_index, group_sizes, ordered_index, ratio_ladder, score_order, scored_with_labels, stored,
-)
-from hazrank.operators.topk import top_cutoffs, with_top
+from hazrank.operators.ranking import ordered_index, ratio_ladder, score_order, scored_with_labels, stored
+from hazrank.operators.topk import share_of, top_cutoffs, with_top
 
 
 # --- E8 -----------------------------------------------------------------------
@@ -66,14 +64,12 @@ def audit_at_k(scores: DataFrame, labels: DataFrame, groups: DataFrame, k: float
     g = list(keys)
     rows = scored_in_groups(scores, labels, groups, group_col, label_keys, entity_col)
     both = F.col("labelled_row") & F.col("grouped_row")
-    share = lambda n: F.floor(F.lit(float(k)) * n).cast("long")
-    sizes = stored(rows.groupBy(*g).agg(F.count(F.lit(1)).alias("n_scored"), F.count_if(F.col("labelled_row")).alias("n_ranked"), F.count_if(both).alias("n_merged")))
-    all_rows = top_cutoffs(rows.where("labelled_row"), sizes.withColumn("i", share(F.col("n_scored"))), g, entity_col=entity_col)
+    all_rows = top_cutoffs(rows, g, share_of(k), entity_col=entity_col, member=F.col("labelled_row"))
     # where no scored row lacks a label row or a category, both cutoffs are one
-    differ = sizes.where("n_scored <> n_merged").limit(1).count()
-    merged = top_cutoffs(rows.where(both), sizes.withColumn("i", share(F.col("n_merged"))), g, entity_col=entity_col) if differ else all_rows
+    differ = rows.where(~both).limit(1).count()
+    merged = top_cutoffs(rows.where(both), g, share_of(k), entity_col=entity_col) if differ else all_rows
     marked = with_top(rows.where("labelled_row"), all_rows, g, "in_all", entity_col=entity_col)
-    marked = with_top(marked, merged, g, "in_merged", entity_col=entity_col)
+    marked = with_top(marked, merged, g, "in_merged", entity_col=entity_col, how="left")
     top = F.col("in_merged") & F.col("grouped_row") & F.col("formal").isNotNull()
     # all rows are counted, so a category outside the top has zeros
     per = marked.groupBy(*g, "category", "grouped_row").agg(
@@ -95,9 +91,8 @@ def disparity_at_k(scores: DataFrame, labels: DataFrame, groups: DataFrame, k: f
     group-joined frame."""
     g = list(keys)
     rows = scored_in_groups(scores, labels, groups, group_col, label_keys, entity_col).where("labelled_row AND grouped_row")
-    sizes = group_sizes(rows, g).withColumn("i", cutoff_index(k))
     top = F.col("top") & F.col("formal").isNotNull()
-    per = with_top(rows, top_cutoffs(rows, sizes, g, entity_col=entity_col), g, entity_col=entity_col)
+    per = with_top(rows, top_cutoffs(rows, g, share_of(k), entity_col=entity_col), g, entity_col=entity_col)
     per = per.groupBy(*g, "category").agg(
         F.coalesce(F.sum("formal"), F.lit(0)).alias("_relevant"),
         F.count(F.when(top, 1)).alias("n_top"),

@@ -96,11 +96,6 @@ def group_sizes(scores: DataFrame, group_cols: Sequence[str] = ("model_id", "eva
     return scores.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("n_scored"))
 
 
-def cutoff_index(k: float) -> Column:
-    """i = int(k * n) with k a double, as the ranking evaluation does."""
-    return F.floor(F.lit(float(k)) * F.col("n_scored")).cast("long")
-
-
 # --- E2, E3, E4 -------------------------------------------------------------
 def scored_with_labels(scores: DataFrame, labels: DataFrame, label_keys: Sequence[str] = ("eval_year",),
                        entity_col: str = "handler_id") -> DataFrame:
@@ -125,17 +120,15 @@ def metrics_at_k(scored: DataFrame, k: float, group_cols: Sequence[str] = ("mode
     recall    = positives in the top i / all positives (NULL when none)
     fdr       = (labelled - positives) / labelled
     """
-    from hazrank.operators.topk import top_cutoffs, with_top
+    from hazrank.operators.topk import share_of, top_cutoffs, with_top
     g = list(group_cols)
-    sizes = group_sizes(scored, g).withColumn("i", cutoff_index(k))
-    ranked = scored.where("labelled_row")
-    cutoffs = top_cutoffs(ranked, sizes, g, entity_col=entity_col)
+    cutoffs = top_cutoffs(scored, g, share_of(k), entity_col=entity_col, member=F.col("labelled_row"))
     y = F.col(label_col)
-    agg = with_top(ranked, cutoffs, g, entity_col=entity_col).groupBy(*g).agg(
+    agg = with_top(scored.where("labelled_row"), cutoffs, g, entity_col=entity_col).groupBy(*g).agg(
         F.count(F.when(F.col("top"), y)).alias("labelled_at_k"),
         F.coalesce(F.sum(F.when(F.col("top"), y)), F.lit(0)).alias("positives_at_k"),
         F.coalesce(F.sum(y), F.lit(0)).alias("all_positives"),
-    ).join(sizes.withColumnRenamed("n_scored", "ranked"), g, "inner")
+    ).join(F.broadcast(cutoffs.select(*g, F.col("n").alias("ranked"), "i")), g, "inner")
     if positives is not None:
         year = [c for c in positives.columns if c != "all_positives"]
         agg = agg.drop("all_positives").join(positives, year, "inner")

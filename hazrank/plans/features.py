@@ -205,9 +205,11 @@ def company_sizes(links: DataFrame, spine: DataFrame, windows) -> DataFrame:
 
 
 def parent_company_size_family(lt, spine: DataFrame, windows=("most_recent", "three_year"),
-                               as_of: bool = False, links: DataFrame | None = None) -> DataFrame:
+                               as_of: bool = False, links: DataFrame | None = None,
+                               by_entity: int | None = None) -> DataFrame:
     """Largest number of distinct active entities among an entity's owner
-    companies ('CO'), counted within each window.
+    companies ('CO'), counted within each window.  ``by_entity``: see
+    ``_brought_home``.
 
     Literal mode links an entity to every owner it ever had (all years);
     ``as_of=True`` only to owners reported up to the window end.
@@ -221,7 +223,7 @@ def parent_company_size_family(lt, spine: DataFrame, windows=("most_recent", "th
         j = oy.select(ENTITY, "owner_operator_name").distinct().join(sizes, "owner_operator_name")
     # a company without entities in a window counts 0 there, the inner join
     # of a per-window aggregate has no row -> NULL.
-    agg = j.groupBy(ENTITY, "label_year").agg(
+    agg = _brought_home(j, by_entity).groupBy(ENTITY, "label_year").agg(
         *[F.max(F.when(F.col(f"nh__{w}") > 0, F.col(f"nh__{w}"))).alias(f"num_active_facilities_parent_company_{w}")
           for w in windows])
     return agg
@@ -328,8 +330,14 @@ def first_group(rows: DataFrame, group_col: str, spine: DataFrame, latest: bool
     return last.select(ENTITY, "label_year", F.col(f"_f.{group_col}").alias(group_col))
 
 
+def _brought_home(df: DataFrame, by_entity: int | None) -> DataFrame:
+    """Rows that came about by company or zip code, dealt to the ``by_entity``
+    partitions in which bucketed partials hold their entities."""
+    return df if by_entity is None else df.repartition(by_entity, ENTITY)
+
+
 def peer_average(members: DataFrame, rates: DataFrame, group_col: str, windows,
-                 names: dict[str, str]) -> DataFrame:
+                 names: dict[str, str], by_entity: int | None = None) -> DataFrame:
     """Mean of the members' rates per (group, label_year), given back to each
     member.  The mean is algebraic (sum, count), so a hot group is reduced
     by partial aggregation; NULL groups never match."""
@@ -337,11 +345,12 @@ def peer_average(members: DataFrame, rates: DataFrame, group_col: str, windows,
     j = m.join(rates, [ENTITY, "label_year"], "left")
     aggs = [F.avg(f"{p}__{w}").alias(f"{names[p]}_{w}") for w in windows for p in ("v", "c", "f")]
     avg = j.groupBy(group_col, "label_year").agg(*aggs)
-    return m.join(avg, [group_col, "label_year"], "inner").drop(group_col)
+    return _brought_home(m.join(avg, [group_col, "label_year"], "inner").drop(group_col), by_entity)
 
 
 def parent_company_peers_family(lt, spine: DataFrame, windows=ALL_WINDOWS, latest: bool = False,
-                                rates: DataFrame | None = None, links: DataFrame | None = None) -> DataFrame:
+                                rates: DataFrame | None = None, links: DataFrame | None = None,
+                                by_entity: int | None = None) -> DataFrame:
     """``lt``: tables up to the last window end.  ``rates`` may come from
     tables bounded to the windows."""
     links = owner_links(lt) if links is None else links
@@ -349,7 +358,7 @@ def parent_company_peers_family(lt, spine: DataFrame, windows=ALL_WINDOWS, lates
     rates = rates if rates is not None else entity_rates(lt, spine, windows)
     return peer_average(ho, rates, "owner_operator_name", windows,
                         {"v": "avg_violation_owner", "c": "avg_complaint_owner",
-                         "f": "avg_formal_enforcement_owner"})
+                         "f": "avg_formal_enforcement_owner"}, by_entity)
 
 
 def feat_parent_company_peers(lt, cohort: DataFrame, spine: DataFrame, windows=ALL_WINDOWS,
@@ -358,13 +367,14 @@ def feat_parent_company_peers(lt, cohort: DataFrame, spine: DataFrame, windows=A
 
 
 def zip_peers_family(lt, spine: DataFrame, windows=ALL_WINDOWS, latest: bool = False,
-                     rates: DataFrame | None = None, reports: DataFrame | None = None) -> DataFrame:
+                     rates: DataFrame | None = None, reports: DataFrame | None = None,
+                     by_entity: int | None = None) -> DataFrame:
     """As ``parent_company_peers_family``, by zip code of the reports."""
     sr = (lt.site_report if reports is None else reports).select(ENTITY, "report_year", "location_zip")
     hz = first_group(sr, "location_zip", spine, latest)
     rates = rates if rates is not None else entity_rates(lt, spine, windows)
     return peer_average(hz, rates, "location_zip", windows,
-                        {"v": "avg_violation_zip", "c": "avg_complaint_zip", "f": "avg_formal_enforcement_zip"})
+                        {"v": "avg_violation_zip", "c": "avg_complaint_zip", "f": "avg_formal_enforcement_zip"}, by_entity)
 
 
 def feat_zip_peers(lt, cohort: DataFrame, spine: DataFrame, windows=ALL_WINDOWS, latest: bool = False,

@@ -45,6 +45,7 @@ class Partials:
     owners: DataFrame
     reports: DataFrame
     naics: DataFrame
+    buckets: int | None = None    # of each frame, by entity, once stored
 
     @property
     def report_keys(self) -> DataFrame:
@@ -76,18 +77,34 @@ def store_partials(p: Partials, buckets: int | None = None) -> Partials:
     A source's events are read by one job and only its yearly sums are
     stored.  The jobs are independent, so a few run side by side.  Table names
     are new for each call; the tables are external, and ``drop_partials``
-    forgets those of the session."""
+    forgets those of the session.
+
+    Frames are opened in a session of their own, with the caller's settings
+    and one more: rows that lie together by entity may be joined by entity and
+    year in place.  The caller's session stays as it is."""
     spark = p.inspections.sparkSession
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    in_place = _session_like(spark)
+    in_place.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
 
     def store(df: DataFrame) -> DataFrame:
         name = f"{TABLE_PREFIX}{uuid.uuid4().hex}"
         (df.repartition(n, ENTITY).write.bucketBy(n, ENTITY).sortBy(ENTITY).format("parquet")
            .option("path", shared_path(spark, "partials")).saveAsTable(name))
-        return spark.table(name)
+        return in_place.table(name)
+
+    frames = [getattr(p, f.name) for f in fields(p) if f.name != "buckets"]
+    with ThreadPool(len(frames)) as pool:
+        return Partials(*pool.map(inheritable_thread_target(spark)(store), frames), buckets=n)
+
 
-    with ThreadPool(len(fields(p))) as pool:
-        return Partials(*pool.map(inheritable_thread_target(spark)(store), [getattr(p, f.name) for f in fields(p)]))
+def _session_like(spark):
+    """A new session of the same application, catalog and settings."""
+    new = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if new.conf.isModifiable(key) and new.conf.get(key, None) != value:
+            new.conf.set(key, value)
+    return new
 
 
 TABLE_PREFIX = "hazrank_partials_"
@@ -110,10 +127,10 @@ def family_frames(p: Partials, spine: DataFrame) -> list[DataFrame]:
     return [
         ins.selectExpr(ENTITY, "label_year", *FT.f1_f2_columns()),
         FT.waste_info_family(None, spine, pre=p.waste),
-        FT.parent_company_size_family(None, spine, links=p.owners),
+        FT.parent_company_size_family(None, spine, links=p.owners, by_entity=p.buckets),
         FT.waste_code_family(None, spine, pre=p.waste_codes),
-        FT.parent_company_peers_family(None, spine, rates=rates, links=p.owners),
-        FT.zip_peers_family(None, spine, rates=rates, reports=p.reports),
+        FT.parent_company_peers_family(None, spine, rates=rates, links=p.owners, by_entity=p.buckets),
+        FT.zip_peers_family(None, spine, rates=rates, reports=p.reports, by_entity=p.buckets),
     ]
 
 

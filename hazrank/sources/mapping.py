@@ -257,8 +257,8 @@ class LogicalTables:
         comes first.
         """
         from hazrank.operators.topk import top_cutoffs, with_top
-        rows = self.income.withColumn("_all", F.lit(0)).withColumn(
+        rows = self.income.withColumn("_group", F.lit(0)).withColumn(
             "_rank", F.coalesce(-F.col("est_total_income").cast("double"), F.lit(float("inf"))))
-        half = rows.groupBy("_all").agg(F.ceil(F.count(F.lit(1)) / F.lit(2)).cast("long").alias("i"))
-        marked = with_top(rows, top_cutoffs(rows, half, ["_all"], "_rank"), ["_all"], "_low", "_rank")
+        border = top_cutoffs(rows, ["_group"], lambda n: -(-n // 2), "_rank")
+        marked = with_top(rows, border, ["_group"], "_low", "_rank")
         return marked.select("handler_id", "est_total_income", F.when(F.col("_low"), F.lit(1)).otherwise(F.lit(2)).alias("income_category"))
