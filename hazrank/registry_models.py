@@ -175,12 +175,14 @@ def q_cv_grid(spark, sf_dir):
 
 @register("train_single")
 def q_train_single(spark, sf_dir):
-    """Mode 'train' of each family and flavour: fitted on all training years
-    and evaluated on the last validation year."""
+    """Every family and flavour fitted on all training years and evaluated on
+    the last validation year."""
     c = ctx(spark, sf_dir)
-    m = model_matrix(c)
-    runs = [MD.run_mode("train", m, folds(c), [g], [f], flag_bases(m), ONEHOT_BASES) for f in FLAVOURS for g in ONE_OF_EACH[:3]]
-    return _evaluation(reduce(DataFrame.unionByName, runs))
+
+    def one(history):
+        m = model_matrix(c).where(F.col("history") == F.lit(history)).drop("history")
+        return MD.temporal_cv_grid(m, folds(c)[-1:], ONE_OF_EACH, K_DEFAULT, flag_bases(m), ONEHOT_BASES)
+    return _evaluation(_by_flavour(one))
 
 
 @register("fit_model")
