@@ -50,7 +50,7 @@ from hazrank.llm.common import documents, map_arrow, ship_package, staged, table
 TOP = 10
 BLOCK = 64
 SEGMENT_DOCS = 8192
-SEGMENT_TERMS = 4_000_000
+SEGMENT_TERMS = 2_000_000
 #: Documents of a window of candidates.
 WINDOW = 2048
 #: Queries searched (and broadcast) at a time, and their distinct terms.
