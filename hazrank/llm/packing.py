@@ -14,8 +14,11 @@ two-level count (slots of a length, then rows of a slot) ranks all rests, and
 each task reads a rest's sequence and offset off the plan.  A length that a
 third of all documents share is spread over many slots.
 
-Defined cases: a null or empty text is the end id alone; repeated rows are
-packed each; an empty table gives no piece.
+Defined cases: a null or empty text is the end id alone; a null doc_id is kept;
+repeated rows are packed each; rests of one length are placed in the order of
+their row numbers, so ties cannot arise; a very long text is full windows and
+one rest; columns beyond doc_id and text are not read; an empty table gives no
+piece.
 """
 
 from __future__ import annotations
@@ -32,6 +35,8 @@ VOCABULARY = "byte_bpe_50k.json"
 END = 0
 #: Rests that share a slot of the ranking, about.
 SLOT_ROWS = 20_000
+#: Bytes of ids that leave a task at a time, about.
+BATCH_BYTES = 8 << 20
 PIECE = "doc_id long, start long, length long, doc_tokens long, ids binary"
 
 
@@ -136,27 +141,38 @@ def tokenize(docs: DataFrame, name: str = VOCABULARY, end: int = END, window: in
 
         from hazrank.llm.tokens import encoded
         uid = TaskContext.get().partitionId() << 40
+
+        def out(doc_ids, texts):
+            """The pieces of some documents: their ids in one buffer, cut by
+            offsets."""
+            n = np.fromiter(map(len, texts), np.int64, len(texts)) // 4
+            count = -(-n // window)
+            doc = np.repeat(np.arange(len(n)), count)
+            start = (np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count)) * window
+            offsets = 4 * np.append(np.repeat(np.cumsum(n) - n, count) + start, n.sum())
+            number = pa.array(uid + np.arange(len(doc)))
+            return pa.RecordBatch.from_arrays(
+                [number, doc_ids.take(pa.array(doc)), pa.array(start), pa.array(np.minimum(window, n[doc] - start)), pa.array(n[doc]),
+                 _cut(pa.py_buffer(b"".join(texts)), offsets)], ["uid", "doc_id", "start", "length", "doc_tokens", "ids"])
+
         for b in batches:
-            rows = []
-            for doc_id, ids in zip(b.column(0).to_pylist(), encoded(b.column(1), name, True, end)):
-                n = len(ids) // 4
-                for start in range(0, n, window):
-                    rows.append((uid, doc_id, start, min(window, n - start), n, ids[4 * start:4 * (start + window)]))
-                    uid += 1
-                if len(rows) >= 2000:
-                    yield _batch(rows)
-                    rows = []
-            if rows:
-                yield _batch(rows)
+            held, size, first = [], 0, 0
+            for k, ids in enumerate(encoded(b.column(1), name, True, end)):
+                held.append(ids)
+                size += len(ids)
+                if size >= BATCH_BYTES or k == b.num_rows - 1:
+                    r = out(b.column(0).slice(first, len(held)), held)
+                    yield r
+                    uid += r.num_rows
+                    held, size, first = [], 0, k + 1
 
     out = map_arrow(docs.select(F.col("doc_id").cast("long"), "text"), pieces, "uid long, " + PIECE)
     return staged(out, "zstd")
 
 
-def _batch(rows):
-    cols = list(zip(*rows))
-    return pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols[:-1]), pa.array(cols[-1], pa.binary())],
-                                      ["uid", "doc_id", "start", "length", "doc_tokens", "ids"])
+def _cut(data: pa.Buffer, offsets: np.ndarray) -> pa.Array:
+    """Consecutive bytes of a buffer, cut at offsets, none copied."""
+    return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets.astype(np.int32)), data])
 
 
 def pack(docs: DataFrame, name: str = VOCABULARY, end: int = END, window: int = WINDOW, slot_rows: int = SLOT_ROWS) -> DataFrame:
@@ -180,20 +196,21 @@ def pack(docs: DataFrame, name: str = VOCABULARY, end: int = END, window: int =
 
     def placed(batches):
         for b in batches:
-            t = b.to_pydict()
-            length, rank = np.array(t["length"], dtype=np.int64), np.array(t["rank"], dtype=np.int64)
-            if not len(length):
+            if not b.num_rows:
                 continue
+            doc_id, start, length, total, ids, rank = b.columns
+            start, length, total, rank = (c.to_numpy() for c in (start, length, total, rank))
             sequence, offset = plan.place(length, rank)
-            rows = []
-            for d, s, n, total, ids, q, o in zip(t["doc_id"], t["start"], t["length"], t["doc_tokens"], t["ids"], sequence.tolist(), offset.tolist()):
-                first = min(n, plan.window - o)
-                rows.append((d, s, first, total, ids[:4 * first], q, o))
-                if first < n:
-                    rows.append((d, s + first, n - first, total, ids[4 * first:], q + 1, 0))
-            c = list(zip(*rows))
+            head = np.minimum(length, plan.window - offset)
+            # a row, and after it the rest that lies in the next sequence
+            parts = 1 + (head < length)
+            row = np.repeat(np.arange(len(parts)), parts)
+            rest = np.diff(row, prepend=-1) == 0
+            before = np.frombuffer(ids.buffers()[1], np.int32)[ids.offset:ids.offset + len(ids) + 1]
+            cuts = np.append(before[row] + np.where(rest, 4 * head[row], 0), before[-1])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c[k], pa.binary() if k == 4 else pa.int64()) for k in range(7)],
+                [doc_id.take(pa.array(row)), pa.array(start[row] + np.where(rest, head[row], 0)), pa.array(np.where(rest, (length - head)[row], head[row])),
+                 pa.array(total[row]), _cut(ids.buffers()[2], cuts), pa.array(sequence[row] + rest), pa.array(np.where(rest, 0, offset[row]))],
                 ["doc_id", "start", "length", "doc_tokens", "ids", "sequence_id", "offset"])
 
     short = map_arrow(ranked.select("doc_id", "start", "length", "doc_tokens", "ids", "rank"), placed,

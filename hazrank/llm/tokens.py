@@ -6,14 +6,15 @@ text are those of its chunks, one after another.  All texts of a batch are
 split at once, and each distinct chunk among them is looked up once.  A chunk
 of Latin-1 letters and closing marks goes piece by piece to the tokenizer's
 merge model, which is what the tokenizer itself would do with it; any other
-chunk goes to the tokenizer whole.  A bounded table keeps the words' ids.  Ids
-are bytes, little-endian unsigned 32 bit, so joining chunks joins ids.
+chunk goes to the tokenizer whole.  A bounded table keeps the words' ids in one
+array, from which numpy gathers those of a text.  Ids are little-endian unsigned
+32 bit.
 """
 
 from __future__ import annotations
 
+import gc
 import re
-from struct import pack as _pack
 
 import numpy as np
 import pyarrow as pa
@@ -53,6 +54,10 @@ def byte_letters() -> dict[int, str]:
 _LETTERS = byte_letters()
 
 
+def _bytes_as_letters(piece: str) -> str:
+    return piece.encode().decode("latin-1").translate(_LETTERS)
+
+
 def vocabulary(name: str) -> str:
     import public_tokenizers
     return public_tokenizers.path(name)
@@ -76,28 +81,58 @@ class ChunkEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.spaced = spaced
-        self.words: dict[str, bytes] = {}
-
-    def _whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-
-    def _piece(self, piece: str) -> bytes:
-        found = self.model.tokenize(piece.encode().decode("latin-1").translate(_LETTERS))
-        return _pack("<%dI" % len(found), *[t.id for t in found])
-
-    def _word(self, word: str, plain: bool) -> bytes:
-        """Ids of a new chunk without its closing marks, if it is plain, else
-        of the whole chunk; after a space or a line break if that matters."""
-        if not self.spaced:
-            return self._piece(word.lower()) if plain else self._whole(word)
-        if word.startswith(_BREAK):
-            return self._piece("\n") + self._piece(word[1:]) if plain else self._whole("\n" + word[1:])
-        return self._piece(" " + word) if plain else self._whole(" " + word)
+        self._forget()
+
+    def _forget(self) -> None:
+        """An empty table: words by number, and the ids of all of them in a
+        row, those of a word from its place in ``begin`` on."""
+        self.words: dict[str, int] = {}
+        self.pool = np.zeros(0, dtype="<u4")
+        self.begin = np.zeros(1, dtype=np.int64)
+
+    def _whole(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _piece(self, piece: str) -> list[int]:
+        return [t.id for t in self.model.tokenize(_bytes_as_letters(piece))]
+
+    def _learn(self, words: list[str], plain: list[bool]) -> None:
+        """Add words that the table lacks: of a plain one its ids without
+        closing marks, of another those of the whole chunk; after a space or a
+        line break if that matters."""
+        before = _LETTERS[32] if self.spaced else ""
+        lower = str if self.spaced else str.lower
+        alone = [w for w, p in zip(words, plain) if p and w[0] != _BREAK]
+        begins = [w for w, p in zip(words, plain) if p and w[0] == _BREAK]  # a line
+        odd = [w for w, p in zip(words, plain) if not p]
+        # ASCII letters stand for themselves
+        letters = [before + (w if w.isascii() else _bytes_as_letters(lower(w))) for w in alone]
+        # very many short lists, none of them in a cycle: looking for cycles
+        # would walk over all of them again and again
+        collecting = gc.isenabled()
+        gc.disable()
+        try:
+            found = list(map(self.model.tokenize, letters))
+            size = list(map(len, found))
+            ids = [t.id for f in found for t in f]
+            del found
+        finally:
+            if collecting:
+                gc.enable()
+        line = self._piece("\n") if begins else []
+        rest = [line + self._piece(w[1:]) for w in begins]
+        rest += self._whole([("\n" + w[1:] if w.startswith(_BREAK) else " " + w) if self.spaced else w for w in odd])
+        size += map(len, rest)
+        ids += [i for r in rest for i in r]
+        known = len(self.words)
+        self.words.update(zip(alone + begins + odd, range(known, known + len(words))))
+        self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum(size, dtype=np.int64)])
+        self.pool = np.concatenate([self.pool, np.array(ids, dtype="<u4")])
 
     def _apart(self, text: str) -> bytes:
         """White space beside a space: split only where a space stands alone."""
         parts = _INNER.split(text)
-        return self._whole(parts[0]) + b"".join([self._whole(" " + c) for c in parts[1:]])
+        return np.array(sum(self._whole([parts[0]] + [" " + c for c in parts[1:]]), []), dtype="<u4").tobytes()
 
     def encode(self, texts: pa.Array, end: int) -> list[bytes]:
         """Ids of each text with the end id."""
@@ -114,17 +149,26 @@ class ChunkEncoder:
         core = pc.utf8_rtrim(distinct, _MARKS)
         plain = pc.match_substring_regex(core, _MARKED_WORD if self.spaced else _WORD)
         core = pc.if_else(plain, core, distinct)
-        marks = pc.if_else(plain, pc.utf8_ltrim(distinct, _BREAK + _LATIN), "")
+        marks = pc.if_else(plain, pc.utf8_ltrim(distinct, _BREAK + _LATIN), "").dictionary_encode()
         if len(self.words) >= TABLE_WORDS:
-            self.words.clear()
-        table, core = self.words, core.to_pylist()
-        ids = list(map(table.get, core))
-        for k, (known, is_plain) in enumerate(zip(ids, plain.to_pylist())):
-            if known is None:
-                ids[k] = table[core[k]] = table.get(core[k]) or self._word(core[k], is_plain)
-        closing = marks.dictionary_encode()
-        of_marks = [self._piece(m) if m else b"" for m in closing.dictionary.to_pylist()]
-        ids = [a + of_marks[m] for a, m in zip(ids, closing.indices.to_pylist())]
+            self._forget()
+        names = core.to_numpy(zero_copy_only=False).tolist()
+        word = list(map(self.words.get, names))
+        if None in word:
+            flags = plain.to_numpy(zero_copy_only=False).tolist()
+            new = {n: p for n, k, p in zip(names, word, flags) if k is None}
+            self._learn(list(new), list(new.values()))
+            word = list(map(self.words.get, names))
+        of_marks = [self._piece(m) if m else [] for m in marks.dictionary.to_pylist()]
+
+        # the ids of each distinct chunk in a row: those of its word, then of its marks
+        word, mark = np.array(word, dtype=np.int64), marks.indices.to_numpy().astype(np.int64)
+        source = np.concatenate([self.pool, np.array(sum(of_marks, []), dtype="<u4")])
+        mark_size = np.fromiter(map(len, of_marks), dtype=np.int64, count=len(of_marks))
+        first_mark = len(self.pool) + np.cumsum(mark_size) - mark_size
+        starts = np.stack([self.begin[word], first_mark[mark]], axis=1).reshape(-1)
+        sizes = np.stack([self.begin[word + 1] - self.begin[word], mark_size[mark]], axis=1).reshape(-1)
+        flat, size = _gather(source, starts, sizes), sizes.reshape(-1, 2).sum(axis=1)
 
         apart: list[int] = []
         first = offsets[:-1]
@@ -133,21 +177,15 @@ class ChunkEncoder:
             bad[first] = False
             bad = np.logical_or.reduceat(bad, first) | pc.match_substring(texts, _BREAK).to_numpy(zero_copy_only=False)
             # a text's first chunk has no space before it
-            heads = [self._whole(h.replace(_BREAK, "\n")) for h in distinct.take(pa.array(chunk[first])).to_pylist()]
+            heads = self._whole([h.replace(_BREAK, "\n") for h in distinct.take(pa.array(chunk[first])).to_pylist()])
             # a text that starts with a line break has an empty first chunk
             apart = np.flatnonzero(bad).tolist()
             chunk[first] = len(distinct) + np.arange(len(heads))
-            ids += heads
-        size = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4
-        flat = np.frombuffer(b"".join(ids), dtype="<u4")
+            flat = np.concatenate([flat, np.array(sum(heads, []), dtype="<u4")])
+            size = np.concatenate([size, np.fromiter(map(len, heads), dtype=np.int64, count=len(heads))])
         count = size[chunk]
-        after = np.cumsum(count)
-        total = int(after[-1]) if len(after) else 0
-        kind = np.int32 if max(total, len(flat)) < 1 << 31 else np.int64
-        place = np.repeat(((np.cumsum(size) - size)[chunk] - (after - count)).astype(kind), count)
-        place += np.arange(total, dtype=kind)
-        tokens = flat[place].tobytes()
-        ends = 4 * after[offsets[1:] - 1]
+        tokens = _gather(flat, (np.cumsum(size) - size)[chunk], count).tobytes()
+        ends = 4 * np.cumsum(count)[offsets[1:] - 1]
         tail = np.array([end], dtype="<u4").tobytes()
         out = [tokens[a:z] + tail for a, z in zip(np.concatenate([[0], ends[:-1]]).tolist(), ends.tolist())]
         for k in apart:
@@ -155,6 +193,16 @@ class ChunkEncoder:
         return out
 
 
+def _gather(source: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The runs ``source[start:start + count]``, one after another."""
+    after = np.cumsum(counts)
+    total = int(after[-1]) if len(after) else 0
+    kind = np.int32 if max(total, len(source)) < 1 << 31 else np.int64
+    place = np.repeat((starts - (after - counts)).astype(kind), counts)
+    place += np.arange(total, dtype=kind)
+    return source[place]
+
+
 def encoder(path: str, spaced: bool) -> ChunkEncoder:
     """The worker's encoder of this vocabulary."""
     if (path, spaced) not in _ENCODERS:
