@@ -14,7 +14,9 @@ store that Spark reaches can hold them; the rank table lies beside them and is
 bounded by the vocabulary.
 
 Defined cases: a null or empty text is the end id alone; a null doc_id comes
-first; repeated rows are written each; an empty table gives empty files.
+first; repeated rows are written each, rows of one id by their ids' bytes; ids of
+equal count rank by number; a very long text is a block of its own; columns
+beyond doc_id and text are not read; an empty table gives empty files.
 """
 
 from __future__ import annotations
@@ -156,7 +158,7 @@ def write_token_files(docs: DataFrame, name: str = VOCABULARY, end: int = END, b
         if held:
             yield out()
 
-    dealt = ids.select("shard", "doc_id", "ids").repartition(shards, "shard")
+    dealt = ids.select("shard", "doc_id", "ids").repartitionById(shards, F.col("shard"))
     dealt = dealt.sortWithinPartitions("shard", F.col("doc_id").asc_nulls_first(), "ids")
     path = shared_folder(spark)
     map_arrow(dealt, blocks, "shard int, block long, first long, bytes binary").write.option("compression", "zstd").parquet(f"{path}/blocks")
