@@ -15,13 +15,19 @@ DataFrame functions only.  A source may hold any share of the rows: the
 running sums have two levels, one within slots of a source (slots follow a
 digest, their number the row count), one over the slots' sums.
 
-Defined cases: a null text has size 0; a null source is a source of its own,
-after all others; repeated rows count each for themselves; a source without
-words has target 0; an empty table gives an empty mix.
+Defined cases: a null text has size 0; a null doc_id comes first in its source;
+a null source is a source of its own, after all others; repeated rows count each
+for themselves, and rows of one id follow one another by text and row number
+(an id of very many rows last in its slot); a source without words has target 0;
+a very long text is counted where it lies; columns beyond doc_id, text and
+source are not read (``mixed_documents`` carries them along in one struct, so
+their names cannot clash); an empty table gives an empty mix.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,8 +38,9 @@ from hazrank.llm.common import staged, text_key
 SCHEDULES = (((0.0, 3.0), (1.0, 3.0)), ((0.0, 0.5), (1.0, 1.5)), ((0.0, 3.0), (0.5, 2.0), (1.0, 1.0)))
 SHARE = 1.5
 MOST = 2.0
-#: Rows that share a slot of the running sum, about.
-SLOT_ROWS = 5000
+#: Rows that share a slot of the running sum, about; the square root of all
+#: rows, if that is more, so that neither level of the sum grows beyond it.
+SLOT_ROWS = 1000
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -92,17 +99,30 @@ def mix(docs: DataFrame, schedules=SCHEDULES, share: float = SHARE, most: float
     order = F.coalesce(F.md5(F.col("doc_id").cast("string")), F.lit(""))
     sizes = staged(docs.select(
         "doc_id", key.alias("skey"), F.col("source").isNull().alias("is_null"), text_key(F.col("text")).alias("text_key"),
-        F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"), order.alias("ord")))
-    slots = max(1, sizes.count() // slot_rows)
-    sizes = sizes.withColumn("slot", F.floor(F.coalesce(F.conv(F.substring("ord", 1, 8), 16, 10).cast("long"), F.lit(0)) * slots / F.lit(1 << 32)))
+        F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"), order.alias("ord"),
+        F.monotonically_increasing_id().alias("row_number")))
+    rows = sizes.count()
+    slot_rows = max(slot_rows, math.isqrt(rows))
+    slots = max(1, rows // slot_rows)
+    place = F.conv(F.substring("ord", 1, 8), 16, 10).cast("long")
+    sizes = sizes.withColumn("slot", F.floor(F.coalesce(place, F.lit(0)) * slots / F.lit(1 << 32)))
+    # rows of one id, or of none, share a slot: where that makes it too full,
+    # such an id's rows come last in their slot, in parts of their own
+    full = sizes.groupBy("slot").count().filter(F.col("count") > 4 * slot_rows).select("slot")
+    many = sizes.join(full, "slot", "left_semi").groupBy("skey", "ord").count().filter(F.col("count") > slot_rows)
+    many = many.select("skey", "ord", F.concat(F.lit("i"), F.col("ord")).alias("own"), (F.floor(F.col("count") / slot_rows) + 1).alias("parts"))
+    sizes = sizes.join(many, ["skey", "ord"], "left").withColumn("own", F.coalesce("own", F.lit("")))
+    sizes = sizes.withColumn("part", F.coalesce(F.pmod(F.xxhash64("text_key", "row_number"), "parts"), F.lit(0)))
 
     per = source_targets(sizes, schedules, share, most)
-    base = sizes.groupBy("skey", "slot").agg(F.sum("size").alias("slot_size"))
-    base = base.withColumn("base", F.sum("slot_size").over(Window.partitionBy("skey").orderBy("slot")) - F.col("slot_size"))
-    base = base.select("skey", "slot", "base").join(per, "skey")
-
-    inner = Window.partitionBy("skey", "slot").orderBy("ord", "doc_id", "text_key").rowsBetween(Window.unboundedPreceding, 0)
-    d = sizes.join(base, ["skey", "slot"]).withColumn("start", F.col("base") + F.sum("size").over(inner) - F.col("size"))
+    group = ["skey", "slot", "own", "part"]
+    base = sizes.groupBy(*group).agg(F.sum("size").alias("slot_size"))
+    upto = Window.partitionBy("skey").orderBy("slot", "own", "part")
+    base = base.withColumn("base", F.sum("slot_size").over(upto) - F.col("slot_size"))
+    base = base.select(*group, "base").join(per, "skey")
+
+    inner = Window.partitionBy(*group).orderBy("ord", "doc_id", "text_key", "row_number").rowsBetween(Window.unboundedPreceding, 0)
+    d = sizes.join(base, group).withColumn("start", F.col("base") + F.sum("size").over(inner) - F.col("size"))
     words = F.round("target").cast("long")
     d = d.withColumn("words", words).withColumn("whole", F.when(F.col("source_size") > 0, F.expr("words div source_size")).otherwise(F.lit(0)))
     passes = int(-(-most // 1)) + 1
