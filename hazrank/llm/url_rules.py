@@ -16,9 +16,11 @@ A url is bad for training if the document of its id is labelled low quality or
 toxic.
 
 Defined cases: a null url, or one without ``://``, has empty host and path, no
-rule, no tokens and is allowed; repeated rows are judged alike; without labels
-or frequent combinations no rule is mined and all is allowed; an empty table
-gives no row.
+rule, no tokens and is allowed; a null page_id is kept; repeated rows are judged
+alike; among given rules of one length the first by host and path decides; a
+very long url is parsed whole; columns beyond page_id and url are not read;
+without labels or frequent combinations no rule is mined and all is allowed; an
+empty table gives no row.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hazrank.llm.common import staged, table
+from hazrank.llm.common import hot_join, staged, table
 
 #: (host, path prefix, verdict)
 RULES = (("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block"))
@@ -70,11 +72,10 @@ def parsed(pages: DataFrame) -> DataFrame:
 
 def given_rule(rules=RULES) -> Column:
     """The longest given rule that fits, as (rule, verdict), or null."""
-    out = None
-    for host, path, verdict in sorted(rules, key=lambda r: (-len(r[0] + r[1]), r)):
+    out = F.lit(None).cast("struct<rule: string, verdict: string>")
+    for host, path, verdict in sorted(rules, key=lambda r: (-len(r[0] + r[1]), r), reverse=True):
         fits = ((F.col("host") == host) | F.col("host").endswith("." + host)) & F.col("path").startswith(path)
-        found = F.struct(F.lit(host + path).alias("rule"), F.lit(verdict).alias("verdict"))
-        out = F.when(fits, found) if out is None else out.when(fits, found)
+        out = F.when(fits, F.struct(F.lit(host + path).alias("rule"), F.lit(verdict).alias("verdict"))).otherwise(out)
     return out
 
 
@@ -102,9 +103,8 @@ def mine(urls: DataFrame, labels: DataFrame, min_support: float = MIN_SUPPORT, m
     return staged(rules.join(longer, "tokens", "left_anti"))
 
 
-def fired(urls: DataFrame, rules: DataFrame) -> DataFrame:
-    """Distinct token sets (``tokens``) on which some rule fires."""
-    sets = urls.select("tokens").distinct()
+def fired(sets: DataFrame, rules: DataFrame) -> DataFrame:
+    """Those of distinct token sets (``tokens``) on which some rule fires."""
     index = rules.select(F.col("anchor").alias("token"), F.col("tokens").alias("need"))
     if rules.count() <= BROADCAST_RULES:
         index = F.broadcast(index)
@@ -115,9 +115,13 @@ def fired(urls: DataFrame, rules: DataFrame) -> DataFrame:
 def judge(pages: DataFrame, labels: DataFrame, rules=RULES, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
     """``page_id, host, path, rule, verdict, mined``: the verdict of the given
     rule, else of the mined ones (``mined`` says whether one fires)."""
-    urls = staged(parsed(pages))
-    mined = fired(urls, mine(urls, labels, min_support, min_confidence)).withColumn("mined", F.lit(True))
-    d = urls.join(mined, "tokens", "left").withColumn("mined", F.coalesce("mined", F.lit(False)))
+    urls = staged(parsed(pages).withColumn("token_key", F.sha2(F.to_json("tokens"), 256)))
+    # one row per token set, with its number of urls; one set may have a third
+    # of them
+    sets = staged(urls.groupBy("token_key").agg(F.first("tokens").alias("tokens"), F.count("*").alias("n")))
+    hit = fired(sets.select("tokens"), mine(urls, labels, min_support, min_confidence)).withColumn("mined", F.lit(True))
+    found = sets.join(hit, "tokens", "left").select("token_key", "n", F.coalesce("mined", F.lit(False)).alias("mined"))
+    d = hot_join(urls, staged(found), "token_key", "n")
     d = d.withColumn("given", given_rule(rules)).withColumn("by_method", F.when(F.col("mined"), "block").otherwise("allow"))
     return d.select("page_id", "host", "path", F.col("given.rule").alias("rule"), F.coalesce("given.verdict", "by_method").alias("verdict"), "mined")
 
