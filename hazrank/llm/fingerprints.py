@@ -17,7 +17,8 @@ estimate how many pieces differ, which gives a likeness from 0 to 1.
 Defined cases: a null text is empty, its fingerprint zero; equal fingerprints
 have likeness 1; repeated rows get equal fingerprints; rows of equal doc_id
 follow one another by text, null ids come last; a table of one row is its own
-neighbour; an empty table gives no row.
+neighbour; a very long text is fingerprinted whole; columns beyond doc_id and
+text are not read; an empty table gives no row.
 """
 
 from __future__ import annotations
@@ -200,7 +201,7 @@ def edits_and_neighbours(docs: DataFrame) -> DataFrame:
         F.col("doc_id").eqNullSafe(first[F.col("part")]),
         F.array(F.struct(F.col("part").alias("at"), F.lit(0).alias("guest")), F.struct(entry[F.col("part")].alias("at"), F.lit(1).alias("guest"))))
         .otherwise(F.array(F.struct(F.col("part").alias("at"), F.lit(0).alias("guest"))))))
-    dealt = home.select(F.col("to.at").alias("at"), F.col("to.guest").alias("guest"), "doc_id", "text").repartition(parts, "at")
+    dealt = home.select(F.col("to.at").alias("at"), F.col("to.guest").alias("guest"), "doc_id", "text").repartitionById(parts, F.col("at"))
     dealt = dealt.sortWithinPartitions("at", "guest", F.col("doc_id").desc_nulls_last(), "text")
 
     def run(batches):
