@@ -43,7 +43,7 @@ FAST_KEYS = ["timeline_spine", "cohort_sizes", "label_formal", "feat_violation_h
              "feat_parent_company_peers", "feat_zip_peers", "feat_waste_code", "flag_missing", "minmax_normalize",
              "precision_recall_curve", "grid_expand", "ingest_array_json", "final_list_by_history", "disparity_at_k", "proportional_top_n", "commonsense_rank",
              "describe_column", "joined_distribution", "grid_result_sink", "rank_models_avg", "bias_audit", "confusion_matrix",
-             "cohort_route", "build_matrix", "feat_parent_company_size", "split_features_label", "model_dt", "to_pounds"]
+             "cohort_route", "build_matrix", "feat_parent_company_size", "split_features_label", "to_pounds"]
 
 
 @pytest.mark.parametrize("key", FAST_KEYS)
