@@ -21,7 +21,10 @@ and all that name the same one are linked to the smallest of them.
 
 Defined cases: a null or empty text has fingerprint zero; fewer words than a
 shingle are one shingle; repeated rows share a fingerprint; a null doc_id never
-is a component's name unless all are null; an empty table gives no row.
+is a component's name unless all are null; documents of one component tie, and
+the smallest doc_id names it; a very long text is hashed whole; columns beyond
+doc_id and text are carried along in one struct, so their names cannot clash; an
+empty table gives no row.
 """
 
 from __future__ import annotations

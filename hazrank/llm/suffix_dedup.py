@@ -23,7 +23,10 @@ Exact copies are told by their SHA-256: all windows of a text that occurs
 twice are repeats.
 
 Defined cases: a null text is empty; a text below ``LENGTH`` bytes keeps all;
-repeated rows are copies of one another; an empty table gives no row.
+repeated rows are copies of one another; a null doc_id is kept; no choice among
+equal passages is made, as all of them go; a very long text is cut into windows,
+never at a prefix; columns beyond doc_id and text are not read; an empty table
+gives no row.
 """
 
 from __future__ import annotations

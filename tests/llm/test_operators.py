@@ -532,3 +532,83 @@ def test_tokens_are_the_library_s():
         t = Tokenizer.from_file(vocabulary(name))
         for text, ids in zip(texts, encoded(pa.array(texts), name, spaced, 9)):
             assert np.frombuffer(ids, "<u4").tolist() == t.encode(text, add_special_tokens=False).ids + [9], repr(text)
+
+
+# --- hot keys -----------------------------------------------------------------------
+def test_mix_spreads_ids_that_many_rows_share(spark):
+    """A third of all rows have one id, a third none: the running sums still
+    lay every source's words end to end, in parts of bounded size."""
+    rows = [(None if k % 3 == 0 else 7 if k % 3 == 1 else k, f"w{k} " * (k % 5 + 1 - k % 2), "s" if k % 2 else "hot") for k in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    got = mixing.mix(docs, slot_rows=20).collect()
+    assert len(got) == 900
+    for source in ("s", "hot"):
+        size = sum(words(t) for _, t, src in rows if src == source)
+        mine = [r for r in got if r.source_size == size]
+        assert sum(r["size"] for r in mine) == size and sum(r.taken for r in mine) == round(mine[0].target)
+        assert all(r.taken <= 2 * r["size"] for r in mine)
+    plan = mixing.mix(docs, slot_rows=20)._jdf.queryExecution().executedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window [sum(size" in line]
+    assert windows and all("part" in line for line in windows)
+
+
+def test_url_verdicts_where_one_token_set_holds_a_third(spark):
+    urls = [f"https://same.example.net/a/{k}" if k % 3 == 0 else f"https://h{k}.example.net/p{k}x" for k in range(300)] + ["https://spam.biz/ads/x"] * 60
+    pages = spark.createDataFrame([(k, u) for k, u in enumerate(urls)], "page_id long, url string")
+    labels = spark.createDataFrame([(k, 0 if "spam" in u else 1, 0) for k, u in enumerate(urls) if k % 2 == 0], "doc_id long, quality int, toxic int")
+    got = {r.page_id: r for r in url_rules.judge(pages, labels, rules=(), min_support=0.05).collect()}
+    assert len(got) == len(urls)
+    assert all(got[k].verdict == ("block" if "spam" in u else "allow") for k, u in enumerate(urls))
+
+
+def brute_rules(urls, labels, min_support, min_confidence):
+    """Every combination of the tokens of labelled urls, counted one by one."""
+    import itertools
+    known = [(frozenset(t), labels[p]) for p, t in urls.items() if p in labels and t]
+    n, base, rules = len(known), sum(b for _, b in known) / len(known), []
+    for combo in {frozenset(c) for t, _ in known for k in (1, 2, 3) for c in itertools.combinations(sorted(t), k)}:
+        have = [b for t, b in known if combo <= t]
+        bad = sum(have)
+        if bad / n < min_support or bad / len(have) < min_confidence:
+            continue
+        p, m, z = bad / len(have), len(have), url_rules.SURE
+        if (p + z * z / (2 * m) - z * (p * (1 - p) / m + z * z / (4 * m * m)) ** 0.5) / (1 + z * z / m) > base:
+            rules.append(combo)
+    return [r for r in rules if not any(o < r for o in rules)]
+
+
+def test_url_rules_are_those_of_brute_force(spark):
+    rng = random.Random(8)
+    urls = [f"https://{rng.choice(['a', 'b', 'c'])}.{rng.choice(['org', 'net'])}/{rng.choice(['x', 'y'])}/{rng.choice(['q', 'r', 's'])}" for _ in range(400)]
+    pages = spark.createDataFrame([(k, u) for k, u in enumerate(urls)], "page_id long, url string")
+    bad = {k: int(("//a." in u and "/x/" in u and rng.random() < 0.9) or rng.random() < 0.05) for k, u in enumerate(urls) if k % 4}
+    labels = spark.createDataFrame([(k, 1 - b, 0) for k, b in bad.items()], "doc_id long, quality int, toxic int")
+    parsed = url_rules.parsed(pages)
+    tokens = {r.page_id: r.tokens for r in parsed.collect()}
+    want = brute_rules(tokens, bad, 0.02, 0.5)
+    got = url_rules.mine(parsed, labels, 0.02, 0.5).collect()
+    small = {frozenset(r.tokens) for r in got if len(r.tokens) <= 3}
+    assert small == set(want) and len(want) > 0
+    verdict = {r.page_id: r.mined for r in url_rules.judge(pages, labels, (), 0.02, 0.5).collect()}
+    assert all(verdict[k] == any(r <= set(t) for r in want) for k, t in tokens.items())
+
+
+def test_ranges_of_repeated_and_null_ids(spark):
+    """A third of all rows have one id, some none: every range is one task's,
+    and both operators still see all rows in order."""
+    rng = random.Random(4)
+    rows = [(5 if k % 3 == 0 else None if k % 10 == 0 else k, f"text {rng.random()} " * (1 + k % 7)) for k in range(240)] + [(1000, "long words " * 30000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    from tokenizers import Tokenizer
+    t = Tokenizer.from_file(vocabulary("word_bpe_49k.json"))
+    got = sorted(token_files.read_token_files(spark, token_files.write_token_files(docs, block_ids=300)).collect(), key=lambda r: r.start)
+    want = collections.Counter((d, tuple(t.encode(x, add_special_tokens=False).ids + [2])) for d, x in rows)
+    assert collections.Counter((r.doc_id, tuple(np.frombuffer(r.ids, "<u4").tolist())) for r in got) == want
+    ids = [r.doc_id for r in got]
+    assert ids == sorted(ids, key=lambda d: (d is not None, d or 0))
+    at = 0
+    for r in got:
+        assert r.start == at
+        at += len(r.ids) // 4
+    prints = fingerprints.edits_and_neighbours(docs).collect()
+    assert len(prints) == len(rows)

@@ -77,3 +77,31 @@ def test_tokens_with_control_characters_are_the_library_s(name, spaced):
     texts += ["".join(rng.choice(controls) if rng.random() < 0.3 else rng.choice("aébC .,1日") for _ in range(rng.randint(0, 12))) for _ in range(4000)]
     for text, ids in zip(texts, encoded(pa.array(texts), name, spaced, 9)):
         assert np.frombuffer(ids, "<u4").tolist() == t.encode(text, add_special_tokens=False).ids + [9], repr(text)
+
+
+def test_the_tagger_adds_what_the_patterns_miss_and_nothing_else(spark):
+    """Held-out data in spellings beyond the patterns, measured after the
+    gates; near misses and clean texts get no span."""
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice(["the", "an", "re", "ti", "on", "ing"]) for _ in range(rng.randint(1, 3)))
+    made = np.random.default_rng(5)
+    clean = [" ".join(word() for _ in range(40)) for _ in range(60)]
+    docs = spark.createDataFrame([(k, f"{t} {pii.generated(pii.KINDS[k % 4], made, False)} {t[:50]}") for k, t in enumerate(clean)], "doc_id long, text string")
+    model = pii.fit(docs)
+    held = np.random.default_rng(77)
+    texts, where = [], []
+    for k in range(240):
+        lead = " ".join(word() for _ in range(12)) + " "
+        kind = pii.KINDS[k % 4]
+        data = pii.generated(kind, held, True)
+        texts.append(f"{lead}{data} {word()} {word()}")
+        where.append((kind, len(lead), len(lead) + len(data)))
+    texts += [f"{word()} {pii.near_miss(held)} {word()}" for _ in range(120)] + clean
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: [(k, int(a), int(b)) for k, a, b in (s.split(":") for s in r.spans.split(",") if s)] for r in pii.find_spans(rows, model).collect()}
+    base = {k: pii.base_spans(t) for k, t in enumerate(texts)}
+    beyond = [k for k in range(240) if not base[k]]
+    assert len(beyond) > 150
+    assert np.mean([any(k == kind and x <= a and y >= b for k, x, y in got[d]) for d in beyond for kind, a, b in [where[d]]]) > 0.8
+    assert all(set(base[k]) <= set(got[k]) for k in got)
+    assert sum(len(got[k]) > len(base[k]) for k in range(240, len(texts))) <= 2

@@ -8,6 +8,7 @@ import hashlib
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from hazrank.llm import exact_dedup, simhash
@@ -21,7 +22,8 @@ SF = "/root/testdata/sf0.001"
 def test_query_equals_sql(spark, name):
     got = QUERIES[name](spark, SF)
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    for name_ in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {name_} AS SELECT * FROM '{SF}/{name_}.parquet'")
     want = con.execute(f"SELECT {', '.join(got.columns)} FROM ({ORACLE_SQL[name]})").fetchall()
     assert sorted(tuple(r) for r in got.collect()) == sorted(want)
 
@@ -77,13 +79,26 @@ def test_rows_that_repeat_and_nulls_pass_every_stage(spark):
     schema = documents(spark, SF).schema
     rows = [(7, "the same text", "en", "a", 13)] * 3 + [(None, None, None, None, None), (None, "x", None, "b", 1), (8, "", "en", None, 0), (9, "other words here", "en", "b", 16)]
     docs = spark.createDataFrame(rows, schema)
-    for _, stage in corpus_pipeline.STAGES[1:]:
+    for _, stage in corpus_pipeline.STAGES:
         docs = staged(stage(spark, docs, SF))
     assert {r.doc_id for r in docs.collect()} >= {7, 9}
     empty = spark.createDataFrame([], schema)
-    for _, stage in corpus_pipeline.STAGES[:-1]:
+    for name, stage in corpus_pipeline.STAGES:
         empty = staged(stage(spark, empty, SF))
-        assert empty.count() == 0 and empty.columns == schema.names
+        assert empty.count() == 0 and (name == "packing" or empty.columns == schema.names)
+
+
+def test_columns_of_any_name_pass_every_stage(spark):
+    """Names that the stages use themselves."""
+    extra = ["row", "_id", "_at", "text_key", "_text_key", "digest", "n", "score", "kept", "keep_id", "size", "slot", "part", "own", "passes", "length", "uid", "fingerprint", "row_number"]
+    docs = documents(spark, SF).limit(60)
+    wide = docs.select("*", *[F.concat(F.lit(c), F.col("doc_id").cast("string")).alias(c) for c in extra])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        wide = staged(stage(spark, wide, SF))
+        assert wide.columns == docs.columns + extra, name
+    rows = wide.collect()
+    assert rows and all(r[c] == f"{c}{r.doc_id}" for r in rows for c in extra)
+    assert corpus_pipeline.STAGES[-1][1](spark, wide, SF).count() > 0
 
 
 def test_exact_dedup_digest_is_of_the_normalised_text(spark):
