@@ -8,6 +8,15 @@ All but the last return the columns of ``documents``; the last returns the
 packed pieces.
 
 Every stage is written as Parquet to the shared folder and read again.
+
+Defined cases, stage by stage (the operators' docstrings say more): null and
+empty texts pass the first stage by the score of a text without words, are copies
+of one another in the second, and are kept by all others; rows with a null
+doc_id are documents like any other; repeated rows are one document from the
+second stage on; ties go to the largest doc_id among copies and to the smallest
+among near copies; very long texts are read whole; columns beyond those of
+``documents`` pass through all stages but the last, whatever their names; an
+empty table stays empty.
 """
 
 from __future__ import annotations
