@@ -15,7 +15,10 @@ a shard's index has a bounded size.
 
 Defined cases: a null text is empty; empty texts equal one another; a null
 doc_id is smaller than any other; repeated rows are copies, of which one stays;
-an empty table gives an empty result.
+rows of one id and normalised text tie, and the text of smallest SHA-256 stays;
+a very long text is hashed whole; columns beyond doc_id and text are carried
+along in one struct, so their names cannot clash; an empty table gives an empty
+result.
 """
 
 from __future__ import annotations
@@ -157,10 +160,12 @@ def _index_shard(t: pa.Table) -> pa.Table:
                      "group_size": pa.array([k[2][1] for k in keys], pa.int64())})
 
 
-def groups(docs: DataFrame, shard_rows: int = SHARD_ROWS) -> tuple[DataFrame, DataFrame]:
-    """(rows, groups): ``doc_id, digest, length`` of every row, and ``digest,
-    keep_id, group_size`` of every class of equal texts."""
-    rows = staged(map_arrow(docs.select(F.col("doc_id").cast("long"), "text"), _digests, "doc_id long, digest binary, length long"))
+def groups(docs: DataFrame, shard_rows: int = SHARD_ROWS, text_keys: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(rows, groups): ``doc_id, digest, length`` of every row (and the text's
+    own ``text_key``, if asked for), and ``digest, keep_id, group_size`` of
+    every class of equal texts.  Texts are read once."""
+    schema = "doc_id long, digest binary, length long" + (", text_key string" if text_keys else "")
+    rows = staged(map_arrow(docs.select(F.col("doc_id").cast("long"), "text"), _both_keys if text_keys else _digests, schema))
     shards = max(1, rows.count() // shard_rows)
     # Partial counts of each task: the largest id and the number of rows of
     # its copies.  The task's number keeps them apart until the index, which
@@ -183,20 +188,20 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each class of equal texts, that of the largest
     doc_id.  Of rows that share id and normalised text, the text of smallest
     SHA-256 stays."""
-    rows, found = groups(docs)
-    keyed = map_arrow(docs.select(F.col("doc_id").cast("long"), "text"), _both_keys, "doc_id long, digest binary, text_key string")
-    keyed = hot_join(keyed, found.withColumn("n", F.col("group_size")), "digest", "n").filter(F.col("doc_id").eqNullSafe(F.col("keep_id")))
+    rows, found = groups(docs, text_keys=True)
+    keyed = hot_join(rows, found.withColumn("n", F.col("group_size")), "digest", "n").filter(F.col("doc_id").eqNullSafe(F.col("keep_id")))
     keys = keyed.groupBy("digest", "doc_id").agg(F.min("text_key").alias("text_key"), F.count("*").alias("n"))
     return keep_rows(docs, staged(keys.select("doc_id", "text_key", "n")))
 
 
 def _both_keys(batches):
+    """As ``_digests``, with the digest of the text as it is."""
     for b in batches:
-        raw = b.column(1).to_pylist()
+        raw = [(t or "").encode("utf-8", "surrogatepass") for t in b.column(1).to_pylist()]
         yield pa.RecordBatch.from_arrays(
-            [b.column(0), pa.array([hashlib.sha256(normal(t)).digest() for t in raw], pa.binary()),
-             pa.array([hashlib.sha256((t or "").encode("utf-8", "surrogatepass")).hexdigest() for t in raw], pa.string())],
-            ["doc_id", "digest", "text_key"])
+            [b.column(0), pa.array([hashlib.sha256(t.lower()).digest() for t in raw], pa.binary()), pa.array([len(t) for t in raw], pa.int64()),
+             pa.array([hashlib.sha256(t).hexdigest() for t in raw], pa.string())],
+            ["doc_id", "digest", "length", "text_key"])
 
 
 def op2_exact_dedup(spark, sf_dir: str) -> DataFrame:
