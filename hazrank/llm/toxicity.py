@@ -15,13 +15,17 @@ maximises F1, and scores are shifted so that it lies at 0.5.
 
 The weights are trained on a bounded sample: at most ``MOST_POSITIVE`` and
 ``MOST_NEGATIVE`` labelled rows (smallest hash of the id) of at most
-``MOST_CHARS`` code points.  Calibration and scoring are maps over all their
-rows and whole texts; of calibration, counts per language and step of the
-logit (``STEPS`` a unit) reach the driver, so a threshold lies between steps.
+``MOST_CHARS`` code points, so at most 432 MB reach the driver.  Calibration
+and scoring are maps over all their rows and whole texts; of calibration, counts
+per language and step of the logit (``STEPS`` a unit) reach the driver, so a
+threshold lies between steps.
 
 Defined cases: a null or empty text gets the score of a text without words; a
-null doc_id counts as held out; repeated rows get the same score; without
-labels of both kinds every score is 0; an empty table gives no row.
+null doc_id counts as held out; repeated rows get the same score; among
+thresholds of equal F1 the highest is taken; a very long text is pooled in
+parts; other columns are carried along in one struct (``clean``) or as they are
+(``score_column``, whose new column gets the name it is told); without labels of
+both kinds every score is 0; an empty table gives no row.
 """
 
 from __future__ import annotations
@@ -39,7 +43,7 @@ from hazrank.llm.common import documents, map_arrow, table
 #: Bounds of the training sample.
 MOST_POSITIVE = 3000
 MOST_NEGATIVE = 6000
-MOST_CHARS = 60_000
+MOST_CHARS = 12_000
 #: Steps of a logit in which calibration rows are counted; those beyond FAR
 #: are one step, so the counts are bounded.
 STEPS = 1024
@@ -249,8 +253,9 @@ def _sample_words(batches):
 
 def calibration_counts(docs: DataFrame, known: DataFrame, model: Classifier) -> DataFrame:
     """All labelled rows whose crc32(doc_id) mod 5 is 1, whole texts, counted
-    by guessed language and step of the logit.  The texts stay where they are:
-    only ids and logits meet the labels.  Rows of one id count once."""
+    by guessed language and step of the logit.  Rows without a label go before
+    they are scored.  Rows of one id count once."""
+    known = known.filter("toxic in (0, 1)").select("doc_id", "toxic")
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
@@ -264,8 +269,9 @@ def calibration_counts(docs: DataFrame, known: DataFrame, model: Classifier) ->
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(lang, pa.int32()), pa.array(logit, pa.float64())], ["doc_id", "lang", "logit"])
 
     schema = StructType([docs.schema["doc_id"], StructField("lang", IntegerType()), StructField("logit", DoubleType())])
-    rows = map_arrow(docs.select("doc_id", "text").filter(fold(F.col("doc_id")) == 1), run, schema)
-    rows = rows.join(known.filter("toxic in (0, 1)").select("doc_id", "toxic"), "doc_id")
+    part = docs.select("doc_id", "text").filter(fold(F.col("doc_id")) == 1)
+    part = part.join(known.filter(fold(F.col("doc_id")) == 1).select("doc_id"), "doc_id", "left_semi")
+    rows = map_arrow(part, run, schema).join(known, "doc_id")
     rows = rows.groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.max(F.struct("logit", "lang")).alias("top"))
     step = F.floor(F.greatest(F.lit(-FAR), F.least(F.lit(FAR), F.col("top.logit"))) * STEPS)
     return rows.groupBy(F.col("top.lang").alias("lang"), step.alias("step")).agg(
