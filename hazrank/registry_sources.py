@@ -9,6 +9,7 @@ of entities), landed as text and ingested.
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from hazrank.plans import cohorts as C
 from hazrank.queries import ctx, register
@@ -23,16 +24,18 @@ def q_s1(spark, sf_dir):
     return ctx(spark, sf_dir).lt_all.inspections
 
 
-def _records(c):
+def _records(c, history):
+    """The grid records in the column order of their files: readers check the
+    header against the schema, column by column."""
     from hazrank.registry_eval import records
-    return records(c, True)
+    return records(c, history).select(*StructType.fromDDL(GRID_RECORD_SCHEMA).names)
 
 
 @register("scan_csv")
 def q_s2(spark, sf_dir):
     c = ctx(spark, sf_dir)
     path = SF.shared_path(spark, "grid-csv")
-    SF.sink(_records(c), path, "csv")
+    SF.sink(_records(c, True), path, "csv")
     return SF.scan_csv(spark, path, GRID_RECORD_SCHEMA)
 
 
@@ -48,8 +51,8 @@ def q_s3(spark, sf_dir):
 @register("sink_append")
 def q_s4(spark, sf_dir):
     c = ctx(spark, sf_dir)
-    from hazrank.registry_eval import records
     path = SF.shared_path(spark, "selected")
+    from hazrank.registry_eval import records
     SF.sink(records(c, True), path, "csv", mode="overwrite")
     SF.sink(records(c, False), path, "csv", mode="append")
     return SF.scan_csv(spark, path, GRID_RECORD_SCHEMA)

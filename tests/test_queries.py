@@ -57,3 +57,20 @@ def test_against_oracle_sf0001(spark, key):
 def test_every_query_has_an_oracle():
     import __spark_entry__ as E
     assert set(E._load()) <= set(E.oracle_sql())
+
+
+def test_grid_records_are_read_back_from_csv(spark, monkeypatch):
+    from hazrank import registry_sources as RS
+    rows = [("baseline", f"baseline_{i}", f"window=total;feature=f{i}", h, y, 0.5 + y % 2 / 4, None if i else 0.25)
+            for i in range(2) for h in (True, False) for y in (1998, 1999)]
+    long = spark.createDataFrame(rows, "model_type string, model_name string, model_param string, with_history boolean, eval_year int, "
+                                       "precision double, support double")
+    c = Ctx(spark, SF001)
+    for h in (True, False):
+        c.__dict__["_grid_results", h] = long.where(long.with_history == h)
+    monkeypatch.setattr(RS, "ctx", lambda *_: c)
+    for query, flavours in ((RS.q_s2, [True]),):
+        got = query(spark, SF001)
+        assert got.columns == ["model_type", "model_name", "model_param", "precision_overtime", "support_overtime", "with_history"]
+        assert sorted(map(tuple, got.collect())) == [("baseline", f"baseline_{i}", f"window=total;feature=f{i}", "0.500000;0.750000", s, h)
+                                                     for i, s in ((0, "0.250000;0.250000"), (1, "nan;nan")) for h in flavours]
