@@ -52,9 +52,8 @@ def q_s3(spark, sf_dir):
 def q_s4(spark, sf_dir):
     c = ctx(spark, sf_dir)
     path = SF.shared_path(spark, "selected")
-    from hazrank.registry_eval import records
-    SF.sink(records(c, True), path, "csv", mode="overwrite")
-    SF.sink(records(c, False), path, "csv", mode="append")
+    SF.sink(_records(c, True), path, "csv", mode="overwrite")
+    SF.sink(_records(c, False), path, "csv", mode="append")
     return SF.scan_csv(spark, path, GRID_RECORD_SCHEMA)
 
 

@@ -69,7 +69,7 @@ def test_grid_records_are_read_back_from_csv(spark, monkeypatch):
     for h in (True, False):
         c.__dict__["_grid_results", h] = long.where(long.with_history == h)
     monkeypatch.setattr(RS, "ctx", lambda *_: c)
-    for query, flavours in ((RS.q_s2, [True]),):
+    for query, flavours in ((RS.q_s2, [True]), (RS.q_s4, [False, True])):
         got = query(spark, SF001)
         assert got.columns == ["model_type", "model_name", "model_param", "precision_overtime", "support_overtime", "with_history"]
         assert sorted(map(tuple, got.collect())) == [("baseline", f"baseline_{i}", f"window=total;feature=f{i}", "0.500000;0.750000", s, h)
