@@ -22,6 +22,7 @@ from hazrank.operators import topk
 from hazrank.operators import transform as X
 from hazrank.plans import cohorts as C
 from hazrank.plans import features as FT
+from hazrank.plans import labels as L
 from hazrank.plans import matrix as M
 from hazrank.plans import timeline as T
 from hazrank.queries import Ctx
@@ -334,3 +335,61 @@ def test_dropped_models_and_label_order(spark):
     assert got[0].asDict() == {"model_id": "m", "eval_year": 2000, "place": 0, "actual": 1, "predicted_1": 2, "predicted_0": 1}
     assert (got[1].actual, got[1].predicted_1, got[1].predicted_0) == (0, 0, 0)
     assert [r.actual for r in R.confusion_matrix(rows).collect()] == [1]
+
+
+def test_scalings_of_a_fold_share_what_does_not_depend_on_them(spark, monkeypatch):
+    rows = small_matrix(spark).where("history").drop("history")
+    train, val = rows.where("split = 'train' AND formal IS NOT NULL").drop("split"), rows.where("split = 'val'").drop("split")
+    bases = (["inspection_num"], ["land_type"])
+    alone = {s: MD.prepare_fold(train, val, *bases, s) for s in (False, True)}
+    calls, kept = [], []
+    for name in ("columns_with_nulls", "indexed"):
+        monkeypatch.setattr(X, name, lambda *a, _f=getattr(X, name), _n=name: (calls.append(_n), _f(*a))[1])
+    monkeypatch.setattr(MD, "stored", lambda df, _f=MD.stored: (kept.append(df.columns[2]), _f(df))[1])
+    both = MD.prepare_scalings(train, val, *bases, [False, True])
+    # one look at the rows for both, and no validation side before one asks
+    assert sorted(calls) == ["columns_with_nulls", "indexed"] and kept == ["label", "label"]
+    for s, one in alone.items():
+        assert both[s].feature_names == one.feature_names and both[s].n_train == one.n_train
+        for side in ("train", "val", "val_rows"):
+            assert sorted(map(str, getattr(both[s], side).collect())) == sorted(map(str, getattr(one, side).collect()))
+    assert both[True].val is both[True].val
+
+
+def test_importances_of_all_families_come_from_one_preparation(spark, monkeypatch):
+    from hazrank import registry_models as RM
+    m = small_matrix(spark).withColumn("formal", (F.col("inspection_num_total") > 3).cast("long"))
+    prepared = []
+    monkeypatch.setattr(RM, "model_matrix", lambda c: m)
+    monkeypatch.setattr(RM, "folds", lambda c: FOLDS[-1:])
+    monkeypatch.setattr(MD, "stored", lambda df, _f=MD.stored: (prepared.append(1), _f(df))[1])
+    got = RM.q_importance(spark, SF001).collect()
+    assert [r.model_name for r in got] == [n for _, n, _ in RM.ONE_OF_EACH] and all(r.known_ok and r.nonzero_ok and r.order_ok for r in got)
+    assert len(prepared) == 2  # the training rows, without and with scaling
+
+
+def test_the_matrix_of_the_last_fold_has_its_rows_alone(spark):
+    from hazrank import registry_models as RM
+    c = Ctx(spark, SF001)
+    last, every = RM.model_matrix(c), RM.model_matrix(c, last=False)
+    keys = ["handler_id", "label_year", "split", "history", "formal"]
+    rows = [tuple(r) for r in every.select(*keys).collect()]
+    _, train_years, val_year = RM.folds(c)[-1]
+    want = [r for r in rows if (r[1] in train_years if r[2] == "train" else r[1] == val_year)]
+    assert sorted(map(str, map(tuple, last.select(*keys).collect()))) == sorted(map(str, want)) and 0 < len(want) < len(rows)
+    assert not last.exceptAll(every).head(1)
+    # a fold reads the files of its flavour and split
+    plan = plan_of(last.where("history AND split = 'val'"))
+    assert "history#" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    # labels off the partials are those of the inspections
+    labels = {(r.handler_id, r.label_year): r.formal for r in L.label_formal(c.lt, every.select("handler_id", "label_year").distinct(), c.spine).collect()}
+    assert labels == {r[:2]: r[4] for r in rows}
+    p = c.partials()
+    assert max(r[0] for r in p.waste.select("year").distinct().collect()) < val_year
+
+
+def test_labels_of_reduced_inspections(spark):
+    spine = T.config_spine(spark, Timeline())
+    rows = [(1, 1998, 2), (1, 1999, 0), (2, 2000, 1), (3, 1990, 5), (None, 1998, 1)]
+    got = L.label_formal_of(spark.createDataFrame(rows, "handler_id long, year int, n_enforcement long"), spine).collect()
+    assert {tuple(r) for r in got} == {(1, 1998, 1), (1, 1999, 0), (2, 2000, 1), (None, 1998, 1)}
