@@ -393,3 +393,29 @@ def test_labels_of_reduced_inspections(spark):
     rows = [(1, 1998, 2), (1, 1999, 0), (2, 2000, 1), (3, 1990, 5), (None, 1998, 1)]
     got = L.label_formal_of(spark.createDataFrame(rows, "handler_id long, year int, n_enforcement long"), spine).collect()
     assert {tuple(r) for r in got} == {(1, 1998, 1), (1, 1999, 0), (2, 2000, 1), (None, 1998, 1)}
+
+
+def test_sources_of_order_lines_share_one_join(spark, monkeypatch):
+    from pyspark.testing import assertDataFrameEqual
+    monkeypatch.setattr(M, "store_partials", lambda p: p)
+    c = Ctx(spark, SF001)
+    shared, plain = c.partials(), M.partials(c.lt_windows, c.lt_all)
+    for name in ("inspections", "waste", "waste_codes", "owners"):
+        assert not any("lineitem" in f for f in getattr(shared, name).inputFiles()), name
+        assertDataFrameEqual(getattr(shared, name), getattr(plain, name))
+
+
+def test_lines_keep_null_and_repeated_keys(spark):
+    from hazrank.sources.mapping import LogicalTables
+    o = spark.createDataFrame([(1, 7, "1995-03-01", "1-URGENT"), (1, None, "1996-03-01", "5-LOW"), (None, 7, "1995-03-01", "1-URGENT"), (2, 7, None, None)],
+                              "o_orderkey long, o_custkey long, d string, o_orderpriority string").selectExpr("o_orderkey", "o_custkey", "CAST(d AS timestamp) AS o_orderdate", "o_orderpriority")
+    li = spark.createDataFrame([(1, 3, 4, 1, 5.0, 6.0, 0.08, 0.06, "R", "F"), (1, 3, 4, 1, 5.0, 6.0, None, 0.06, "R", "F"), (2, None, 4, 2, 5.0, 6.0, 0.0, 0.0, "N", "O")],
+                               "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, "
+                               "l_discount double, l_tax double, l_returnflag string, l_linestatus string")
+    lt = LogicalTables(FakeTables(spark=spark, orders=o, lineitem=li))
+    over = lt.over(M.store_lines(lt.order_lines))
+    for years in (None, (1995, 1995), (None, 1996)):
+        a, b = (x if years is None else x.bounded(*years) for x in (over, lt))
+        assert sorted(map(str, a.waste.collect())) == sorted(map(str, b.waste.collect()))
+        assert sorted(map(str, a.inspections_core.collect())) == sorted(map(str, b.inspections_core.collect()))
+    assert over.waste.count() == 5
