@@ -419,3 +419,23 @@ def test_lines_keep_null_and_repeated_keys(spark):
         assert sorted(map(str, a.waste.collect())) == sorted(map(str, b.waste.collect()))
         assert sorted(map(str, a.inspections_core.collect())) == sorted(map(str, b.inspections_core.collect()))
     assert over.waste.count() == 5
+
+
+def test_flavours_and_scalings_run_side_by_side(spark, monkeypatch):
+    import threading
+    from hazrank import registry_models as RM
+    m = small_matrix(spark)
+    monkeypatch.setattr(RM, "model_matrix", lambda c: m)
+    monkeypatch.setattr(RM, "folds", lambda c: FOLDS[-1:])
+    met = threading.Barrier(2, timeout=60)  # breaks where one waits for the other's end
+
+    def scores(*args, parallel, **kw):
+        met.wait()
+        return spark.createDataFrame([("dt_0", 2000, parallel, 0.5, None)], "model_id string, eval_year int, handler_id long, score double, formal long")
+    with monkeypatch.context() as patch:
+        patch.setattr(MD, "cv_scores", scores)
+        assert sorted(r.with_history for r in RM.q_score_model(spark, SF001).collect()) == [False, True]
+    rows = m.where("history").drop("history")
+    train, val = rows.where("split = 'train' AND formal IS NOT NULL").drop("split"), rows.where("split = 'val'").drop("split")
+    monkeypatch.setattr(MD, "stored", lambda df, _f=MD.stored: (met.wait(), _f(df))[1])
+    assert list(MD.prepare_scalings(train, val, ["inspection_num"], ["land_type"], [False, True])) == [False, True]
