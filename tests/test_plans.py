@@ -439,3 +439,18 @@ def test_flavours_and_scalings_run_side_by_side(spark, monkeypatch):
     train, val = rows.where("split = 'train' AND formal IS NOT NULL").drop("split"), rows.where("split = 'val'").drop("split")
     monkeypatch.setattr(MD, "stored", lambda df, _f=MD.stored: (met.wait(), _f(df))[1])
     assert list(MD.prepare_scalings(train, val, ["inspection_num"], ["land_type"], [False, True])) == [False, True]
+
+
+def test_sources_are_joined_by_measured_hashing(spark, monkeypatch):
+    key, seen = "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", []
+    before = spark.conf.get(key)
+    monkeypatch.setattr(M, "store_lines", lambda lines: (seen.append(lines), lines)[1])
+    monkeypatch.setattr(M, "store_partials", lambda p: p)
+    p = Ctx(spark, SF001).partials()
+    lines, = seen
+    lines.sparkSession.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # its own session
+    rows = lines.collect()
+    plan = lines._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert rows and "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+    assert M._session_like(p.inspections.sparkSession).conf.get(key) == M.HASHED_PARTITION  # the matrix's joins too
+    assert spark.conf.get(key) == before
