@@ -216,6 +216,29 @@ def test_the_growing_matrix_is_never_moved(spark):
     assert not [t for t in spark.catalog.listTables() if t.name.startswith(M.TABLE_PREFIX)]
 
 
+def test_families_are_computed_for_the_cohort_alone(spark):
+    p = Ctx(spark, SF001).partials()
+    spine = Ctx(spark, SF001).spine
+    entity = F.col("handler_id") % 7 == 0
+    cohort = p.cohort_active(spine).where(entity)
+    # rows of the cohort may repeat; a family has a key once
+    keys = cohort.unionByName(cohort).distinct()
+    wanted = {tuple(r) for r in keys.collect()}
+    # cohort years that an entity lacks a partial for are no rows either way
+    for every, some in zip(M.family_frames(p, spine), M.family_frames(p, spine, keys)):
+        key = lambda r: (r["handler_id"], r["label_year"])
+        want = {key(r): r for r in every.collect() if key(r) in wanted}
+        rows = some.collect()
+        assert len(rows) == len(want) and every.columns == some.columns
+        for r in rows:
+            for x, y in zip(r, want[key(r)]):
+                assert x == y or (isinstance(x, float) and math.isclose(x, y, rel_tol=1e-12)), (r, want[key(r)])
+    # the matrix asks for no more: only rates and company sizes are of all entities
+    plan = plan_of(M.build_matrix(p, cohort, spine))
+    assert plan.count("ShuffledHashJoin [handler_id") >= 6, plan
+    M.drop_partials(spark)
+
+
 def test_uniqueness_is_checked_on_keys_alone(spark):
     import __spark_entry__ as E
     plan = plan_of(E.queries()["assert_one_row_per_entity"](spark, SF001))
