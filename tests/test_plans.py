@@ -334,6 +334,39 @@ def test_fits_side_by_side_give_the_scores_of_one_by_one(spark):
     assert scores[0] == scores[1] and len(scores[0]) == 120
 
 
+def test_a_fold_is_scored_in_one_pass(spark, monkeypatch):
+    from hazrank.operators.ranking import stored
+    m = small_matrix(spark).where("history").drop("history").withColumn("inspection_num_total", F.when(F.col("handler_id") % 5 > 0, F.col("inspection_num_total")))
+    grid = [*GRID, ("xgboost", "xgboost_0", {"num_boost_round": 2, "max_depth": 2}), ("lr", "lr_1", {"penalty": "l1", "C": 0.1})]
+    bases = (["inspection_num"], ["land_type"])
+    kept = []
+    monkeypatch.setattr(MD, "stored", lambda df: (kept.append(df.columns), stored(df))[1])
+    got = MD.cv_scores(m, FOLDS, grid, *bases)
+    # training rows without and with scaling of each fold, and the scores: no validation features
+    assert sorted(c[2] for c in kept) == ["handler_id"] + ["label"] * 4
+    want = []
+    for _, train_years, val_year in FOLDS:
+        tr = m.where((F.col("split") == "train") & F.col("label_year").isin(*train_years)).drop("split")
+        va = m.where((F.col("split") == "val") & (F.col("label_year") == val_year)).drop("split")
+        for model_type, name, params in grid:
+            fold = MD.prepare_fold(tr, va, *bases, model_type == "lr")
+            s = MD.score_model(MD.fit_model(model_type, params, fold), fold.val, model_type)
+            want += [(name, r.label_year, r.handler_id, r.score, r.formal) for r in s.collect()]
+    assert sorted(map(tuple, got.collect())) == sorted(want) and len(want) == 480
+    # both scalings of a fold's rows come from one scan
+    fold = MD.prepare_scalings(tr, va, *bases, [False, True])
+    assert plan_of(MD.val_features(fold)).split("== Initial Plan ==")[0].count("FileScan") == 1
+
+
+def test_flavours_of_a_grid_run_side_by_side(spark, monkeypatch):
+    import threading
+    m = small_matrix(spark)
+    met = threading.Barrier(2, timeout=60)  # breaks where one waits for the other's end
+    monkeypatch.setattr(MD, "cv_scores", lambda *a, _f=MD.cv_scores: (met.wait(), _f(*a))[1])
+    got = MD.run_mode("grid_search", m, FOLDS[:1], GRID[:1], [(True, 0.2), (False, 0.5)], ["inspection_num"], ["land_type"])
+    assert [r.with_history for r in got.select("with_history").collect()] == [True, False]
+
+
 def test_typed_re_import(spark):
     params = "'n_estimators=100;learning_rate=0.1;bootstrap=True;max_depth=None;criterion=gini;min_samples_leaf=3.0'"
     sel = spark.createDataFrame([("rf", "rf_1", params, True, 1), ("rf", "rf_2", "max_depth=4;fit_intercept=no;C=2", True, 2)],
@@ -477,3 +510,17 @@ def test_sources_are_joined_by_measured_hashing(spark, monkeypatch):
     assert rows and "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
     assert M._session_like(p.inspections.sparkSession).conf.get(key) == M.HASHED_PARTITION  # the matrix's joins too
     assert spark.conf.get(key) == before
+
+
+def test_joins_of_the_matrix_are_compiled_and_later_steps_as_set(spark, monkeypatch):
+    from hazrank import registry_models as RM
+    key, seen = "spark.sql.codegen.maxFields", []
+    monkeypatch.setattr(RM.SF, "materialize", lambda m, *a: (seen.append((m.sparkSession.conf.get(key), len(m.columns))), m)[1])
+    m = RM.model_matrix(Ctx(spark, SF001))
+    (limit, columns), = seen
+    assert int(limit) >= columns > 100
+    assert m.sparkSession.conf.get(key) == spark.conf.get(key) == "100"
+    own = M._session_like(spark)
+    own.conf.set(key, "120")  # a limit that the caller set stays
+    with M.compiled_joins(own):
+        assert own.conf.get(key) == "120"
